@@ -39,3 +39,58 @@ def recipes_df(spark: SparkSession, rows=None) -> DataFrame:
     from decimal import Decimal
     data = [(r, i, Decimal(q), u, p) for r, i, q, u, p in (rows or FIXTURE_RECIPES)]
     return spark.createDataFrame(data, RECIPES)
+
+# Exact-name recipes (Q10): ingredients are whole part names.
+EXACT_RECIPES = [
+    ("A", "blue gear", "500", "gramos", 2),
+    ("A", "red rod", "1", "unidades", 2),
+    ("B", "small ring", "200", "gramos", 3),
+    ("B", "new plate", "5", "unidades", 3),
+    ("B", "no such part", "1", "unidades", 3),
+]
+EXACT_WEIGHT_NAMES = ("blue gear", "small ring")
+EXACT_BEFORE = {"blue gear": 1000, "small ring": 1000}
+EXACT_AFTER = {"new plate": 30, "red rod": 1}
+EXACT_NAMES = ("blue gear", "red rod", "small ring", "new plate")
+
+# Name-rule costing (Q8/Q9): per-name package rules and per-recipe quantities.
+# (nombre, gramos, gramos_de_nombre, unidades, op, divisor, escala)
+RULES_A = [
+    ("blue gear", 1000, False, None, None, None, None),
+    ("red rod", None, False, 1, "mul", None, 0),
+    ("cold anvil", None, True, None, None, None, None),
+    ("hot bolt", 1000, False, None, None, None, None),
+]
+RULES_B = [
+    ("small ring", 1000, False, None, None, None, None),
+    ("new plate", None, False, 30, "div", None, 0),
+    ("old widget", None, False, 1, "mul", None, 0),
+    ("blue gear", 1000, False, None, None, None, None),
+]
+RULES_ALL = [
+    ("blue gear", 1000, False, None, None, None, None),
+    ("red rod", None, False, None, "div", None, 2),
+    ("cold anvil", None, True, None, None, None, None),
+    ("hot bolt", 1000, False, None, None, None, None),
+    ("small ring", 1000, False, None, None, None, None),
+    ("new plate", None, False, 30, "div", None, 2),
+    ("old widget", None, False, 1, "div", 300, 4),
+]
+QTY_A = [("A", "blue gear", "500"), ("A", "red rod", "0.166667"), ("A", "cold anvil", "3"),
+         ("A", "hot bolt", "600")]
+QTY_B = [("B", "small ring", "200"), ("B", "new plate", "5"), ("B", "old widget", "3"),
+         ("B", "blue gear", "250")]
+DIVISOR_A, DIVISOR_B = 2, 3
+PIVOT_COLUMNS = {"A": ("costo_a", 2), "B": ("costo_b", 3)}
+
+
+def rules_df(spark: SparkSession, rows) -> DataFrame:
+    schema = ("nombre string, gramos int, gramos_de_nombre boolean, unidades int, op string, "
+              "divisor int, escala int")
+    return spark.createDataFrame(rows, schema)
+
+
+def quantities_df(spark: SparkSession, rows) -> DataFrame:
+    from decimal import Decimal
+    return spark.createDataFrame([(r, n, Decimal(q)) for r, n, q in rows],
+                                 "receta string, nombre string, cantidad_receta decimal(16,6)")

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tillroll.plans import oracle, silver
+from tillroll.plans import gold, oracle, silver
 from tillroll.session import ensure_checkpoint_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -24,9 +24,22 @@ def _bronze(spark, base):
 _QUERIES: dict[str, Query] = {
     "bronze_feed": _bronze,
     "q01_silver_build": silver.silver,
+    "q03_price_evolution": gold.evolution,
+    "q03_price_evolution_all": gold.evolution_all,
+    "q04_unit_catalogue": gold.unit_catalogue,
+    "q05_recipe_costs": gold.recipe_costs,
+    "q06_recipe_cost_summary": gold.recipe_cost_summary,
+    "q07_recipe_cost_all_matches": gold.recipe_cost_all_matches,
+    "q08_rule_cost_a": gold.rule_cost_a,
+    "q08_rule_cost_b": gold.rule_cost_b,
+    "q09_rule_pivot": gold.rule_pivot,
+    "q10_exact_name_summary": gold.exact_name_summary,
+    "q10_exact_name_unmatched": gold.exact_name_unmatched,
+    "q11_match_diagnostics": gold.match_diagnostics,
+    "q11_unmatched_ingredients": gold.unmatched_ingredients,
 }
 
-FLAGSHIP: Query = silver.silver
+FLAGSHIP: Query = gold.recipe_cost_summary
 
 
 def queries() -> dict[str, Query]:
