@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tillroll.plans import gold, oracle, silver
+from tillroll.plans import gold, oracle, qa, silver
 from tillroll.session import ensure_checkpoint_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -37,6 +37,20 @@ _QUERIES: dict[str, Query] = {
     "q10_exact_name_unmatched": gold.exact_name_unmatched,
     "q11_match_diagnostics": gold.match_diagnostics,
     "q11_unmatched_ingredients": gold.unmatched_ingredients,
+    "q12_exploration_summary": qa.exploration,
+    "q12_exploration_extra": qa.exploration_extra,
+    "q13_t1_duplicate_keys": qa.t1_duplicates,
+    "q13_t2_null_counts": qa.t2_nulls,
+    "q13_t3_price_range": qa.t3_price_range,
+    "q13_t4_id_consistency": qa.t4_id_consistency,
+    "q13_t5_freshness": qa.t5_freshness,
+    "q13_t6_store_distribution": qa.t6_stores,
+    "q13_t7_iqr_outliers": qa.t7_iqr,
+    "q13_t8_url_format": qa.t8_urls,
+    "q14_dq_suite": qa.dq_suite,
+    "q15_rejection_rate": qa.rejection,
+    "q15_rejection_rate_by_day": qa.rejection_by_day,
+    "q16_rejected_rows": qa.rejected_rows,
 }
 
 FLAGSHIP: Query = gold.recipe_cost_summary
