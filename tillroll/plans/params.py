@@ -94,3 +94,6 @@ def quantities_df(spark: SparkSession, rows) -> DataFrame:
     from decimal import Decimal
     return spark.createDataFrame([(r, n, Decimal(q)) for r, n, q in rows],
                                  "receta string, nombre string, cantidad_receta decimal(16,6)")
+
+ERRORS_DAY = dt.date(2024, 1, 5)        # "today" of the error listing
+PRODUCT_OF_INTEREST = "blue gear"      # product-name filter of the inspection query

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tillroll.plans import gold, oracle, qa, silver
+from tillroll.plans import bronze, gold, oracle, qa, silver
 from tillroll.session import ensure_checkpoint_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -24,6 +24,8 @@ def _bronze(spark, base):
 _QUERIES: dict[str, Query] = {
     "bronze_feed": _bronze,
     "q01_silver_build": silver.silver,
+    "q02_silver_upsert": bronze.silver_upsert,
+    "q02_silver_upsert_counts": bronze.silver_upsert_counts,
     "q03_price_evolution": gold.evolution,
     "q03_price_evolution_all": gold.evolution_all,
     "q04_unit_catalogue": gold.unit_catalogue,
@@ -51,6 +53,24 @@ _QUERIES: dict[str, Query] = {
     "q15_rejection_rate": qa.rejection,
     "q15_rejection_rate_by_day": qa.rejection_by_day,
     "q16_rejected_rows": qa.rejected_rows,
+    "q17_row_count": bronze.row_count,
+    "q17_history_profile": bronze.history_profile,
+    "q17_rows_per_load": bronze.rows_per_load,
+    "q17_top_prices": bronze.top_prices,
+    "q18_merge_preview": bronze.merge_preview,
+    "q19_failed_events": bronze.failed_events,
+    "q19_latest_run": bronze.latest_run,
+    "q19_errors_of_day": bronze.errors_of_day,
+    "q19_event_history": bronze.event_history,
+    "q19_product_observations": bronze.product_observations,
+    "q20_ingest_bronze": bronze.ingest_bronze,
+    "q20_ingest_errors": bronze.ingest_errors,
+    "q20_run_metrics": bronze.ingest_metrics,
+    "q20_etl_events": bronze.ingest_events,
+    "q20_summary_events": bronze.ingest_summary,
+    "q21_product_listing": bronze.product_listing,
+    "a02_targets": bronze.targets,
+    "a02_target_counts": bronze.targets_count,
 }
 
 FLAGSHIP: Query = gold.recipe_cost_summary

@@ -108,7 +108,8 @@ def audit_events(spark: SparkSession, base: str) -> DataFrame:
         F.col("ts").alias("event_ts"),
         F.when(F.col("user_id") % 2 == 0, "extract_prices").otherwise("load_silver").alias("pipeline"),
         F.lit("Store").alias("source"),
-        F.upper("event_type").alias("status"),
+        F.when(F.col("event_type") == "error", "FAILED").when(F.col("event_type") == "purchase", "SUCCESS")
+         .when(F.col("event_type") == "signup", "STARTED").otherwise(F.upper("event_type")).alias("status"),
         F.col("user_id").cast("string").alias("batch_id"),
         rows.alias("rows_read"),
         F.when(F.col("event_type") == "error", F.lit(0).cast("long")).otherwise(rows).alias("rows_written"),
@@ -121,10 +122,12 @@ def audit_events(spark: SparkSession, base: str) -> DataFrame:
 def raw_payloads(spark: SparkSession, base: str) -> DataFrame:
     """One fetch per event: product <- event type, store <- user % 3,
     payload <- props (missing for error events: the fetch returned nothing),
-    fetched at the event time."""
+    fetched at the event time; category / unit sometimes unconfigured."""
     ev = read_table(spark, base, "events")
     return ev.select(
         F.initcap("event_type").alias("corte"),
+        F.when(F.col("event_id") % 4 == 0, F.lit(None).cast("string")).otherwise(F.lit("Eventos")).alias("categoria"),
+        F.when(F.col("event_id") % 6 == 0, F.lit(None).cast("string")).otherwise(F.lit("unidad")).alias("unidad"),
         F.concat(F.lit("Store_"), (F.col("user_id") % 3).cast("string")).alias("supermercado"),
         F.concat(F.lit("http://s/e/"), F.col("event_id").cast("string")).alias("url"),
         F.when(F.col("event_type") != "error", F.col("props")).alias("payload"),
