@@ -11,7 +11,18 @@ from tillroll.operators.clean import (quality_filter, to_silver, with_price,
                                       with_product_id)
 from tillroll.operators.dedup import latest_per_key
 from tillroll.plans import params
-from tillroll.sources.feed import price_feed, tie_break_order
+from tillroll.sources.feed import TIE_BREAK, price_feed, tie_break_order
+
+# Generic total order for Bronze rows without line keys: newest first, then
+# batch and row content (rows equal on all of these are identical).
+GENERIC_ORDER = ("ingestion_timestamp", "batch_id", "url", "precio", "descripcion", "categoria",
+                 "unidad")
+
+
+def bronze_order(columns) -> list:
+    if all(c in columns for c in TIE_BREAK):
+        return tie_break_order()
+    return [F.col(c).desc_nulls_last() for c in GENERIC_ORDER if c in columns]
 
 
 def silver_from_bronze(bronze: DataFrame, updated_at: dt.datetime = params.UPDATED_AT,
@@ -20,7 +31,7 @@ def silver_from_bronze(bronze: DataFrame, updated_at: dt.datetime = params.UPDAT
     clean = quality_filter(with_price(bronze, thousands=thousands))
     keyed = with_product_id(clean)
     newest = latest_per_key(keyed, ["producto_id", "fecha_extraccion"],
-                            order if order is not None else tie_break_order())
+                            order if order is not None else bronze_order(bronze.columns))
     return to_silver(newest, F.lit(updated_at).cast("timestamp_ntz"))
 
 
