@@ -23,7 +23,7 @@ def normalize_price(price_text, thousands: str | None = None) -> Column:
     cleaned = F.regexp_replace(F.trim(col_(price_text)), PRICE_KEEP_PATTERN, "")
     if thousands is not None:
         cleaned = F.regexp_replace(cleaned, "\\" + thousands, "")
-    return F.regexp_replace(cleaned, DECIMAL_COMMA, ".").try_cast(PRICE)
+    return F.translate(cleaned, DECIMAL_COMMA, ".").try_cast(PRICE)
 
 
 def surrogate_key(*cols, sep: str = "|") -> Column:

@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillroll.schemas import PRICE
-from tillroll.sources.tables import read_table
+from tillroll.sources.tables import read_table, spread
 
 TIE_BREAK = ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
 
@@ -68,8 +68,9 @@ def price_feed(spark: SparkSession, base: str, with_tie_break: bool = True) -> D
     Two equi-joins on the foreign keys; Catalyst/AQE choose broadcast or
     sort-merge from the measured sizes (no hint: part and supplier grow with
     the data)."""
-    li = read_table(spark, base, "lineitem").select(
-        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_extendedprice", "l_shipdate")
+    li = spread(read_table(spark, base, "lineitem").select(
+        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_extendedprice", "l_shipdate"),
+        ("l_orderkey",))
     part = read_table(spark, base, "part").select("p_partkey", "p_name", "p_type", "p_size")
     sup = read_table(spark, base, "supplier").select("s_suppkey", "s_nationkey")
     j = (li.join(part, li.l_partkey == part.p_partkey)
@@ -123,7 +124,7 @@ def raw_payloads(spark: SparkSession, base: str) -> DataFrame:
     """One fetch per event: product <- event type, store <- user % 3,
     payload <- props (missing for error events: the fetch returned nothing),
     fetched at the event time; category / unit sometimes unconfigured."""
-    ev = read_table(spark, base, "events")
+    ev = spread(read_table(spark, base, "events"), ("event_id",))
     return ev.select(
         F.initcap("event_type").alias("corte"),
         F.when(F.col("event_id") % 4 == 0, F.lit(None).cast("string")).otherwise(F.lit("Eventos")).alias("categoria"),
