@@ -48,7 +48,9 @@ def contains_pairs(names: DataFrame, name_col: str, needles: DataFrame, needle_c
               .withColumn("_gram", F.col("_nn").substr(F.col("_pos"), F.col("_g"))))
     cand = grams.join(k, (grams._g == k._klen) & (grams._gram == k._key))
     hit = cand.where(F.col("_nn").substr(F.col("_pos"), F.length("_nk")) == F.col("_nk"))
-    return hit.select("_name", "_needle", "_nn", "_nk").dropDuplicates(["_name", "_needle"])
+    pairs = hit.select("_name", "_needle").distinct()
+    return (pairs.withColumn("_nn", norm_text("_name", trim))
+                 .withColumn("_nk", norm_text("_needle", trim)))
 
 
 def score_pairs(pairs: DataFrame) -> DataFrame:

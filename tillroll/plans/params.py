@@ -36,9 +36,8 @@ FIXTURE_COMMENTS = {"A": "Portion = 1 tray", "B": "Portion = 1 dozen"}
 
 
 def recipes_df(spark: SparkSession, rows=None) -> DataFrame:
-    from decimal import Decimal
-    data = [(r, i, Decimal(q), u, p) for r, i, q, u, p in (rows or FIXTURE_RECIPES)]
-    return spark.createDataFrame(data, RECIPES)
+    from tillroll.sources.literal import literal_table
+    return literal_table(spark, rows or FIXTURE_RECIPES, RECIPES)
 
 # Exact-name recipes (Q10): ingredients are whole part names.
 EXACT_RECIPES = [
@@ -85,15 +84,15 @@ PIVOT_COLUMNS = {"A": ("costo_a", 2), "B": ("costo_b", 3)}
 
 
 def rules_df(spark: SparkSession, rows) -> DataFrame:
+    from tillroll.sources.literal import literal_table
     schema = ("nombre string, gramos int, gramos_de_nombre boolean, unidades int, op string, "
               "divisor int, escala int")
-    return spark.createDataFrame(rows, schema)
+    return literal_table(spark, rows, schema)
 
 
 def quantities_df(spark: SparkSession, rows) -> DataFrame:
-    from decimal import Decimal
-    return spark.createDataFrame([(r, n, Decimal(q)) for r, n, q in rows],
-                                 "receta string, nombre string, cantidad_receta decimal(16,6)")
+    from tillroll.sources.literal import literal_table
+    return literal_table(spark, rows, "receta string, nombre string, cantidad_receta decimal(16,6)")
 
 ERRORS_DAY = dt.date(2024, 1, 5)        # "today" of the error listing
 PRODUCT_OF_INTEREST = "blue gear"      # product-name filter of the inspection query
