@@ -32,3 +32,9 @@ def price_change(df: DataFrame, key: str = "producto_id", order: str = "fecha_ex
     return (out.withColumn(abs_out, diff.cast(PRICE))
                .withColumn(pct_out, pct.cast(PCT))
                .drop("_prev"))
+
+
+def change_alerts(changes: DataFrame, threshold_pct: float = 10.0,
+                  pct_col: str = "cambio_porcentual") -> DataFrame:
+    """Rows whose |percent change| exceeds the alert threshold (10 %)."""
+    return changes.where(F.abs(F.col(pct_col)) > F.lit(threshold_pct))

@@ -42,12 +42,15 @@ def with_status(parsed: DataFrame) -> DataFrame:
                   .withColumn("error_message", F.when(~ok, F.lit(NO_DATA_MESSAGE))))
 
 
-def bronze_rows(routed: DataFrame) -> DataFrame:
-    """Bronze shape (price kept as text, dates typed, load date)."""
+def bronze_rows(routed: DataFrame, price_as: str = "string") -> DataFrame:
+    """Bronze shape (price kept as text, dates typed, load date).
+    ``price_as='double'`` is the early variant (A8): a numeric price, where
+    text such as 'Sin stock' becomes null."""
     ok = with_defaults(routed.where(F.col("_ok")))
+    price = F.col("precio").try_cast("double") if price_as == "double" else F.col("precio").cast("string")
     return ok.select(
         "supermercado", F.col("corte").alias("nombre"), "descripcion",
-        F.col("precio").cast("string").alias("precio"), "categoria", "unidad", "url",
+        price.alias("precio"), "categoria", "unidad", "url",
         F.to_date("ingestion_timestamp").alias("fecha_extraccion"), "batch_id",
         "ingestion_timestamp", F.to_date("ingestion_timestamp").alias("load_date"))
 
@@ -106,3 +109,8 @@ def summary_events(metrics: DataFrame) -> DataFrame:
         F.col("urls_target").alias("rows_read"), F.col("rows_success").alias("rows_written"),
         F.lit(METRICS_TYPE).alias("error_type"), payload.alias("error_message"),
         F.lit(None).cast("string").alias("stacktrace"))
+
+
+def low_success_runs(metrics: DataFrame, threshold_pct: float = 90.0) -> DataFrame:
+    """Runs below the operations threshold (success_rate_pct < 90)."""
+    return metrics.where(F.col("success_rate_pct") < F.lit(threshold_pct))

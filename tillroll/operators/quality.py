@@ -125,6 +125,40 @@ def outlier_labels(bronze: DataFrame, approx: bool = False) -> DataFrame:
                            .otherwise(F.lit(PRICE_NORMAL))).drop("_p99", "_p01")
 
 
+def row_flags(bronze: DataFrame, approx: bool = False) -> DataFrame:
+    """B14 + E5 + E6 per row (the exploration's validation rows): null
+    flags, duplicate multiplicity, p99/p01 label, url label, lengths.
+
+    The multiplicity is a grouped count joined back on the (null-safe) key,
+    not a window over a possibly hot key."""
+    valid = with_price(bronze, out="precio_num")
+    valid = valid.where(F.col("precio_num").isNotNull() & (F.col("precio_num") > 0))
+    keys = ("supermercado", "nombre", "fecha_extraccion")
+    counts = valid.groupBy(*keys).agg(F.count(F.lit(1)).alias("duplicados"))
+    counts = counts.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], "duplicados")
+    cond = None
+    for i, k in enumerate(keys):
+        c = valid[k].eqNullSafe(counts[f"_k{i}"])
+        cond = c if cond is None else cond & c
+    rows = valid.join(counts, cond).drop(*[f"_k{i}" for i in range(len(keys))])
+    stats = group_percentiles(valid, ["categoria"], "precio_num", {"_p99": 0.99, "_p01": 0.01}, approx)
+    stats = stats.withColumnRenamed("categoria", "_cat")
+    rows = rows.join(stats, rows.categoria.eqNullSafe(stats._cat))
+    price = F.col("precio_num").cast("double")
+    return rows.select(
+        "supermercado", "nombre", "descripcion", F.col("precio").alias("precio_raw"), "precio_num",
+        "categoria", "url", "fecha_extraccion", "batch_id",
+        flag(F.col("supermercado").isNull()).alias("null_supermercado"),
+        flag(F.col("nombre").isNull()).alias("null_nombre"),
+        flag(F.col("categoria").isNull()).alias("null_categoria"),
+        flag(F.col("url").isNull() | (F.col("url") == "")).alias("null_url"),
+        "duplicados",
+        F.when(price > F.col("_p99"), F.lit(OUTLIER_HIGH)).when(price < F.col("_p01"), F.lit(OUTLIER_LOW))
+         .otherwise(F.lit(PRICE_NORMAL)).alias("precio_outlier"),
+        F.when(~F.col("url").like("http%"), F.lit(URL_INVALID)).otherwise(F.lit(URL_VALID)).alias("url_valida"),
+        F.length("nombre").alias("longitud_nombre"), F.length("descripcion").alias("longitud_descripcion"))
+
+
 # ------------------------------------------------------------------ Q13
 def duplicate_keys(silver: DataFrame, keys=("producto_id", "fecha_extraccion")) -> DataFrame:
     """Keys occurring more than once."""

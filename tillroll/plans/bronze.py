@@ -55,7 +55,7 @@ def history_profile(spark, base):
 
 
 def rows_per_load(spark, base):
-    return H.rows_per_load(bronze_rows(spark, base))
+    return H.rows_per_load(bronze_rows(spark, base)).orderBy(F.col("load_date").desc(), "batch_id")
 
 
 def top_prices(spark, base):
@@ -63,11 +63,12 @@ def top_prices(spark, base):
 
 
 def merge_preview(spark, base):
-    return H.merge_preview(silver(spark, base), P.PREVIEW_DAY, P.PREVIEW_NEXT, P.PREVIEW_FACTOR)
+    return H.merge_preview(silver(spark, base), P.PREVIEW_DAY, P.PREVIEW_NEXT, P.PREVIEW_FACTOR).orderBy(
+        "nombre", "fecha_extraccion")
 
 
 def product_listing(spark, base):
-    return H.product_listing(bronze_rows(spark, base))
+    return H.product_listing(bronze_rows(spark, base)).orderBy("categoria")
 
 
 # ------------------------------------------------------------------ A1-A3
@@ -128,7 +129,17 @@ def errors_of_day(spark, base):
 
 def event_history(spark, base):
     e = audit_events(spark, base).where(F.col("pipeline") == I.PIPELINE)
-    return e.select("event_ts", "status", "batch_id", "rows_read", "rows_written")
+    return e.select("event_ts", "status", "batch_id", "rows_read", "rows_written").orderBy(
+        F.col("event_ts").desc())
+
+
+def low_success_runs(spark, base):
+    return I.low_success_runs(ingest_metrics(spark, base))
+
+
+def ingest_bronze_numeric(spark, base):
+    """The early Bronze shape with a numeric price."""
+    return I.bronze_rows(fetches(spark, base), price_as="double")
 
 
 def product_observations(spark, base):

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tillroll.operators.change import change_alerts as alerts
 from tillroll.operators.change import price_change
 from tillroll.operators.costing import (all_matches_cost, catalogue, exact_name_costs,
                                         ingredient_costs, recipe_pivot, recipe_summary,
@@ -20,8 +21,14 @@ def evolution(spark: SparkSession, base: str, category: str | None = P.PROMO_CAT
     if category is not None:
         s = s.where(F.col("categoria") == F.lit(category))
     out = price_change(s)
-    return out.select("fecha_extraccion", "nombre", "supermercado", "categoria",
-                      "precio_normalizado", "cambio_diario", "cambio_porcentual", "url")
+    out = out.select("fecha_extraccion", "nombre", "supermercado", "categoria",
+                     "precio_normalizado", "cambio_diario", "cambio_porcentual", "url")
+    return out.orderBy(F.col("fecha_extraccion").desc(), "supermercado", "nombre")
+
+
+def change_alerts(spark: SparkSession, base: str) -> DataFrame:
+    """Rows of the evolution whose |change| exceeds 10 %."""
+    return alerts(evolution(spark, base))
 
 
 def evolution_all(spark: SparkSession, base: str) -> DataFrame:
@@ -40,7 +47,8 @@ def recipe_costs(spark: SparkSession, base: str) -> DataFrame:
 
 def recipe_cost_summary(spark: SparkSession, base: str) -> DataFrame:
     """Q6 (flagship)."""
-    return recipe_summary(recipe_costs(spark, base), since=P.SINCE, comments=P.FIXTURE_COMMENTS)
+    return recipe_summary(recipe_costs(spark, base), since=P.SINCE,
+                          comments=P.FIXTURE_COMMENTS).orderBy("receta", "fecha_extraccion")
 
 
 def recipe_cost_all_matches(spark: SparkSession, base: str) -> DataFrame:
@@ -51,19 +59,22 @@ def recipe_cost_all_matches(spark: SparkSession, base: str) -> DataFrame:
 def rule_cost_a(spark: SparkSession, base: str) -> DataFrame:
     """Q8 (first recipe, yield 2)."""
     return rule_recipe_cost(silver(spark, base), P.rules_df(spark, P.RULES_A),
-                            P.quantities_df(spark, P.QTY_A), P.DIVISOR_A, P.SINCE, "costo_receta")
+                            P.quantities_df(spark, P.QTY_A), P.DIVISOR_A, P.SINCE,
+                            "costo_receta").orderBy("fecha_extraccion")
 
 
 def rule_cost_b(spark: SparkSession, base: str) -> DataFrame:
     """Q8 (second recipe, yield 3)."""
     return rule_recipe_cost(silver(spark, base), P.rules_df(spark, P.RULES_B),
-                            P.quantities_df(spark, P.QTY_B), P.DIVISOR_B, P.SINCE, "costo_receta")
+                            P.quantities_df(spark, P.QTY_B), P.DIVISOR_B, P.SINCE,
+                            "costo_receta").orderBy("fecha_extraccion")
 
 
 def rule_pivot(spark: SparkSession, base: str) -> DataFrame:
     """Q9."""
     return recipe_pivot(silver(spark, base), P.rules_df(spark, P.RULES_ALL),
-                        P.quantities_df(spark, P.QTY_A + P.QTY_B), P.PIVOT_COLUMNS, P.SINCE)
+                        P.quantities_df(spark, P.QTY_A + P.QTY_B), P.PIVOT_COLUMNS,
+                        P.SINCE).orderBy("fecha_extraccion")
 
 
 def _sale_catalogue(spark, base):
@@ -74,12 +85,14 @@ def _sale_catalogue(spark, base):
 def exact_name_summary(spark: SparkSession, base: str) -> DataFrame:
     """Q10: summary over the exact-name join."""
     costs = exact_name_costs(_sale_catalogue(spark, base), P.recipes_df(spark, P.EXACT_RECIPES))
-    return recipe_summary(costs, since=P.SINCE, comments=P.FIXTURE_COMMENTS)
+    return recipe_summary(costs, since=P.SINCE, comments=P.FIXTURE_COMMENTS).orderBy(
+        "receta", "fecha_extraccion")
 
 
 def exact_name_unmatched(spark: SparkSession, base: str) -> DataFrame:
     """Q10 live query: ingredients with no equal product name."""
-    return unmatched(P.recipes_df(spark, P.EXACT_RECIPES), _sale_catalogue(spark, base))
+    return unmatched(P.recipes_df(spark, P.EXACT_RECIPES), _sale_catalogue(spark, base)).orderBy(
+        "receta", "ingrediente")
 
 
 def match_diagnostics(spark: SparkSession, base: str) -> DataFrame:
@@ -90,4 +103,4 @@ def match_diagnostics(spark: SparkSession, base: str) -> DataFrame:
 
 def unmatched_ingredients(spark: SparkSession, base: str) -> DataFrame:
     """Q11 (live form): ingredients without any equal product name."""
-    return unmatched(P.recipes_df(spark), silver(spark, base))
+    return unmatched(P.recipes_df(spark), silver(spark, base)).orderBy("receta", "ingrediente")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tillroll.operators import quality as Q
 from tillroll.operators.clean import rejected, with_price
@@ -16,7 +17,12 @@ def bronze_rows(spark: SparkSession, base: str) -> DataFrame:
 
 
 def exploration(spark, base):
-    return Q.exploration_summary(bronze_rows(spark, base))
+    return Q.exploration_summary(bronze_rows(spark, base)).orderBy(
+        F.col("registros_problema").desc(), "tipo_validacion")
+
+
+def row_flags(spark, base):
+    return Q.row_flags(bronze_rows(spark, base))
 
 
 def exploration_extra(spark, base):
@@ -40,15 +46,15 @@ def t4_id_consistency(spark, base):
 
 
 def t5_freshness(spark, base):
-    return Q.freshness(silver(spark, base), P.LATEST_DAY)
+    return Q.freshness(silver(spark, base), P.LATEST_DAY).orderBy(F.col("fecha_extraccion").desc())
 
 
 def t6_stores(spark, base):
-    return Q.store_distribution(silver(spark, base))
+    return Q.store_distribution(silver(spark, base)).orderBy(F.col("total_productos").desc(), "supermercado")
 
 
 def t7_iqr(spark, base):
-    return Q.iqr_outliers(silver(spark, base), P.AS_OF)
+    return Q.iqr_outliers(silver(spark, base), P.AS_OF).orderBy("categoria", "tipo_outlier")
 
 
 def t8_urls(spark, base):

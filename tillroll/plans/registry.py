@@ -28,6 +28,7 @@ _QUERIES: dict[str, Query] = {
     "q02_silver_upsert_counts": bronze.silver_upsert_counts,
     "q03_price_evolution": gold.evolution,
     "q03_price_evolution_all": gold.evolution_all,
+    "q03_change_alerts": gold.change_alerts,
     "q04_unit_catalogue": gold.unit_catalogue,
     "q05_recipe_costs": gold.recipe_costs,
     "q06_recipe_cost_summary": gold.recipe_cost_summary,
@@ -41,6 +42,7 @@ _QUERIES: dict[str, Query] = {
     "q11_unmatched_ingredients": gold.unmatched_ingredients,
     "q12_exploration_summary": qa.exploration,
     "q12_exploration_extra": qa.exploration_extra,
+    "q12_row_flags": qa.row_flags,
     "q13_t1_duplicate_keys": qa.t1_duplicates,
     "q13_t2_null_counts": qa.t2_nulls,
     "q13_t3_price_range": qa.t3_price_range,
@@ -68,6 +70,8 @@ _QUERIES: dict[str, Query] = {
     "q20_run_metrics": bronze.ingest_metrics,
     "q20_etl_events": bronze.ingest_events,
     "q20_summary_events": bronze.ingest_summary,
+    "q20_low_success_runs": bronze.low_success_runs,
+    "q20_ingest_bronze_numeric": bronze.ingest_bronze_numeric,
     "q21_product_listing": bronze.product_listing,
     "a02_targets": bronze.targets,
     "a02_target_counts": bronze.targets_count,
