@@ -12,13 +12,13 @@ T0 = dt.datetime(2026, 4, 10, 0, 0)
 
 
 def bronze_rows(day: dt.date, n: int, price: str = "22499", hour: int = 10, unit: str = "kg", start: int = 0):
-    return [("Coto", f"prod{i}", f"desc{i}", price, "Carnes", unit, f"http://x/{i}", day, "b1",
+    return [("StoreA", f"prod{i}", f"desc{i}", price, "Carnes", unit, f"http://x/{i}", day, "b1",
              dt.datetime.combine(day, dt.time(hour)), day) for i in range(start, start + n)]
 
 
 def test_latest_per_key_keeps_newest(spark):
     day = dt.date(2026, 4, 10)
-    rows = [("Coto", "Asado", "d", p, "Carnes", "kg", "u", day, "b", dt.datetime(2026, 4, 10, h, m), day)
+    rows = [("StoreA", "Asado", "d", p, "Carnes", "kg", "u", day, "b", dt.datetime(2026, 4, 10, h, m), day)
             for p, h, m in (("21999", 10, 0), ("22499", 10, 30), ("21799", 10, 15))]
     s = silver_from_bronze(spark.createDataFrame(rows, BRONZE_PRICES), T0)
     got = s.collect()

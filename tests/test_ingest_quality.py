@@ -20,9 +20,9 @@ def shop_payload(price, name):
 def test_nested_payload_and_routing(spark):
     ts = dt.datetime(2026, 4, 10, 9, 0)
     raw = spark.createDataFrame(
-        [("Bife", "Coto", "http://a", shop_payload(14799.0, "Bife Americano x kg"), "Carnes", "kg"),
-         ("Ajo", "Coto", "http://b", "not json", None, None),
-         ("Sal", "Coto", "http://c", None, "Almacen", "gr")],
+        [("Bife", "StoreA", "http://a", shop_payload(14799.0, "Bife Americano x kg"), "Carnes", "kg"),
+         ("Ajo", "StoreA", "http://b", "not json", None, None),
+         ("Sal", "StoreA", "http://c", None, "Almacen", "gr")],
         "corte string, supermercado string, url string, payload string, categoria string, unidad string")
     parsed = raw.withColumn("precio", shop_price("payload")).withColumn("descripcion", shop_name("payload"))
     routed = I.with_status(I.stamp_batch(parsed, "batch-1", ts))
@@ -40,7 +40,7 @@ def test_nested_payload_and_routing(spark):
 
 
 def test_empty_batch_is_refused(spark):
-    raw = spark.createDataFrame([("Ajo", "Coto", "u", None, None, None)],
+    raw = spark.createDataFrame([("Ajo", "StoreA", "u", None, None, None)],
                                 "corte string, supermercado string, url string, precio string, "
                                 "descripcion string, categoria string")
     routed = I.with_status(I.stamp_batch(raw, "b", dt.datetime(2026, 4, 10)))
@@ -50,11 +50,11 @@ def test_empty_batch_is_refused(spark):
 
 def test_targets_and_defaults(spark):
     cfg = config_df(spark, [
-        {"key": "a", "nombre": "Ajo", "urls": {"Coto": "http://a"}},
+        {"key": "a", "nombre": "Ajo", "urls": {"StoreA": "http://a"}},
         {"key": "b", "nombre": "Sal", "unidad": "gr", "categoria": "Almacen",
-         "urls": {"Coto": "http://b", "Dia": "http://b2"}}])
+         "urls": {"StoreA": "http://b", "StoreB": "http://b2"}}])
     t = sorted(tuple(r) for r in expand_targets(cfg).collect())
-    assert t[0] == ("a", "Ajo", "Sin unidad", "Sin Categoría", "Coto", "http://a")
+    assert t[0] == ("a", "Ajo", "Sin unidad", "Sin Categoría", "StoreA", "http://a")
     c = target_counts(cfg).first()
     assert (c.products_configured, c.urls_target) == (2, 3)
 

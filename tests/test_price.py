@@ -56,7 +56,7 @@ def test_rejected_reasons(spark):
 
 
 def test_surrogate_key_matches_md5(spark):
-    df = spark.createDataFrame([("Coto", "Ajo"), ("Coto", None)], "s string, n string")
+    df = spark.createDataFrame([("StoreA", "Ajo"), ("StoreA", None)], "s string, n string")
     got = [r[0] for r in df.select(surrogate_key("s", "n")).collect()]
-    expect = spark.range(1).select(F.md5(F.lit("Coto|Ajo"))).first()[0]
+    expect = spark.range(1).select(F.md5(F.lit("StoreA|Ajo"))).first()[0]
     assert got == [expect, None]

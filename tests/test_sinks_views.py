@@ -25,10 +25,10 @@ def _routed(spark, rows, batch, ts):
 
 
 def test_write_ingest_run_order_and_guard(spark, scratch):
-    ok = _routed(spark, [("Bife", "Coto", "u1", _payload(100.0, "Bife x kg"), "Carnes", "kg"),
-                         ("Ajo", "Coto", "u2", None, None, None)], "b1", dt.datetime(2026, 4, 10, 9))
+    ok = _routed(spark, [("Bife", "StoreA", "u1", _payload(100.0, "Bife x kg"), "Carnes", "kg"),
+                         ("Ajo", "StoreA", "u2", None, None, None)], "b1", dt.datetime(2026, 4, 10, 9))
     write_ingest_run(spark, ok, scratch)
-    empty = _routed(spark, [("Sal", "Coto", "u3", "{}", None, None)], "b2", dt.datetime(2026, 4, 11, 9))
+    empty = _routed(spark, [("Sal", "StoreA", "u3", "{}", None, None)], "b2", dt.datetime(2026, 4, 11, 9))
     write_ingest_run(spark, empty, scratch)
     bronze = spark.read.parquet(f"{scratch}/bronze").collect()
     assert [(r.nombre, r.precio, r.batch_id) for r in bronze] == [("Bife", "100.0", "b1")]
@@ -56,7 +56,7 @@ def test_reference_recipes_and_views(spark):
         "Pizza": 10, "Empanadas": 11, "Milanesas": 7}
     assert rec.where(F.col("ingrediente") == "Ajo").select("cantidad_necesaria").first()[0] is not None
     silver = spark.createDataFrame(
-        [("id1", "Coto", "Verdura", "Ajo", "Ajo", "http://u", 300.0, "unidad", dt.date(2026, 4, 15))],
+        [("id1", "StoreA", "Verdura", "Ajo", "Ajo", "http://u", 300.0, "unidad", dt.date(2026, 4, 15))],
         "producto_id string, supermercado string, categoria string, nombre string, descripcion string, url string, "
         "precio_normalizado double, unidad string, fecha_extraccion date"
     ).withColumn("precio_normalizado", F.col("precio_normalizado").cast("decimal(18,2)"))

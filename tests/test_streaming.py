@@ -5,7 +5,7 @@ from tillroll.streaming.silver_stream import read_bronze_stream, start_silver_st
 
 
 def _rows(day, n, price="100"):
-    return [("Coto", f"p{i}", "d", price, "Carnes", "kg", f"http://x/{i}", day, "b",
+    return [("StoreA", f"p{i}", "d", price, "Carnes", "kg", f"http://x/{i}", day, "b",
              dt.datetime.combine(day, dt.time(10)), day) for i in range(n)]
 
 

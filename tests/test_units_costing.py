@@ -70,7 +70,7 @@ def test_containment_plan_has_no_nested_loop(spark):
 
 def test_cost_example(spark):
     silver = spark.createDataFrame(
-        [("Morron rojo", "d", "Verdura", Decimal("3799.00"), "kg", "2026-04-15", "u", "Coto")],
+        [("Morron rojo", "d", "Verdura", Decimal("3799.00"), "kg", "2026-04-15", "u", "StoreA")],
         "nombre string, descripcion string, categoria string, precio_normalizado decimal(18,2), unidad string, "
         "fecha_extraccion string, url string, supermercado string").withColumn("fecha_extraccion", F.to_date("fecha_extraccion"))
     rec = spark.createDataFrame([("Pizza", "Morron rojo", Decimal("150"), "gramos", 2)],

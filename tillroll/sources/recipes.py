@@ -1,4 +1,4 @@
-"""The reference's recipe table (gold.recetas), 28 rows of 3 recipes.
+"""The source project's recipe table: 28 rows of 3 recipes.
 
 Fixed values: (recipe, ingredient, quantity, recipe unit, portions), in the
 order the source lists them.
