@@ -32,8 +32,12 @@ def quality_condition(price: str = "precio_normalizado", required=REQUIRED,
                       date_col: str | None = None) -> Column:
     """Price parsed and > 0, required columns not null.  ``date_col``
     additionally rejects a null observation date (a null key never matches
-    an upsert and would be inserted again on every run)."""
-    cond = F.col(price).isNotNull() & (F.col(price) > 0)
+    an upsert and would be inserted again on every run).
+
+    ``price > 0`` alone also drops an unparsed (null) price; written this
+    way the parse expression, which Catalyst pushes into the scan, is
+    evaluated once per row instead of twice."""
+    cond = F.col(price) > 0
     for c in required:
         cond = cond & F.col(c).isNotNull()
     if date_col:

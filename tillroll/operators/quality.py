@@ -85,7 +85,7 @@ def exploration_summary(bronze: DataFrame, extra: bool = False, approx: bool = F
     ``extra=True`` adds the two checks the source computes but never
     reports (low outliers, url without http)."""
     valid = with_price(bronze, out="precio_num")
-    valid = valid.where(F.col("precio_num").isNotNull() & (F.col("precio_num") > 0))
+    valid = valid.where(F.col("precio_num") > 0)
     stats = group_percentiles(valid, ["categoria"], "precio_num", {"_p99": 0.99, "_p01": 0.01}, approx)
     rows = valid.join(stats, valid.categoria.eqNullSafe(stats.categoria)).drop(stats.categoria)
     price = F.col("precio_num").cast("double")
@@ -115,7 +115,7 @@ def exploration_summary(bronze: DataFrame, extra: bool = False, approx: bool = F
 def outlier_labels(bronze: DataFrame, approx: bool = False) -> DataFrame:
     """E6 per row: p99/p01 label by category and url label (row-level form)."""
     valid = with_price(bronze, out="precio_num")
-    valid = valid.where(F.col("precio_num").isNotNull() & (F.col("precio_num") > 0))
+    valid = valid.where(F.col("precio_num") > 0)
     stats = group_percentiles(valid, ["categoria"], "precio_num", {"_p99": 0.99, "_p01": 0.01}, approx)
     rows = valid.join(stats, valid.categoria.eqNullSafe(stats.categoria)).drop(stats.categoria)
     price = F.col("precio_num").cast("double")
@@ -132,7 +132,7 @@ def row_flags(bronze: DataFrame, approx: bool = False) -> DataFrame:
     The multiplicity is a grouped count joined back on the (null-safe) key,
     not a window over a possibly hot key."""
     valid = with_price(bronze, out="precio_num")
-    valid = valid.where(F.col("precio_num").isNotNull() & (F.col("precio_num") > 0))
+    valid = valid.where(F.col("precio_num") > 0)
     keys = ("supermercado", "nombre", "fecha_extraccion")
     counts = valid.groupBy(*keys).agg(F.count(F.lit(1)).alias("duplicados"))
     counts = counts.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], "duplicados")
