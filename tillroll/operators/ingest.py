@@ -13,6 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tillroll.functions.text import iso_seconds, ntz_lit
 from tillroll.operators.clean import with_defaults
 
 # Pipeline identity, statuses and messages.
@@ -30,8 +31,8 @@ def stamp_batch(df: DataFrame, batch_id, ingested_at) -> DataFrame:
     """The same batch id and ingestion time on every row of a run
     (``batch_id``/``ingested_at`` are literals for one run or columns)."""
     b = batch_id if isinstance(batch_id, Column) else F.lit(batch_id)
-    t = ingested_at if isinstance(ingested_at, Column) else F.lit(ingested_at)
-    return df.withColumn("batch_id", b).withColumn("ingestion_timestamp", t.cast("timestamp_ntz"))
+    t = ingested_at.cast("timestamp_ntz") if isinstance(ingested_at, Column) else ntz_lit(ingested_at)
+    return df.withColumn("batch_id", b).withColumn("ingestion_timestamp", t)
 
 
 def with_status(parsed: DataFrame) -> DataFrame:
@@ -75,7 +76,7 @@ def run_metrics(routed: DataFrame, pipeline: str = PIPELINE, source: str = SOURC
     return g.select(
         F.col("ingestion_timestamp").alias("event_ts"), F.lit(pipeline).alias("pipeline"),
         F.lit(source).alias("source"), "batch_id",
-        F.date_format("ingestion_timestamp", "yyyy-MM-dd'T'HH:mm:ss").alias("ingestion_timestamp"),
+        iso_seconds("ingestion_timestamp").alias("ingestion_timestamp"),
         "products_configured", "urls_target", "rows_success", "rows_error",
         F.coalesce(rate, F.lit(0)).cast("double").alias("success_rate_pct"))
 

@@ -7,6 +7,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tillroll.functions.text import day_start, ntz_lit, ymd_text
 from tillroll.operators import history as H
 from tillroll.operators import ingest as I
 from tillroll.operators.upsert import upsert, upsert_counts
@@ -25,7 +26,7 @@ def _upsert_inputs(spark, base):
                .withColumn("precio_normalizado", (F.col("precio_normalizado") + 1).cast("decimal(18,2)"))
                .withColumn("unidad", F.upper("unidad"))
                .withColumn("fecha_actualizacion",
-                           F.lit(P.UPDATED_AT + dt.timedelta(days=1)).cast("timestamp_ntz")))
+                           ntz_lit(P.UPDATED_AT + dt.timedelta(days=1))))
     return target, source
 
 
@@ -86,8 +87,7 @@ def fetches(spark: SparkSession, base: str) -> DataFrame:
     raw = raw_payloads(spark, base)
     parsed = (raw.withColumn("precio", json_field("payload", "$.k"))
                  .withColumn("descripcion", json_field("payload", "$.name")))
-    stamped = I.stamp_batch(parsed, F.date_format("fetched_at", "yyyyMMdd"),
-                            F.date_trunc("day", "fetched_at"))
+    stamped = I.stamp_batch(parsed, ymd_text("fetched_at", sep=""), day_start("fetched_at"))
     return I.with_status(stamped)
 
 

@@ -7,14 +7,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tillroll.plans import bronze, gold, oracle, qa, silver
-from tillroll.session import ensure_checkpoint_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
 def prepare(spark: SparkSession) -> None:
-    spark.conf.set("spark.sql.session.timeZone", "UTC")
-    ensure_checkpoint_dir(spark)
+    """Nothing to configure: the queries are independent of the session
+    time zone, and only writers (which ensure it themselves) need a
+    checkpoint folder."""
 
 
 def _bronze(spark, base):

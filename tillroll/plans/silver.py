@@ -7,6 +7,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tillroll.functions.text import ntz_lit
 from tillroll.operators.clean import (quality_filter, to_silver, with_price,
                                       with_product_id)
 from tillroll.operators.dedup import latest_per_key
@@ -32,7 +33,7 @@ def silver_from_bronze(bronze: DataFrame, updated_at: dt.datetime = params.UPDAT
     keyed = with_product_id(clean)
     newest = latest_per_key(keyed, ["producto_id", "fecha_extraccion"],
                             order if order is not None else bronze_order(bronze.columns))
-    return to_silver(newest, F.lit(updated_at).cast("timestamp_ntz"))
+    return to_silver(newest, ntz_lit(updated_at))
 
 
 def bronze(spark: SparkSession, base: str) -> DataFrame:

@@ -26,6 +26,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tillroll.functions.text import ymd_text
 from tillroll.schemas import PRICE
 from tillroll.sources.tables import read_table, spread
 
@@ -87,7 +88,7 @@ def price_feed(spark: SparkSession, base: str, with_tie_break: bool = True) -> D
         unit.alias("unidad"),
         F.concat(F.lit("http://s/"), F.col("l_partkey").cast("string")).alias("url"),
         F.trunc(F.to_date("l_shipdate"), "month").alias("fecha_extraccion"),
-        F.date_format("l_shipdate", "yyyy-MM").alias("batch_id"),
+        ymd_text("l_shipdate", parts=2).alias("batch_id"),
         F.col("l_shipdate").alias("ingestion_timestamp"),
         F.to_date("l_shipdate").alias("load_date"),
     ]
