@@ -23,7 +23,6 @@ def test_recipe_match_has_no_nested_loop(spark):
 
 
 def test_category_filter_reaches_scan(spark):
-    p = spark.sparkContext  # noqa: F841
     df = gold.evolution(spark, SF_SMALL)
     text = df._jdf.queryExecution().optimizedPlan().toString()
     # the category filter is applied below the window (on part rows)
