@@ -74,22 +74,23 @@ def merge_into_path(spark: SparkSession, source: DataFrame, path: str,
                     require_unique: bool = True, full_refresh: bool = False) -> None:
     """Upsert ``source`` into the parquet history at ``path``.
 
-    ``require_unique`` refuses a source with duplicate keys (the MERGE
-    error the source tables raise without dedup).  ``full_refresh`` (A20)
-    rewrites the table from the source alone."""
-    if require_unique and not assert_unique(source, keys).isEmpty():
-        raise ValueError(f"source has duplicate keys on {list(keys)}")
-    writer_opts = {"partitionOverwriteMode": "dynamic"}
+    The merged partitions are materialised once (reliable checkpoint), so
+    the source is computed exactly once; ``require_unique`` then checks the
+    materialised rows for duplicate keys (a source with duplicate keys, the
+    error MERGE raises without dedup) before anything is written, leaving
+    the table untouched on failure.  ``full_refresh`` (A20) rewrites the
+    table from the source alone."""
+    ensure_checkpoint_dir(spark)
     target = None if full_refresh else _read_or_none(spark, path)
     if target is None:
-        out = source
-        mode = "overwrite"
+        out = source.checkpoint(eager=True)
         writer_opts = {}
     else:
-        ensure_checkpoint_dir(spark)
         dates = source.select(partition_col).distinct()
         touched = target.join(dates, partition_col, "left_semi")
         out = upsert(touched.select(*source.columns), source, keys, update_cols).checkpoint(eager=True)
-        mode = "overwrite"
+        writer_opts = {"partitionOverwriteMode": "dynamic"}
+    if require_unique and not assert_unique(out, keys).isEmpty():
+        raise ValueError(f"duplicate keys on {list(keys)} in the source (or the history)")
     (out.hint("rebalance", partition_col)
-        .write.mode(mode).options(**writer_opts).partitionBy(partition_col).parquet(path))
+        .write.mode("overwrite").options(**writer_opts).partitionBy(partition_col).parquet(path))
