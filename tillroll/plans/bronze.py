@@ -64,8 +64,15 @@ def top_prices(spark, base):
 
 
 def merge_preview(spark, base):
-    return H.merge_preview(silver(spark, base), P.PREVIEW_DAY, P.PREVIEW_NEXT, P.PREVIEW_FACTOR).orderBy(
-        "nombre", "fecha_extraccion")
+    """Q18, all rows: current history plus the simulated day."""
+    return H.merge_preview(silver(spark, base), P.PREVIEW_DAY, P.PREVIEW_NEXT, P.PREVIEW_FACTOR)
+
+
+def merge_preview_top(spark, base):
+    """Q18 as the source shows it: the first rows by (name, date); a top-k,
+    planned per partition (no global sort of the history)."""
+    return H.merge_preview(silver(spark, base), P.PREVIEW_DAY, P.PREVIEW_NEXT, P.PREVIEW_FACTOR,
+                           limit=P.PREVIEW_ROWS)
 
 
 def product_listing(spark, base):

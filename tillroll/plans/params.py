@@ -23,6 +23,7 @@ UPSERT_SOURCE_FROM = dt.date(1997, 1, 1)            # source = silver from this
 PREVIEW_DAY = dt.date(2001, 10, 1)                  # day copied by the merge preview
 PREVIEW_NEXT = dt.date(2001, 10, 2)
 PREVIEW_FACTOR = "1.05"
+PREVIEW_ROWS = 20
 
 # Recipes over the fixture's part names: (recipe, ingredient, qty, unit, portions).
 FIXTURE_RECIPES = [

@@ -60,6 +60,7 @@ _QUERIES: dict[str, Query] = {
     "q17_rows_per_load": bronze.rows_per_load,
     "q17_top_prices": bronze.top_prices,
     "q18_merge_preview": bronze.merge_preview,
+    "q18_merge_preview_top": bronze.merge_preview_top,
     "q19_failed_events": bronze.failed_events,
     "q19_latest_run": bronze.latest_run,
     "q19_errors_of_day": bronze.errors_of_day,
