@@ -4,9 +4,10 @@ The reference runs its Silver MERGE as a scheduled batch over all of
 Bronze.  The same result is kept incrementally: each micro-batch of newly
 arrived Bronze rows is cleaned, deduplicated and upserted into the dated
 history with ``merge_into_path`` (only the dates in the batch are
-rewritten).  The upsert is keyed and idempotent, so a micro-batch replayed
-after a failure gives the same table; progress lives in the checkpoint
-location (a shared folder on a cluster).
+rewritten).  The upsert is keyed, so a micro-batch replayed after a
+failure gives the same rows (only ``fecha_actualizacion`` records the
+replay time, unless ``updated_at`` is fixed); progress lives in the
+checkpoint location (a shared folder on a cluster).
 """
 
 from __future__ import annotations
