@@ -99,3 +99,15 @@ def test_exploration_percent_text(spark):
     assert got["Registros duplicados"] == (2, "66.67%")
     assert got["Nombres muy cortos (<3 caracteres)"] == (1, "33.33%")
     assert len(got) == 7
+
+
+def test_text_stamps_are_typed(spark):
+    raw = spark.createDataFrame(
+        [("Ajo", "StoreA", "u1", "100", None, None, None, "15-04-2026", "2026-04-15T09:30:00"),
+         ("Sal", "StoreA", "u2", "200", None, None, None, "31-02-2026", "not a time")],
+        "corte string, supermercado string, url string, precio string, descripcion string, categoria string, "
+        "unidad string, fecha_extraccion string, ingestion_timestamp string")
+    typed = I.typed_stamps(raw)
+    routed = I.with_status(typed.withColumn("batch_id", F.lit("b")))
+    got = sorted((r.nombre, r.fecha_extraccion, r.ingestion_timestamp) for r in I.bronze_rows(routed).collect())
+    assert got == [("Ajo", dt.date(2026, 4, 15), dt.datetime(2026, 4, 15, 9, 30)), ("Sal", None, None)]

@@ -24,6 +24,7 @@ NO_DATA_MESSAGE = "No se pudo extraer información"
 EMPTY_BATCH_ERROR = "ValueError"
 EMPTY_BATCH_MESSAGE = "El scraping no devolvió filas; no se puede cargar una tabla vacía."
 STARTED, SUCCESS, FAILED, SUMMARY = "STARTED", "SUCCESS", "FAILED", "SUMMARY"
+RUN_DATE_FORMAT = "dd-MM-yyyy"
 METRICS_TYPE = "RUN_METRICS"
 
 
@@ -31,10 +32,19 @@ def stamp_batch(df: DataFrame, batch_id, ingested_at) -> DataFrame:
     """The same batch id and ingestion time on every row of a run
     (``batch_id``/``ingested_at`` are literals for one run or columns)."""
     b = batch_id if isinstance(batch_id, Column) else F.lit(batch_id)
-    t = ingested_at.cast("timestamp_ntz") if isinstance(ingested_at, Column) else ntz_lit(ingested_at)
+    t = ingested_at.try_cast("timestamp_ntz") if isinstance(ingested_at, Column) else ntz_lit(ingested_at)
     return df.withColumn("batch_id", b).withColumn("ingestion_timestamp", t)
 
 
+def typed_stamps(df: DataFrame, date_col: str = "fecha_extraccion", ts_col: str = "ingestion_timestamp",
+                 date_format: str = RUN_DATE_FORMAT) -> DataFrame:
+    """A run date written as text ('dd-MM-yyyy') and an ISO ingest time
+    become DATE and TIMESTAMP_NTZ; unparsable text becomes null (no error),
+    and no session time zone is involved."""
+    return (df.withColumn(date_col, F.call_function("try_to_date", F.col(date_col), F.lit(date_format)))
+              .withColumn(ts_col, F.col(ts_col).try_cast("timestamp_ntz")))
+
+
 def with_status(parsed: DataFrame) -> DataFrame:
     """A5: a fetch succeeded when a price was extracted."""
     ok = F.col("precio").isNotNull()
@@ -49,10 +59,13 @@ def bronze_rows(routed: DataFrame, price_as: str = "string") -> DataFrame:
     text such as 'Sin stock' becomes null."""
     ok = with_defaults(routed.where(F.col("_ok")))
     price = F.col("precio").try_cast("double") if price_as == "double" else F.col("precio").cast("string")
+    # the run date of the fetch when the row carries one, else the day of the ingest time
+    day = (F.coalesce(F.col("fecha_extraccion"), F.to_date("ingestion_timestamp"))
+           if "fecha_extraccion" in routed.columns else F.to_date("ingestion_timestamp"))
     return ok.select(
         "supermercado", F.col("corte").alias("nombre"), "descripcion",
         price.alias("precio"), "categoria", "unidad", "url",
-        F.to_date("ingestion_timestamp").alias("fecha_extraccion"), "batch_id",
+        day.alias("fecha_extraccion"), "batch_id",
         "ingestion_timestamp", F.to_date("ingestion_timestamp").alias("load_date"))
 
 
