@@ -4,8 +4,9 @@ Containment ("name contains ingredient", case-insensitive) is a theta join.
 Instead of a nested loop over names x ingredients we index it exactly with
 an equi-join:
 
-* every distinct product name is exploded into its substrings of length
-  1..GRAM at every position (about GRAM x name length rows per name);
+* every distinct product name is exploded into its substrings of the
+  lengths the needle keys have (1..GRAM, usually just GRAM) at every
+  position (at most GRAM x name length rows per name);
 * every ingredient is keyed by its first min(len, GRAM) characters;
 * the two are joined on (length, substring) and each candidate is verified
   by comparing the whole ingredient at the candidate position.
@@ -42,7 +43,10 @@ def contains_pairs(names: DataFrame, name_col: str, needles: DataFrame, needle_c
          .withColumn("_klen", F.least(F.length("_nk"), F.lit(gram)))
          .withColumn("_key", F.col("_nk").substr(F.lit(1), F.col("_klen"))))
     nlen = F.length("_nn")
+    # only substring lengths some needle key has (at most ``gram`` values)
+    lengths = k.select(F.col("_klen").alias("_g")).distinct()
     grams = (n.withColumn("_g", F.explode(F.sequence(F.lit(1), F.lit(gram))))
+              .join(lengths, "_g", "left_semi")
               .withColumn("_pos", F.explode(F.when(nlen >= F.col("_g"),
                                                    F.sequence(F.lit(1), nlen - F.col("_g") + 1))))
               .withColumn("_gram", F.col("_nn").substr(F.col("_pos"), F.col("_g"))))
