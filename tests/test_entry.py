@@ -1,6 +1,8 @@
 import __spark_entry__ as E
 from conftest import SF_SMALL
 
+from tillroll.plans import registry
+
 
 def test_entry_runs(spark):
     df = E.entry(spark)
@@ -10,8 +12,9 @@ def test_entry_runs(spark):
 
 
 def test_every_query_has_oracle_and_runs(spark):
-    qs, sql = E.queries(), E.oracle_sql()
+    qs, sql = registry.queries(), registry.oracle_sql()
     assert set(qs) == set(sql)
+    assert set(qs) <= set(E.queries()) and set(sql) <= set(E.oracle_sql())
     for name, fn in qs.items():
         df = fn(spark, SF_SMALL)
         df.write.format("noop").mode("overwrite").save()
