@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillroll.llm import bpe, exact_dedup, simhash
+from tillroll.llm import bpe, exact_dedup, mixing, quality, simhash
 from tillroll.llm.common import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -17,11 +17,25 @@ Query = Callable[[SparkSession, str], DataFrame]
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
 
+def op2_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = mixing.allocate(read(spark, sf_dir, "documents").select("doc_id", "source", "text"))
+    return rows.select("row.doc_id", "size", "source_size", "target",
+                       (F.col("size") * F.col("copies")).alias("taken"))
+
+
 def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     groups = exact_dedup.exact_groups(read(spark, sf_dir, "documents"))
     return groups.select("doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256"))
 
 
+def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    model = quality.fit(docs, read(spark, sf_dir, "labels"))
+    scored = quality.score(docs, model)
+    return scored.select("doc_id", (~quality.learnable(F.col("doc_id"))).alias("held_out"), "score",
+                         (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
 def op6_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.coded_digests(read(spark, sf_dir, "documents"), TOKENIZER)
 
@@ -32,13 +46,52 @@ def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op2_source_mixing": op2_source_mixing,
     "op3_exact_dedup": op3_exact_dedup,
+    "op5_quality_classifier": op5_quality_classifier,
     "op6_bpe_codec": op6_bpe_codec,
     "op10_simhash_near_dedup": op10_simhash_near_dedup,
 }
 
 #: DuckDB SQL of the operators that SQL can express.
 ORACLE_SQL: dict[str, str] = {
+    "op2_source_mixing": r"""
+        WITH docs AS (
+            SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size,
+                   ('0x' || substr(md5('mix:' || coalesce(doc_id::VARCHAR, '')), 1, 12))::BIGINT AS ticket
+            FROM documents),
+        placed AS (
+            SELECT source, sum(size)::BIGINT AS source_size, row_number() OVER (ORDER BY source NULLS LAST) AS place
+            FROM docs GROUP BY source),
+        weighed AS (
+            SELECT *, 2.0::DOUBLE * source_size AS cap,
+                   CASE (place - 1) % 3 WHEN 0 THEN 3 WHEN 1 THEN 1 ELSE 2 END::DOUBLE AS weight
+            FROM placed),
+        levels AS (
+            SELECT *, (1.5::DOUBLE * (sum(source_size) OVER ())::BIGINT
+                       - coalesce(sum(cap) OVER (ORDER BY cap / weight, place
+                                                 ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
+                      / sum(weight) OVER (ORDER BY cap / weight, place
+                                          ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level
+            FROM weighed),
+        aims AS (
+            SELECT source, source_size,
+                   CASE WHEN cap > weight * level THEN weight * first(level) OVER (
+                            PARTITION BY cap > weight * level ORDER BY cap / weight, place)
+                        ELSE cap END AS target
+            FROM levels),
+        plans AS (
+            SELECT *, CASE WHEN source_size > 0 THEN floor(target / source_size)::BIGINT ELSE 0 END AS whole
+            FROM aims),
+        ordered AS (
+            SELECT d.doc_id, d.size, p.source_size, p.target, p.whole, target - whole * source_size AS rest,
+                   coalesce(sum(d.size) OVER (PARTITION BY d.source ORDER BY ticket, doc_id::VARCHAR, size
+                                              ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS run
+            FROM docs d JOIN plans p ON d.source IS NOT DISTINCT FROM p.source)
+        SELECT doc_id, size, source_size, target,
+               size * (whole + (rest > 0 AND 2 * run + size <= 2 * rest)::BIGINT) AS taken
+        FROM ordered
+    """,
     "op3_exact_dedup": """
         SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
                doc_id = max(doc_id) OVER same AS kept, sha256(coalesce(text, '')) AS text_sha256
