@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillroll.llm import bpe, exact_dedup, mixing, quality, simhash, vafile
+from tillroll.llm import bpe, exact_dedup, mixing, pii, quality, secret_scan, simhash, vafile
 from tillroll.llm.common import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -44,6 +44,14 @@ def op6_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.coded_digests(read(spark, sf_dir, "documents"), TOKENIZER)
 
 
+def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.report(secret_scan.scan(read(spark, sf_dir, "documents")))
+
+
+def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.report(pii.scan(read(spark, sf_dir, "documents")))
+
+
 def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.simhash_components(read(spark, sf_dir, "documents"), shingle=3, budget=2)
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
@@ -55,6 +63,8 @@ QUERIES: dict[str, Query] = {
     "op4_exact_top_k": op4_exact_top_k,
     "op5_quality_classifier": op5_quality_classifier,
     "op6_bpe_codec": op6_bpe_codec,
+    "op7_secret_scan": op7_secret_scan,
+    "op9_pii": op9_pii,
     "op10_simhash_near_dedup": op10_simhash_near_dedup,
 }
 
