@@ -36,9 +36,9 @@ CARD = r"[0-9](?:[\x20-]?[0-9]){15,}+"
 PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
 KINDS = ("email", "ip", "card", "phone")
 ADDED = "learned"
-#: A token that holds a digit.
-TOKEN = rf"(?<![^{BLANKS}])[^{BLANKS}0-9]*+[0-9][^{BLANKS}]*+"
-#: Characters in front of a token that are searched for its two words.
+#: A token from its first digit on; what precedes the digit comes from the
+#: text in front, of which ``FRONT`` characters are read.
+TOKEN = rf"[0-9][^{BLANKS}]*+"
 FRONT = 96
 
 
@@ -71,10 +71,15 @@ def base_spans(text: Column) -> dict[str, Column]:
             "phone": F.filter(all_of(PHONE), lambda s: count(s).between(8, 15))}
 
 
-def _pattern(before: Column) -> Column:
-    """The last two words in front of a token, lower-cased; null if fewer."""
-    words = F.filter(F.split(F.lower(before), f"[{BLANKS}]+"), lambda w: w != "")
-    return F.when(F.size(words) >= 2, F.concat_ws(" ", F.element_at(words, -2), F.element_at(words, -1)))
+def _whole_token(t: Column) -> Column:
+    """A match of TOKEN with the token's characters in front of the digit, and
+    its pattern: the two words before it, lower-cased (null if fewer)."""
+    words = F.split(t["before"], f"[{BLANKS}]+", -1)
+    head = F.element_at(words, -1)
+    front = F.filter(F.slice(words, 1, F.size(words) - 1), lambda w: w != "")
+    pattern = F.when(F.size(front) >= 2, F.lower(F.concat_ws(" ", F.element_at(front, -2), F.element_at(front, -1))))
+    return F.struct((t["start"] - F.length(head)).alias("start"), t["end"].alias("end"),
+                    F.concat(head, t["text"]).alias("text"), pattern.alias("pattern"))
 
 
 def _occurrences(tokens: str, seeds: Column) -> Column:
@@ -83,12 +88,12 @@ def _occurrences(tokens: str, seeds: Column) -> Column:
     def one(t):
         own = F.filter(seeds, lambda s: overlaps(t, s))
         bare = F.regexp_replace(t["text"], r"^[^\p{L}\p{N}+]+|[^\p{L}\p{N}]+$", "")
-        return F.struct(_pattern(t["before"]).alias("pattern"),
+        return F.struct(t["pattern"].alias("pattern"),
                         F.when(F.size(own) > 0, F.element_at(own, 1)["text"]).otherwise(bare).alias("instance"),
                         t["start"].alias("start"), t["end"].alias("end"), (F.size(own) > 0).alias("seed"),
                         ((F.size(own) > 0) & (F.element_at(own, 1)["start"] < t["start"])).alias("goes_on"))
 
-    some = F.transform(tokens, one)
+    some = F.transform(F.transform(tokens, _whole_token), one)
     return F.filter(some, lambda o: o["pattern"].isNotNull() & ~F.coalesce(o["goes_on"], F.lit(False)))
 
 
@@ -135,13 +140,17 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rounds
 
 def _pattern_counts(texts: DataFrame, patterns: DataFrame, small: int = 100_000) -> DataFrame:
     """How often each of ``patterns`` (two adjacent words) occurs in the corpus
-    in front of anything."""
-    words = F.split(F.lower(F.coalesce(F.col("text"), F.lit(""))), f"[{BLANKS}]+")
+    in front of anything.  Word pairs travel as 64-bit hashes; a collision
+    could only make a pattern look more common, hence less sure."""
+    plain = F.translate(F.lower(F.coalesce(F.col("text"), F.lit(""))), "\t\n\x0b\x0c\r", " " * 5)
+    words = F.array_remove(F.split(plain, " "), "")
     pairs = (texts.select(words.alias("w")).where(F.size("w") > 1)
              .select(F.zip_with(F.slice("w", 1, F.size("w") - 1), F.slice("w", 2, F.size("w") - 1),
-                                lambda a, b: F.concat(a, F.lit(" "), b)).alias("pairs")))
-    few = F.broadcast(patterns) if patterns.count() <= small else patterns
-    return (pairs.select(F.explode("pairs").alias("pattern")).join(few, "pattern")
+                                lambda a, b: F.xxhash64(a, b)).alias("pairs")))
+    both = F.split("pattern", " ")
+    keyed = patterns.select("pattern", F.xxhash64(both[0], both[1]).alias("pair"))
+    few = F.broadcast(keyed) if patterns.count() <= small else keyed
+    return (pairs.select(F.explode("pairs").alias("pair")).join(few, "pair")
             .groupBy("pattern").agg(F.count(F.lit(1)).alias("occurrences")))
 
 

@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillroll.llm import bpe, exact_dedup, mixing, pii, quality, secret_scan, simhash, vafile
+from tillroll.llm import bpe, chat, exact_dedup, license_scan, mixing, pii, quality, secret_scan, simhash, vafile
 from tillroll.llm.common import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -17,6 +17,10 @@ Query = Callable[[SparkSession, str], DataFrame]
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
 
+def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan(read(spark, sf_dir, "documents"))
+
+
 def op2_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = mixing.allocate(read(spark, sf_dir, "documents").select("doc_id", "source", "text"))
     return rows.select("row.doc_id", "size", "source_size", "target",
@@ -48,6 +52,12 @@ def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.report(secret_scan.scan(read(spark, sf_dir, "documents")))
 
 
+def op8_chat_rotation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rendered = chat.rotate(read(spark, sf_dir, "conversations"))
+    spans = F.transform("mask", lambda m: F.concat_ws(":", m["start"].cast("string"), m["end"].cast("string")))
+    return rendered.withColumn("mask", F.array_join(spans, ","))
+
+
 def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.report(pii.scan(read(spark, sf_dir, "documents")))
 
@@ -58,12 +68,14 @@ def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_license_scan": op1_license_scan,
     "op2_source_mixing": op2_source_mixing,
     "op3_exact_dedup": op3_exact_dedup,
     "op4_exact_top_k": op4_exact_top_k,
     "op5_quality_classifier": op5_quality_classifier,
     "op6_bpe_codec": op6_bpe_codec,
     "op7_secret_scan": op7_secret_scan,
+    "op8_chat_rotation": op8_chat_rotation,
     "op9_pii": op9_pii,
     "op10_simhash_near_dedup": op10_simhash_near_dedup,
 }
@@ -125,4 +137,27 @@ ORACLE_SQL: dict[str, str] = {
             FROM pairs)
         SELECT * FROM ranked WHERE rank <= 20
     """,
+    "op8_chat_rotation": """
+        WITH turns AS (
+            SELECT DISTINCT conv_id, turn, coalesce(nullif(role, ''), 'unknown') AS name,
+                   replace(coalesce(text, ''), '<|', '< |') AS body, coalesce(floor(turn / 4096), 0)::BIGINT AS part
+            FROM conversations WHERE conv_id IS NOT NULL),
+        people AS (SELECT DISTINCT conv_id, name AS perspective FROM turns WHERE name <> 'system'),
+        lines AS (
+            SELECT t.*, perspective, name = perspective AS own,
+                   CASE WHEN name = perspective THEN '<|assistant|>' WHEN name = 'system' THEN '<|system|>'
+                        ELSE '<|user:' || replace(name, '<|', '< |') || '|>' END || chr(10) AS head,
+                   body || '<|end|>' || chr(10) AS tail
+            FROM turns t JOIN people USING (conv_id)),
+        placed AS (
+            SELECT *, sum(length(head) + length(tail)) OVER (
+                       PARTITION BY conv_id, perspective, part ORDER BY turn NULLS FIRST, name, body
+                       ROWS UNBOUNDED PRECEDING) AS stop
+            FROM lines)
+        SELECT conv_id, perspective, part, count(*) AS n_turns,
+               string_agg(head || tail, '' ORDER BY stop) AS text,
+               coalesce(string_agg((stop - length(tail))::VARCHAR || ':' || stop::VARCHAR, ',' ORDER BY stop)
+                        FILTER (own), '') AS mask
+        FROM placed GROUP BY conv_id, perspective, part
+    """,
 }
