@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillroll.llm.common import BLANKS, cut
-from tillroll.llm.spans import joined, labelled, overlaps, spans
+from tillroll.llm.spans import joined, labelled, let, overlaps, spans
 
 # The contract's patterns, written so that no search starts twice
 # within one run of characters (same matches, linear time and stack).
@@ -59,41 +59,42 @@ def _byte_parts(text: Column) -> Column:
 
 
 def base_spans(text: Column) -> dict[str, Column]:
-    def all_of(pattern):
-        return spans(text, F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), pattern)
-
     def count(s):
         return F.length(_digits(s["text"]))
 
-    return {"email": all_of(EMAIL),
-            "ip": F.filter(all_of(IP), lambda s: _byte_parts(s["text"])),
-            "card": F.filter(all_of(CARD), lambda s: count(s).between(16, 19) & _luhn(s["text"])),
-            "phone": F.filter(all_of(PHONE), lambda s: count(s).between(8, 15))}
+    return {"email": spans(text, EMAIL),
+            "ip": F.filter(spans(text, IP), lambda s: _byte_parts(s["text"])),
+            "card": F.filter(spans(text, CARD), lambda s: count(s).between(16, 19) & _luhn(s["text"])),
+            "phone": F.filter(spans(text, PHONE), lambda s: count(s).between(8, 15))}
 
 
 def _whole_token(t: Column) -> Column:
     """A match of TOKEN with the token's characters in front of the digit, and
     its pattern: the two words before it, lower-cased (null if fewer)."""
-    words = F.split(t["before"], f"[{BLANKS}]+", -1)
-    head = F.element_at(words, -1)
-    front = F.filter(F.slice(words, 1, F.size(words) - 1), lambda w: w != "")
-    pattern = F.when(F.size(front) >= 2, F.lower(F.concat_ws(" ", F.element_at(front, -2), F.element_at(front, -1))))
-    return F.struct((t["start"] - F.length(head)).alias("start"), t["end"].alias("end"),
-                    F.concat(head, t["text"]).alias("text"), pattern.alias("pattern"))
+    def whole(words):
+        head = F.element_at(words, -1)
+        front = F.filter(F.slice(words, 1, F.size(words) - 1), lambda w: w != "")
+        pattern = let(front, lambda f: F.when(F.size(f) >= 2, F.lower(F.concat_ws(
+            " ", F.element_at(f, -2), F.element_at(f, -1)))))
+        return F.struct((t["start"] - F.length(head)).alias("start"), t["end"].alias("end"),
+                        F.concat(head, t["text"]).alias("text"), pattern.alias("pattern"))
+
+    return let(F.split(t["before"], f"[{BLANKS}]+", -1), whole)
 
 
-def _occurrences(tokens: str, seeds: Column) -> Column:
+def _occurrences(tokens: Column, seeds: Column) -> Column:
     """pattern, instance, start, end, seed of each token that does not merely
     continue a seed; a seed's instance is its whole text."""
-    def one(t):
-        own = F.filter(seeds, lambda s: overlaps(t, s))
+    def one(t, own):
         bare = F.regexp_replace(t["text"], r"^[^\p{L}\p{N}+]+|[^\p{L}\p{N}]+$", "")
-        return F.struct(t["pattern"].alias("pattern"),
-                        F.when(F.size(own) > 0, F.element_at(own, 1)["text"]).otherwise(bare).alias("instance"),
-                        t["start"].alias("start"), t["end"].alias("end"), (F.size(own) > 0).alias("seed"),
-                        ((F.size(own) > 0) & (F.element_at(own, 1)["start"] < t["start"])).alias("goes_on"))
-
-    some = F.transform(F.transform(tokens, _whole_token), one)
+        seed = F.size(own) > 0
+        first = F.when(seed, F.element_at(own, 1))
+        return F.struct(t["pattern"].alias("pattern"), F.when(seed, first["text"]).otherwise(bare).alias("instance"),
+                        t["start"].alias("start"), t["end"].alias("end"), seed.alias("seed"),
+                        (seed & (first["start"] < t["start"])).alias("goes_on"))
+
+    some = let(seeds, lambda known: F.transform(F.transform(tokens, _whole_token), lambda t: let(
+        F.filter(known, lambda s: overlaps(t, s)), lambda own: one(t, own))))
     return F.filter(some, lambda o: o["pattern"].isNotNull() & ~F.coalesce(o["goes_on"], F.lit(False)))
 
 
@@ -104,11 +105,9 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rounds
     texts = docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text_col}`").alias("text"))
     base = base_spans(text)
     rows = texts.select("doc_id", "text", *[base[kind].alias(kind) for kind in KINDS])
-    tokens = spans(text, F.regexp_extract_all(text, F.lit(TOKEN), F.lit(0)), TOKEN, before=FRONT)
-    rows = rows.withColumn("tokens", tokens).withColumn("seeds", F.array_sort(F.concat(*KINDS)))
     slim = lambda kind: F.transform(kind, lambda s: F.struct(s["start"], s["end"]))
     found = cut(rows.select(F.monotonically_increasing_id().alias("row"), "doc_id", *[slim(k).alias(k) for k in KINDS],
-                            _occurrences("tokens", F.col("seeds")).alias("tokens")))
+                            _occurrences(spans(text, TOKEN, before=FRONT), F.array_sort(F.concat(*KINDS))).alias("tokens")))
 
     each = found.select("row", F.explode("tokens").alias("t")).select("row", "t.*")
     edges = cut(each.groupBy("pattern", "instance").agg(F.count(F.lit(1)).alias("n"), F.max("seed").alias("seed")))

@@ -115,7 +115,7 @@ class Model:
             plain += rows[:_AT_ONCE].sum(0)
             words += self.vectors[part[:_AT_ONCE]].sum(0)
             for lag in range(1, LAGS + 1):
-                recur[lag - 1] += np.einsum("ij,ij->", rows[:-lag][:_AT_ONCE], rows[lag:]) if len(part) > lag else 0
+                recur[lag - 1] += np.einsum("ij,ij->", rows[:-lag][:_AT_ONCE], rows[lag:][:_AT_ONCE]) if len(part) > lag else 0
         weight = 1.0 / (n + _SHRINK)
         length = float(np.linalg.norm(plain))
         return np.concatenate([words * weight, plain * weight, recur * weight / NONZEROS,

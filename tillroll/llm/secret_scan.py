@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillroll.llm.common import cut
-from tillroll.llm.spans import joined, labelled, overlaps, spans
+from tillroll.llm.spans import joined, labelled, let, overlaps, spans
 
 # The contract's patterns.  Lengths that a maximal run must have
 # are part of the last two (a shorter run holds no longer one).
@@ -45,14 +45,10 @@ _DEEPEST = 400
 
 
 def base_spans(text: Column) -> dict[str, Column]:
-    keys = F.regexp_extract_all(text, F.lit(ASSIGN), F.lit(0))
     values = F.regexp_extract_all(text, F.lit(ASSIGN), F.lit(2))
-    long_enough = F.transform(values, lambda v: F.length(v) >= 8)
-    assign = F.filter(spans(text, keys, ASSIGN), lambda s, i: F.element_at(long_enough, i + 1))
-    found = {"assign": assign}
-    for kind, pattern in (("access", ACCESS), ("hex", HEX)):
-        found[kind] = spans(text, F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), pattern)
-    return found
+    valued = F.zip_with(spans(text, ASSIGN), values, lambda s, v: F.struct(s.alias("s"), v.alias("v")))
+    assign = F.transform(F.filter(valued, lambda x: F.length(x["v"]) >= 8), lambda x: x["s"])
+    return {"assign": assign, "access": spans(text, ACCESS), "hex": spans(text, HEX)}
 
 
 def _statistics(span: Column) -> Column:
@@ -60,9 +56,9 @@ def _statistics(span: Column) -> Column:
     class changes and their share under randomness, serial correlation."""
     s = span["text"]
     n = F.length(s)
-    letters = F.filter(F.split(s, ""), lambda c: c != "")
     size = (F.when(s.rlike("^([0-9a-f]+|[0-9A-F]+)$"), 16).when(s.rlike("^[A-Z2-7]+$"), 32)
             .when(s.rlike("^([0-9a-z]+|[0-9A-Z]+)$"), 36).when(s.rlike("^[0-9A-Za-z]+$"), 62).otherwise(64))
+    letters = F.filter(F.split(s, ""), lambda c: c != "")
     squares = F.aggregate(F.array_distinct(letters), F.lit(0).cast("long"),
                           lambda t, c: t + F.pow(n - F.length(F.replace(s, c, F.lit(""))), F.lit(2)).cast("long"))
     classes = F.regexp_replace(F.regexp_replace(F.regexp_replace(F.regexp_replace(
@@ -72,15 +68,24 @@ def _statistics(span: Column) -> Column:
                      .when(size == 36, 1 - (26 / 36) ** 2 - (10 / 36) ** 2).otherwise(1 - 2 * (26 / 62) ** 2 - (10 / 62) ** 2))
     places = F.transform(letters, lambda c: F.instr(F.lit(
         "0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz+/_-="), c).cast("double"))
-    mean = F.aggregate(places, F.lit(0.0), lambda t, x: t + x) / n
-    off = F.transform(places, lambda x: x - mean)
-    spread = F.aggregate(off, F.lit(0.0), lambda t, x: t + x * x)
-    lagged = F.aggregate(F.zip_with(F.slice(off, 1, n - 1), F.slice(off, 2, n - 1), lambda a, b: a * b),
-                         F.lit(0.0), lambda t, x: t + x)
+
+    def sums(x):
+        def total(values):
+            return F.aggregate(values, F.lit(0.0), lambda t, v: t + v)
+
+        ahead = F.zip_with(F.slice(x, 1, n - 1), F.slice(x, 2, n - 1), lambda a, b: a * b)
+        return F.struct(total(x).alias("one"), total(F.transform(x, lambda v: v * v)).alias("two"),
+                        total(ahead).alias("lag"), (F.element_at(x, 1) + F.element_at(x, -1)).alias("ends"))
+
+    def serial(t):
+        mean = t["one"] / n
+        spread = t["two"] - mean * t["one"]
+        lagged = t["lag"] - mean * (2 * t["one"] - t["ends"]) + (n - 1) * mean * mean
+        return F.when(spread > 1e-6, lagged / spread * F.sqrt(n)).otherwise(F.lit(1e9))
+
     return F.struct(span["start"].alias("start"), span["end"].alias("end"), n.alias("n"), size.alias("size"),
                     squares.alias("squares"), changes.alias("changes"), random_change.alias("random_change"),
-                    s.rlike("^[A-Za-z]+$").alias("letters"),
-                    F.when(spread > 0, lagged / spread * F.sqrt(n)).otherwise(F.lit(1e9)).alias("serial"))
+                    s.rlike("^[A-Za-z]+$").alias("letters"), let(let(places, sums), serial).alias("serial"))
 
 
 def _chi_squared(c: Column) -> Column:
@@ -116,9 +121,8 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rate:
     rows = docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text_col}`").alias("text"))
     base = base_spans(text)
     rows = rows.select("doc_id", "text", *[base[kind].alias(kind) for kind in KINDS])
-    runs = spans(text, F.regexp_extract_all(text, F.lit(CANDIDATE), F.lit(0)), CANDIDATE)
-    rows = rows.withColumn("runs", runs)
-    free = F.filter("runs", lambda r: ~F.exists(F.concat(*KINDS), lambda b: overlaps(r, b)))
+    free = let(F.concat(*KINDS), lambda known: F.filter(
+        spans(text, CANDIDATE), lambda r: ~F.exists(known, lambda b: overlaps(r, b))))
     slim = lambda kind: F.transform(kind, lambda s: F.struct(s["start"], s["end"]))
     found = cut(rows.select("doc_id", *[slim(kind).alias(kind) for kind in KINDS],
                             F.transform(free, _statistics).alias("candidates")))

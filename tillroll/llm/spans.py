@@ -12,27 +12,53 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 _TYPE = "array<struct<start:int,end:int,text:string,before:string>>"
+_CHUNK = 128
 
 
-def spans(text: Column, found: Column, pattern: str, before: int = 0) -> Column:
-    """Spans of ``found`` (all matches of ``pattern`` in ``text``), each with
-    the last ``before`` characters that stand in front of it, back to the start
-    of the preceding match."""
-    pieces = F.split(text, pattern, -1)
+def let(value: Column, body) -> Column:
+    """``body`` of a value that is computed once.  Inside the body it is a
+    lambda variable; a column used in a lambda would be computed per element."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
+def spans(text: Column, pattern: str, before: int = 0) -> Column:
+    """Spans of all matches of ``pattern`` in ``text``, each with the last
+    ``before`` characters in front of it, back to the start of the preceding
+    match.  Places add up chunk by chunk, so that a text with very many
+    matches is not quadratic."""
+    def size_of(pair):
+        return F.length(pair["piece"]) + F.length(pair["match"])
 
     def step(state, pair):
-        start = state["at"] + F.length(pair["piece"])
-        end = start + F.length(pair["match"])
-        front = F.right(F.concat(state["last"], pair["piece"]), F.lit(before)) if before else F.lit("")
-        span = F.struct(start.alias("start"), end.alias("end"), pair["match"].alias("text"), front.alias("before"))
-        return F.struct(F.concat(state["done"], F.array(span)).alias("done"), end.alias("at"), pair["match"].alias("last"))
-
-    pairs = F.zip_with(F.slice(pieces, 1, F.size(found)), found,
-                       lambda p, m: F.struct(p.alias("piece"), m.alias("match")))
-    empty = F.struct(F.array().cast(_TYPE).alias("done"), F.lit(0).alias("at"), F.lit("").alias("last"))
-    placed = F.aggregate(pairs, empty, step, lambda s: s["done"])
-    # the second search only where the first found something
-    return F.when(F.size(found) > 0, placed).otherwise(F.array().cast(_TYPE))
+        end = state["at"] + size_of(pair)
+        front = F.right(F.concat(pair["last"], pair["piece"]), F.lit(before)) if before else F.lit("")
+        span = F.struct((end - F.length(pair["match"])).alias("start"), end.alias("end"),
+                        pair["match"].alias("text"), front.alias("before"))
+        return F.struct(F.concat(state["done"], F.array(span)).alias("done"), end.alias("at"))
+
+    def running(state, chunk):
+        return F.struct(F.concat(state["done"], F.array(state["at"])).alias("done"),
+                        (state["at"] + F.aggregate(chunk, F.lit(0), lambda t, x: t + size_of(x))).alias("at"))
+
+    def from_offset(chunk, offset):
+        first = F.struct(F.array().cast(_TYPE).alias("done"), offset.alias("at"))
+        return F.aggregate(chunk, first, step, lambda s: s["done"])
+
+    def chunked(chunks):
+        zero = F.struct(F.array().cast("array<int>").alias("done"), F.lit(0).alias("at"))
+        return F.flatten(F.zip_with(chunks, F.aggregate(chunks, zero, running, lambda s: s["done"]), from_offset))
+
+    def placed(found):
+        two = F.zip_with(F.slice(F.split(text, pattern, -1), 1, F.size(found)), found,
+                         lambda p, m: F.struct(p.alias("piece"), m.alias("match")))
+        last = F.slice(F.concat(F.array(F.lit("")), found), 1, F.size(found))
+        three = F.zip_with(two, last, lambda x, m: F.struct(x["piece"].alias("piece"), x["match"].alias("match"), m.alias("last")))
+        chunks = let(three, lambda all_: F.transform(
+            F.sequence(F.lit(0), F.size(all_) - 1, F.lit(_CHUNK)), lambda i: F.slice(all_, i + 1, F.lit(_CHUNK))))
+        # the second search only where the first found something
+        return F.when(F.size(found) > 0, let(chunks, chunked)).otherwise(F.array().cast(_TYPE))
+
+    return let(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), placed)
 
 
 def overlaps(a: Column, b: Column) -> Column:
