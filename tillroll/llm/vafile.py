@@ -53,11 +53,11 @@ def members(vectors: DataFrame, id_col: str, vector_col: str, scale: float) -> D
 
 
 def classes(rows: DataFrame, need: int) -> DataFrame:
-    """class_id (smallest id of equal vectors), v, ids (the ``need`` smallest)."""
+    """class_id, v, ids (the ``need`` smallest) and a hash of v as join key."""
     first = Window.partitionBy("v").orderBy("id")
     kept = rows.distinct().withColumn("place", F.row_number().over(first)).where(F.col("place") <= need)
     return (kept.groupBy("v").agg(F.sort_array(F.collect_list("id")).alias("ids"))
-            .select(F.col("ids")[0].alias("class_id"), "v", "ids", F.xxhash64("v").alias("key")))
+            .select(F.monotonically_increasing_id().alias("class_id"), "v", "ids", F.xxhash64("v").alias("key")))
 
 
 class Cells:
