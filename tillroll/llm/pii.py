@@ -40,6 +40,8 @@ ADDED = "learned"
 #: text in front, of which ``FRONT`` characters are read.
 TOKEN = rf"[0-9][^{BLANKS}]*+"
 FRONT = 96
+#: One in so many texts is searched first, to rule out common patterns.
+_PART = 64
 
 
 def _digits(text: Column) -> Column:
@@ -111,8 +113,12 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rounds
 
     each = found.select("row", F.explode("tokens").alias("t")).select("row", "t.*")
     edges = cut(each.groupBy("pattern", "instance").agg(F.count(F.lit(1)).alias("n"), F.max("seed").alias("seed")))
-    possible = cut(edges.groupBy("pattern").agg(F.count(F.lit(1)).alias("instances"), F.max("seed").alias("seeded"))
-                   .where(F.col("instances") >= support).select("pattern"))
+    possible = cut(edges.groupBy("pattern").agg(F.count(F.lit(1)).alias("instances"), F.sum("n").alias("n"))
+                   .where(F.col("instances") >= support))
+    # occurrences in a part of the corpus are a lower bound: what they already rule out needs no count in the rest
+    part = _pattern_counts(texts.where(F.pmod(F.xxhash64("text"), F.lit(_PART)) == 0), possible)
+    hopeless = part.join(possible, "pattern").where(F.col("occurrences") * least_pattern > F.col("n"))
+    possible = cut(possible.join(hopeless.select("pattern"), "pattern", "left_anti").select("pattern"))
     graph = cut(edges.join(possible, "pattern").join(_pattern_counts(texts, possible), "pattern"))
 
     known = graph.where("seed").select("instance", F.lit(1.0).alias("sure")).distinct()
