@@ -42,7 +42,7 @@ from pyspark.sql import types as T
 from tillroll.llm.common import in_workers
 
 #: Distinct words whose ids a task keeps; beyond it the memory starts anew.
-_KEPT_WORDS = 400_000
+_KEPT_WORDS = 100_000
 #: Longest word that is kept (longer ones are encoded each time).
 _KEPT_LENGTH = 64
 #: Words of a batch that are encoded together.
@@ -237,7 +237,7 @@ def tokenizer(path: str) -> WordBpe:
     return WordBpe(path)
 
 
-def _pieces(column, most_bytes: int = 1 << 23):
+def _pieces(column, most_bytes: int = 1 << 21):
     """Slices of a batch's column of a bounded number of bytes (one row at least)."""
     at, n = 0, len(column)
     sizes = pc.fill_null(pc.binary_length(column), 0).to_pylist()

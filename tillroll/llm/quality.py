@@ -42,8 +42,10 @@ BUCKETS, DIMS, NONZEROS, WINDOW, LAGS = 1 << 13, 64, 4, 2, 4
 FEATURES = 2 * DIMS + LAGS + 3
 _TOKENS = regex.compile(r"\p{L}+|\p{N}+|[^\s\p{L}\p{N}]+").findall
 _SHRINK = 8.0
-_KEPT_TOKENS = 300_000
-_AT_ONCE = 1 << 15
+_KEPT_TOKENS = 50_000
+_AT_ONCE = 1 << 13
+#: Rows of a batch that are scored together.
+_ROWS = 256
 
 
 @lru_cache(maxsize=1)
@@ -247,8 +249,10 @@ def score(docs: DataFrame, model: Model, text_col: str = "text", score_col: str
 
     def run(batches):
         for b in batches:
-            found = shared.value.scores(b.column(at).to_pylist())
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(found, pa.float64())], names=out.names)
+            for a in range(0, b.num_rows, _ROWS):
+                part = b.slice(a, _ROWS)
+                found = shared.value.scores(part.column(at).to_pylist())
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(found, pa.float64())], names=out.names)
 
     return in_workers(rows).mapInArrow(run, out)
 
