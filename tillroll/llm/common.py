@@ -36,6 +36,11 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def small(table: DataFrame, rows: int = 100_000) -> DataFrame:
+    """A materialised table, marked for broadcast if it is counted to be small."""
+    return F.broadcast(table) if table.count() <= rows else table
+
+
 def drop_rows(rows: DataFrame, dropped: DataFrame, keys: dict[str, Column]) -> DataFrame:
     """``rows`` without those whose ``keys`` occur in ``dropped`` (which holds
     them under the same names).  Keys compare null-safely; the columns of

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tillroll.llm.common import cut, drop_rows, in_workers
+from tillroll.llm.common import cut, drop_rows, in_workers, small
 
 BITS = 64
 #: Shingles whose bits are counted at a time (bounds memory for long texts).
@@ -190,11 +190,12 @@ def _prefix(col: str, depth: int):
 
 def links(fps: DataFrame, budget: int = 2, pair_limit: int = 16384, first_depth: int = 4, step: int = 2,
           small_rows: int = 100_000) -> DataFrame:
-    """Edges (u > v in unsigned order of position) that span the components of
+    """Edges that span the components of
     the distinct long column ``fp`` under Hamming distance <= ``budget``."""
     spark = fps.sparkSession
     frontier = spark.range(1).select(F.lit(0).cast("long").alias("a"), F.lit(0).cast("long").alias("b"),
                                      F.lit(0).cast("long").alias("diff"))
+    frontier = cut(frontier)  # a table, not constants: the joins below stay equi-joins
     members, depth, below = None, 0, first_depth
     while depth < BITS:
         span, depth = min(below, BITS - depth), min(depth + below, BITS)
@@ -237,27 +238,31 @@ def links(fps: DataFrame, budget: int = 2, pair_limit: int = 16384, first_depth:
 def components(edges: DataFrame) -> DataFrame:
     """(node, root) of every node that has an edge, by alternating star
     contractions.  Per round a node's smallest neighbour is a map-side
-    combined minimum, joined back to the edges, so a hub is never gathered."""
+    combined minimum; it is joined back to the edges by broadcast where it is
+    counted to be small, else by a join whose skew AQE can split, so a hub is
+    never gathered."""
     edges = edges.where("u != v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
     edges = cut(edges.distinct())
-    while True:
+    while not _are_stars(edges):
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = cut(both.groupBy("u").agg(F.min("v").alias("m")).withColumn("m", F.least("u", "m")))
-        large = both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        large = cut(large.where("u != v").distinct())
+        large = both.join(small(low), "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u != v")
         low = cut(large.groupBy("u").agg(F.min("v").alias("m")))
-        small = (large.join(low, "u").where("v != m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-                 .unionByName(low.select("u", F.col("m").alias("v"))))
-        edges = cut(small.where("u != v").distinct())
-        tops = edges.select(F.col("v").alias("u")).distinct()
-        again = edges.groupBy("u").count().where("count > 1").select("u")
-        middle = edges.join(tops, "u", "left_semi").select("u")
-        if again.unionByName(middle).isEmpty():
-            break
+        joined = (large.join(small(low), "u").where("v != m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+                  .unionByName(low.select("u", F.col("m").alias("v"))))
+        edges = cut(joined.where("u != v").distinct())
     roots = edges.select(F.col("u").alias("node"), F.col("v").alias("root"))
     return roots.unionByName(edges.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())
 
 
+def _are_stars(edges: DataFrame) -> bool:
+    """Each node points to one other, which points nowhere."""
+    ends = (edges.select(F.col("u").alias("node"), F.lit(1).alias("out"), F.lit(0).alias("into"))
+            .unionByName(edges.select(F.col("v").alias("node"), F.lit(0).alias("out"), F.lit(1).alias("into"))))
+    seen = ends.groupBy("node").agg(F.sum("out").alias("out"), F.max("into").alias("into"))
+    return seen.agg(F.coalesce(F.max((F.col("out") > 1) | ((F.col("out") > 0) & (F.col("into") > 0))), F.lit(False))).first()[0] is False
+
+
 def simhash_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3,
                        budget: int = 2, pair_limit: int = 16384) -> DataFrame:
     """One row per document: doc_id, content, fp, component_id (the smallest
@@ -265,10 +270,10 @@ def simhash_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     marks = cut(fingerprints(docs, id_col, text_col, shingle))
     distinct = cut(marks.groupBy("fp").agg(F.min("doc_id").alias("first_id")))
     roots = cut(components(links(distinct.select("fp"), budget, pair_limit)))
-    named = (distinct.join(roots, distinct["fp"] == roots["node"], "left")
-             .select("fp", "first_id", F.coalesce("root", "fp").alias("root")))
-    least = named.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    classes = cut(named.join(least, "root").select("fp", "component_id"))
+    named = distinct.join(small(roots.withColumnRenamed("node", "fp")), "fp", "left")
+    least = cut(named.where("root is not null").groupBy("root").agg(F.min("first_id").alias("least_id")))
+    classes = named.join(small(least), "root", "left").select(
+        "fp", F.when(F.col("root").isNull(), F.col("first_id")).otherwise(F.col("least_id")).alias("component_id"))
     return marks.join(classes, "fp").select("doc_id", "content", "fp", "component_id")
 
 
