@@ -82,3 +82,51 @@ def test_merge_refuses_duplicate_source_keys(spark, scratch):
     s = _silver(spark, bronze_rows(dt.date(2026, 4, 10), 2))
     with pytest.raises(ValueError):
         merge_into_path(spark, s.unionByName(s), f"{scratch}/dup")
+
+
+def test_full_refresh_leaves_only_the_source(spark, scratch):
+    from tillroll.sources.sinks import save_table
+    days = [dt.date(2026, 4, d) for d in (10, 11, 12)]
+    path = f"{scratch}/silver"
+    for d in days:
+        merge_into_path(spark, _silver(spark, bronze_rows(d, 3)), path)
+    merge_into_path(spark, _silver(spark, bronze_rows(days[1], 2)), path, full_refresh=True)
+    assert [(r[0], r[1]) for r in spark.read.parquet(path).groupBy("fecha_extraccion").count().collect()] == [(days[1], 2)]
+    out = f"{scratch}/table"
+    for rows in ([(1, "a"), (2, "b")], [(3, "c")]):
+        save_table(spark.createDataFrame(rows, "n int, part string"), out, ["part"])
+    assert [tuple(r) for r in spark.read.parquet(out).collect()] == [(3, "c")]
+
+
+def test_null_dates_are_rejected_and_refused(spark, scratch):
+    import pytest
+    day = dt.date(2026, 4, 10)
+    rows = bronze_rows(day, 2)
+    rows.append((*rows[0][:7], None, *rows[0][8:]))
+    assert _silver(spark, rows).count() == 2
+    bad = _silver(spark, bronze_rows(day, 2)).withColumn("fecha_extraccion", F.lit(None).cast("date"))
+    with pytest.raises(ValueError):
+        merge_into_path(spark, bad, f"{scratch}/nulls")
+
+
+def test_touched_dates_prune_the_history_scan(spark, scratch):
+    from tillroll.operators.upsert import touched_dates
+    path = f"{scratch}/silver"
+    days = [dt.date(2026, 4, d) for d in range(1, 9)]
+    merge_into_path(spark, _silver(spark, [r for d in days for r in bronze_rows(d, 2)]), path)
+    dates = touched_dates(_silver(spark, bronze_rows(days[3], 2)), "fecha_extraccion")
+    read = spark.read.parquet(path).where(F.col("fecha_extraccion").isin(dates))
+    files = {r[0] for r in read.select(F.input_file_name()).distinct().collect()}
+    assert {f.split("fecha_extraccion=")[1][:10] for f in files} == {"2026-04-04"}
+    plan = read._jdf.queryExecution().executedPlan().toString()
+    assert "2026-04-04" in plan.split("PartitionFilters:")[1].split("]")[0] or "fecha_extraccion" in plan.split("PartitionFilters:")[1][:120]
+
+
+def test_only_a_missing_path_means_no_table(spark, scratch):
+    import os
+
+    import pytest
+    from pyspark.errors import AnalysisException
+    os.makedirs(f"{scratch}/empty")
+    with pytest.raises(AnalysisException):
+        merge_into_path(spark, _silver(spark, bronze_rows(dt.date(2026, 4, 10), 2)), f"{scratch}/empty")

@@ -38,3 +38,22 @@ def test_outlier_labels_per_row(spark):
     got = {r.nombre: r.precio_outlier for r in labels.collect()}
     assert got["huge"] == "OUTLIER_ALTO" and got["n0"] == "OUTLIER_BAJO" and got["n50"] == "PRECIO_NORMAL"
     assert labels.where(F.col("precio_outlier") == "OUTLIER_ALTO").count() == 1
+
+
+def test_any_factor_and_scale(spark):
+    from decimal import Decimal
+
+    import pytest
+    from pyspark.sql import functions as F
+
+    from tillroll.operators.costing import _round_by
+    from tillroll.operators.history import simulate_day
+    day = dt.date(2026, 4, 10)
+    silver = spark.createDataFrame([(Decimal("100.00"), day)], "precio_normalizado decimal(18,2), fecha_extraccion date")
+    for factor, price in (("1.055", 105.5), ("12", 1200), ("0.05", 5)):
+        assert float(simulate_day(silver, day, day, factor).first().precio_normalizado) == price
+    scaled = spark.createDataFrame([(Decimal("2.34567"), s) for s in (0, 1, 2, 3, 4)], "x decimal(20,5), s int")
+    got = [float(r[0]) for r in scaled.select(_round_by(F.col("x"), F.col("s"))).collect()]
+    assert got == [2.0, 2.3, 2.35, 2.346, 2.3457]
+    with pytest.raises(Exception, match="no such scale"):
+        scaled.select(_round_by(F.col("x"), F.lit(30))).collect()

@@ -86,12 +86,13 @@ def all_matches_cost(cat: DataFrame, recipes: DataFrame, day) -> DataFrame:
 
 
 # ---------------------------------------------------------------- name rules
-def _round_by(x: Column, scale: Column, scales=(0, 2, 4)) -> Column:
-    chain = None
-    for s in scales:
-        cond = scale == F.lit(s)
-        chain = F.when(cond, F.round(x, s)) if chain is None else chain.when(cond, F.round(x, s))
-    return chain
+def _round_by(x: Column, scale: Column) -> Column:
+    """Round half up to the row's own scale: ``round`` needs a literal one, so
+    each scale up to a price's (18 digits) has its branch; another one is an error."""
+    chain = F.when(scale.isNull(), F.raise_error(F.lit("a rule needs a scale")))
+    for s in range(19):
+        chain = chain.when(scale == s, F.round(x, s).cast("decimal(38,18)"))
+    return chain.otherwise(F.raise_error(F.concat(F.lit("no such scale: "), scale.cast("string"))))
 
 
 def rule_priced(silver: DataFrame, rules: DataFrame) -> DataFrame:
@@ -100,7 +101,7 @@ def rule_priced(silver: DataFrame, rules: DataFrame) -> DataFrame:
     ``rules`` (one row per product name): nombre, gramos INT (explicit
     grams), gramos_de_nombre BOOLEAN (read the first integer of the name),
     unidades INT, op ('mul' | 'div' | null), divisor INT (null: unidades,
-    then 1), escala INT (0, 2 or 4).  The inner join is the name list."""
+    then 1), escala INT (0 to 18).  The inner join is the name list."""
     p = silver.select(F.col("nombre"), F.col("precio_normalizado").alias("precio"),
                       "fecha_extraccion", "url").join(rules, "nombre")
     grams = F.when(F.col("gramos").isNotNull(), F.col("gramos")) \

@@ -3,6 +3,8 @@ next-day merge preview."""
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -14,7 +16,9 @@ PREVIEW_PRICE = "decimal(22,4)"
 
 def simulate_day(silver: DataFrame, day, new_day, factor: str = "1.05") -> DataFrame:
     """Rows of ``day`` copied to ``new_day`` with price x factor."""
-    f = F.lit(factor).cast("decimal(3,2)")
+    exact = Decimal(factor)
+    digits, scale = len(exact.as_tuple().digits), max(0, -exact.as_tuple().exponent)
+    f = F.lit(exact).cast(f"decimal({max(digits, scale + 1)},{scale})")
     return (silver.where(F.col("fecha_extraccion") == F.lit(day))
                   .withColumn("precio_normalizado", F.col("precio_normalizado") * f)
                   .withColumn("fecha_extraccion", F.lit(new_day)))

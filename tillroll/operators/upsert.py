@@ -7,8 +7,8 @@ target-only rows are left as they are.
 
 ``merge_into_path`` is the writer.  The history is partitioned by the date
 that is part of the key, so only the dates present in the source can change:
-it reads just those partitions (semi-join on the source dates -> partition
-pruning), merges, cuts the lineage with a reliable checkpoint (the target
+it reads just those partitions (the materialised source's dates become a
+partition filter), merges, cuts the lineage with a reliable checkpoint (the target
 files are fully read before anything is replaced, and a lost executor
 recomputes from the checkpoint, not from files being overwritten), and
 replaces exactly those partitions with a dynamic partition overwrite.
@@ -17,6 +17,7 @@ replaces exactly those partitions with a dynamic partition overwrite.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -61,10 +62,18 @@ def upsert_counts(target: DataFrame, source: DataFrame, keys: Sequence[str] = SI
 
 
 def _read_or_none(spark: SparkSession, path: str) -> DataFrame | None:
+    """The table at ``path``, None only where there is no such path."""
     try:
         return spark.read.parquet(path)
-    except AnalysisException:
-        return None
+    except AnalysisException as error:
+        if error.getCondition() == "PATH_NOT_FOUND":
+            return None
+        raise
+
+
+def touched_dates(source: DataFrame, partition_col: str) -> list:
+    """Distinct dates of a materialised source (at most a calendar's worth)."""
+    return [r[0] for r in source.select(partition_col).distinct().collect()]
 
 
 def merge_into_path(spark: SparkSession, source: DataFrame, path: str,
@@ -74,23 +83,25 @@ def merge_into_path(spark: SparkSession, source: DataFrame, path: str,
                     require_unique: bool = True, full_refresh: bool = False) -> None:
     """Upsert ``source`` into the parquet history at ``path``.
 
-    The merged partitions are materialised once (reliable checkpoint), so
-    the source is computed exactly once; ``require_unique`` then checks the
-    materialised rows for duplicate keys (a source with duplicate keys, the
-    error MERGE raises without dedup) before anything is written, leaving
-    the table untouched on failure.  ``full_refresh`` (A20) rewrites the
-    table from the source alone."""
+    The source is computed once (reliable checkpoint) and refused before
+    anything is written if a key is null (it could never be matched again) or,
+    with ``require_unique``, occurs twice.  Its dates select the partitions
+    that are read and replaced.  ``full_refresh`` (A20) leaves the source's
+    rows alone: a static overwrite drops dates the source does not have."""
     ensure_checkpoint_dir(spark)
+    source = source.checkpoint(eager=True)
+    missing = reduce(lambda x, y: x | y, [F.col(c).isNull() for c in {*keys, partition_col}])
+    if not source.where(missing).isEmpty():
+        raise ValueError(f"null among {sorted({*keys, partition_col})} in the source")
+    if require_unique and not assert_unique(source, keys).isEmpty():
+        raise ValueError(f"duplicate keys on {list(keys)} in the source")
     target = None if full_refresh else _read_or_none(spark, path)
-    if target is None:
-        out = source.checkpoint(eager=True)
-        writer_opts = {}
-    else:
-        dates = source.select(partition_col).distinct()
-        touched = target.join(dates, partition_col, "left_semi")
-        out = upsert(touched.select(*source.columns), source, keys, update_cols).checkpoint(eager=True)
-        writer_opts = {"partitionOverwriteMode": "dynamic"}
-    if require_unique and not assert_unique(out, keys).isEmpty():
-        raise ValueError(f"duplicate keys on {list(keys)} in the source (or the history)")
+    out, mode = source, "static"
+    if target is not None:
+        dates = touched_dates(source, partition_col)
+        if not dates:
+            return
+        touched = target.where(F.col(partition_col).isin(dates)).select(*source.columns)
+        out, mode = upsert(touched, source, keys, update_cols).checkpoint(eager=True), "dynamic"
     (out.hint("rebalance", partition_col)
-        .write.mode("overwrite").options(**writer_opts).partitionBy(partition_col).parquet(path))
+        .write.mode("overwrite").option("partitionOverwriteMode", mode).partitionBy(partition_col).parquet(path))

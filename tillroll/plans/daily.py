@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from tillroll.operators import ingest as I
 from tillroll.operators.costing import catalogue, ingredient_costs, recipe_summary
-from tillroll.operators.upsert import merge_into_path
+from tillroll.operators.upsert import merge_into_path, touched_dates
 from tillroll.plans.silver import silver_from_bronze
 from tillroll.sources.payload import shop_name, shop_price
 from tillroll.sources.recipes import reference_recipes
@@ -32,9 +32,13 @@ def run_daily(spark: SparkSession, raw: DataFrame, root: str, batch_id: str, run
     per fetched page).  Writes under ``root`` and returns the run metrics."""
     routed = I.with_status(I.stamp_batch(parse_shop_payloads(raw), batch_id, run_at))
     metrics = write_ingest_run(spark, routed, f"{root}/bronze_run")
-    bronze = spark.read.parquet(f"{root}/bronze_run/bronze").where(F.col("batch_id") == batch_id)
-    if not bronze.isEmpty():
-        merge_into_path(spark, silver_from_bronze(bronze, run_at), f"{root}/silver")
+    bronze = spark.read.parquet(f"{root}/bronze_run/bronze")
+    loaded = bronze.where((F.col("load_date") == F.lit(run_at.date())) & (F.col("batch_id") == batch_id))
+    dates = [d for d in touched_dates(loaded, "fecha_extraccion") if d is not None]
+    if dates:
+        # the newest row of a day wins whichever batch brought it; a row is not loaded before its day
+        same_days = bronze.where((F.col("load_date") >= F.lit(min(dates))) & F.col("fecha_extraccion").isin(dates))
+        merge_into_path(spark, silver_from_bronze(same_days, run_at), f"{root}/silver")
         silver = spark.read.parquet(f"{root}/silver")
         cat = catalogue(silver)
         costs = ingredient_costs(cat, recipes if recipes is not None else reference_recipes(spark))

@@ -11,12 +11,6 @@ from tillroll.plans import bronze, gold, oracle, qa, silver
 Query = Callable[[SparkSession, str], DataFrame]
 
 
-def prepare(spark: SparkSession) -> None:
-    """Nothing to configure: the queries are independent of the session
-    time zone, and only writers (which ensure it themselves) need a
-    checkpoint folder."""
-
-
 def _bronze(spark, base):
     return silver.bronze(spark, base).drop("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
 

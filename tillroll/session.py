@@ -17,7 +17,6 @@ _BASE_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
 }
 
@@ -43,13 +42,16 @@ def checkpoint_dir(spark: SparkSession) -> str | None:
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Use the configured checkpoint folder; only when none is set (local
-    tests) fall back to a fresh scratch folder."""
+    """The configured checkpoint folder.  Where none is set, a local session
+    (one machine, as in tests) gets a scratch folder; a cluster must name a
+    folder that all its machines share."""
     current = checkpoint_dir(spark)
     if current:
         if not spark.sparkContext.getCheckpointDir():
             spark.sparkContext.setCheckpointDir(current)
         return current
+    if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     local = tempfile.mkdtemp(prefix="tillroll-ckpt-", dir="/tmp")
     spark.sparkContext.setCheckpointDir(local)
     return local

@@ -26,11 +26,11 @@ def append(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
 
 
 def save_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
-    """Materialise a result (full refresh of ``path``)."""
-    w = df.write.mode("overwrite")
-    if partition_by:
-        w = df.hint("rebalance", *partition_by).write.mode("overwrite").partitionBy(*partition_by)
-    w.parquet(path)
+    """Materialise a result (full refresh of ``path``: what was there
+    before goes, whatever the session's overwrite mode)."""
+    spread = df.hint("rebalance", *partition_by) if partition_by else df
+    w = spread.write.mode("overwrite").option("partitionOverwriteMode", "static")
+    (w.partitionBy(*partition_by) if partition_by else w).parquet(path)
 
 
 def write_ingest_run(spark: SparkSession, routed: DataFrame, root: str,
@@ -41,7 +41,7 @@ def write_ingest_run(spark: SparkSession, routed: DataFrame, root: str,
     a FAILED event and their errors, but no Bronze rows and no metrics.
     Returns the run metrics."""
     ensure_checkpoint_dir(spark)
-    routed = routed.checkpoint(eager=True)
+    routed = routed.drop("payload").checkpoint(eager=True)  # the raw pages are not needed any more
     metrics = I.run_metrics(routed, pipeline, source).checkpoint(eager=True)
     events = I.run_events(metrics)
     logs, errors = f"{root}/audit/etl_logs", f"{root}/audit/scraping_errors"

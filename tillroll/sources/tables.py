@@ -14,14 +14,3 @@ def read_table(spark: SparkSession, base: str, name: str) -> DataFrame:
     """``base`` is a folder of ``<name>.parquet`` files (or directories)."""
     return spark.read.parquet(f"{base.rstrip('/')}/{name}.parquet")
 
-
-def spread(df: DataFrame, keys: tuple[str, ...] = (), min_partitions: int | None = None) -> DataFrame:
-    """Re-split an input that arrives in fewer partitions than the session
-    can run at once (e.g. one file with a single row group, which parquet
-    cannot split).  Hash partitioning on a near-unique key is deterministic
-    (safe to recompute after a lost executor) and needs no local sort.  On a
-    cluster reading many files this is a no-op."""
-    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= target:
-        return df
-    return df.repartition(target, *keys) if keys else df.repartition(target)
