@@ -1,6 +1,7 @@
 import datetime as dt
 import json
 
+import pytest
 from pyspark.sql import functions as F
 
 from tillroll.operators.quality import iqr_outliers
@@ -42,6 +43,13 @@ def test_two_daily_runs(spark, scratch):
     assert float(ajo.precio_normalizado) == 340.0
 
 
+def test_empty_run_is_logged_and_raised(spark, scratch):
+    with pytest.raises(ValueError, match="tabla vac"):
+        run_daily(spark, _raw(spark, [("Ajo", None, "unidad")]), scratch, "b1", dt.datetime(2026, 4, 15, 9))
+    logs = spark.read.parquet(f"{scratch}/bronze_run/audit/etl_logs").collect()
+    assert [(r.status, r.error_type) for r in logs] == [("FAILED", "ValueError")]
+
+
 def test_full_refresh_and_approx_percentiles(spark, scratch):
     day = dt.date(2026, 4, 10)
     rows = [("StoreA", f"p{i}", "d", str(10 + i), "c", "kg", "http://u", day, "b", dt.datetime(2026, 4, 10), day)

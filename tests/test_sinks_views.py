@@ -1,12 +1,13 @@
 import datetime as dt
 import json
 
+import pytest
 from pyspark.sql import functions as F
 
 from tillroll.operators import ingest as I
 from tillroll.plans.views import register_views
 from tillroll.schemas import ETL_LOGS, RUN_METRICS, SCRAPING_ERRORS, ensure_table
-from tillroll.sources.payload import shop_name, shop_price
+from tillroll.sources.payload import shop_fault, shop_name, shop_price
 from tillroll.sources.recipes import REFERENCE_RECIPES, reference_recipes
 from tillroll.sources.sinks import write_ingest_run
 
@@ -64,3 +65,27 @@ def test_reference_recipes_and_views(spark):
     got = spark.sql("SELECT receta, costo_total, comentarios FROM resumen_costos_recetas ORDER BY receta").collect()
     assert [(r.receta, float(r.costo_total), r.comentarios) for r in got] == [
         ("Milanesas", 300.0, "Porcion = 1 kg"), ("Pizza", 50.1, "Porcion = 1 pizza")]
+
+
+def test_failed_load_is_logged_and_raised(spark, scratch):
+    ok = _routed(spark, [("Bife", "StoreA", "u1", _payload(100.0, "Bife x kg"), "Carnes", "kg"),
+                         ("Ajo", "StoreA", "u2", None, None, None)], "b1", dt.datetime(2026, 4, 10, 9))
+    with open(f"{scratch}/bronze", "w") as blocker:  # a file where the table's folder should be
+        blocker.write("x")
+    with pytest.raises(Exception) as raised:
+        write_ingest_run(spark, ok, scratch)
+    logs = {r.status: r for r in spark.read.parquet(f"{scratch}/audit/etl_logs").collect()}
+    assert set(logs) == {"STARTED", "FAILED"}
+    failed = logs["FAILED"]
+    assert failed.error_type == type(raised.value).__name__ and failed.error_message
+    assert "write_ingest_run" in failed.stacktrace and (failed.rows_read, failed.rows_written) == (1, 0)
+    assert [r.corte for r in spark.read.parquet(f"{scratch}/audit/scraping_errors").collect()] == ["Ajo"]
+
+
+def test_error_kinds(spark):
+    bad_price = _payload(1, "x").replace("precioLista", "precio")
+    pages = [None, "", "{", "[1]", '{"contents": []}', bad_price, _payload(5, "x")]
+    rows = spark.createDataFrame([(i, p) for i, p in enumerate(pages)], "i int, payload string")
+    routed = I.with_status(rows.withColumn("precio", shop_price("payload")), shop_fault("payload"))
+    got = [r.error_type for r in routed.orderBy("i").collect()]
+    assert got == ["NoData", "NoData", "JSONDecodeError", "KeyError", "KeyError", "KeyError", None]

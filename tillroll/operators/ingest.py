@@ -45,12 +45,17 @@ def typed_stamps(df: DataFrame, date_col: str = "fecha_extraccion", ts_col: str
               .withColumn(ts_col, F.col(ts_col).try_cast("timestamp_ntz")))
 
 
-def with_status(parsed: DataFrame) -> DataFrame:
-    """A5: a fetch succeeded when a price was extracted."""
+def with_status(parsed: DataFrame, fault: Column | None = None) -> DataFrame:
+    """A5: a fetch succeeded when a price was extracted.  ``fault`` (see
+    ``sources.payload.payload_fault``) tells what was wrong with a page that
+    was fetched; without one, or where it is null, the error is ``NoData``."""
     ok = F.col("precio").isNotNull()
+    kind, message = F.lit(NO_DATA), F.lit(NO_DATA_MESSAGE)
+    if fault is not None:
+        kind, message = F.coalesce(fault["error_type"], kind), F.coalesce(fault["error_message"], message)
     return (parsed.withColumn("_ok", ok)
-                  .withColumn("error_type", F.when(~ok, F.lit(NO_DATA)))
-                  .withColumn("error_message", F.when(~ok, F.lit(NO_DATA_MESSAGE))))
+                  .withColumn("error_type", F.when(~ok, kind))
+                  .withColumn("error_message", F.when(~ok, message)))
 
 
 def bronze_rows(routed: DataFrame, price_as: str = "string") -> DataFrame:
@@ -114,6 +119,14 @@ def run_events(metrics: DataFrame) -> DataFrame:
                     "error_type", "error_message", F.lit(None).cast("string").alias("stacktrace"))
 
 
+def failed_events(metrics: DataFrame, error: BaseException, stacktrace: str) -> DataFrame:
+    """FAILED per batch of a load that raised ``error``."""
+    event = _event(FAILED, F.col("rows_success"), F.lit(0), F.lit(type(error).__name__), F.lit(str(error)))
+    e = metrics.select("event_ts", "pipeline", "source", "batch_id", event.alias("e"))
+    return e.select("event_ts", "pipeline", "source", "e.status", "batch_id", "e.rows_read", "e.rows_written",
+                    "e.error_type", "e.error_message", F.lit(stacktrace).alias("stacktrace"))
+
+
 def summary_events(metrics: DataFrame) -> DataFrame:
     """SUMMARY log row per successful batch, metrics as JSON text."""
     payload = F.to_json(F.struct("batch_id", "ingestion_timestamp", "products_configured",

@@ -14,8 +14,8 @@ from tillroll.operators.upsert import upsert, upsert_counts
 from tillroll.plans import params as P
 from tillroll.plans.silver import silver
 from tillroll.sources.config import config_from_parts, expand_targets, target_counts
-from tillroll.sources.feed import audit_events, price_feed, raw_payloads
-from tillroll.sources.payload import json_field
+from tillroll.sources.feed import audit_events, nested_payloads, price_feed, raw_payloads
+from tillroll.sources.payload import json_field, shop_fault, shop_name, shop_price
 
 
 # ------------------------------------------------------------------ Q2
@@ -106,6 +106,22 @@ def ingest_errors(spark, base):
     return I.error_rows(fetches(spark, base))
 
 
+def nested_fetches(spark: SparkSession, base: str) -> DataFrame:
+    """Fetches in the shop's nested shape, routed with the kind of error."""
+    raw = nested_payloads(spark, base)
+    parsed = raw.withColumn("precio", shop_price("payload")).withColumn("descripcion", shop_name("payload"))
+    stamped = I.stamp_batch(parsed, ymd_text("fetched_at", sep=""), day_start("fetched_at"))
+    return I.with_status(stamped, shop_fault("payload"))
+
+
+def nested_bronze(spark, base):
+    return I.bronze_rows(nested_fetches(spark, base))
+
+
+def nested_errors(spark, base):
+    return I.error_rows(nested_fetches(spark, base))
+
+
 def ingest_metrics(spark, base):
     return I.run_metrics(fetches(spark, base))
 

@@ -16,7 +16,7 @@ from tillroll.operators import ingest as I
 from tillroll.operators.costing import catalogue, ingredient_costs, recipe_summary
 from tillroll.operators.upsert import merge_into_path, touched_dates
 from tillroll.plans.silver import silver_from_bronze
-from tillroll.sources.payload import shop_name, shop_price
+from tillroll.sources.payload import shop_fault, shop_name, shop_price
 from tillroll.sources.recipes import reference_recipes
 from tillroll.sources.sinks import save_table, write_ingest_run
 
@@ -29,9 +29,13 @@ def parse_shop_payloads(raw: DataFrame) -> DataFrame:
 def run_daily(spark: SparkSession, raw: DataFrame, root: str, batch_id: str, run_at: dt.datetime,
               recipes: DataFrame | None = None, since=None, comments=None) -> DataFrame:
     """``raw``: corte, supermercado, url, payload, categoria, unidad (one row
-    per fetched page).  Writes under ``root`` and returns the run metrics."""
-    routed = I.with_status(I.stamp_batch(parse_shop_payloads(raw), batch_id, run_at))
+    per fetched page).  Writes under ``root`` and returns the run metrics.
+    A run without any parsed row is logged as FAILED and raises."""
+    parsed = I.stamp_batch(parse_shop_payloads(raw), batch_id, run_at)
+    routed = I.with_status(parsed, shop_fault("payload"))
     metrics = write_ingest_run(spark, routed, f"{root}/bronze_run")
+    if metrics.where(F.col("rows_success") > 0).isEmpty():
+        raise ValueError(I.EMPTY_BATCH_MESSAGE)
     bronze = spark.read.parquet(f"{root}/bronze_run/bronze")
     loaded = bronze.where((F.col("load_date") == F.lit(run_at.date())) & (F.col("batch_id") == batch_id))
     dates = [d for d in touched_dates(loaded, "fecha_extraccion") if d is not None]

@@ -29,6 +29,37 @@ def exploration_extra(spark, base):
     return Q.exploration_summary(bronze_rows(spark, base), extra=True)
 
 
+def faulty_history(spark: SparkSession, base: str) -> DataFrame:
+    """Silver as a careless load would leave it, by part number: repeated keys
+    (11), ids that change in March (7), lost names (13), urls without scheme (17)."""
+    s, part = silver(spark, base), F.substring("url", 10, 20).cast("long")
+    renamed = (part % 7 == 0) & (F.month("fecha_extraccion") == 3)
+    return (s.withColumn("producto_id", F.when(renamed, F.concat("producto_id", F.lit("_v2"))).otherwise(F.col("producto_id")))
+             .withColumn("nombre", F.when(part % 13 != 0, F.col("nombre")))
+             .withColumn("veces", F.explode(F.sequence(F.lit(1), F.when(part % 11 == 0, 2).otherwise(1)))).drop("veces")
+             .withColumn("url", F.when(part % 17 == 0, F.substring("url", 8, 30)).otherwise(F.col("url"))))
+
+
+def t1_faulty(spark, base):
+    return Q.duplicate_keys(faulty_history(spark, base))
+
+
+def t2_faulty(spark, base):
+    return Q.null_counts(faulty_history(spark, base))
+
+
+def t4_faulty(spark, base):
+    return Q.id_consistency(faulty_history(spark, base))
+
+
+def t8_faulty(spark, base):
+    return Q.url_format(faulty_history(spark, base))
+
+
+def suite_faulty(spark, base):
+    return Q.suite(faulty_history(spark, base), P.LATEST_DAY)
+
+
 def t1_duplicates(spark, base):
     return Q.duplicate_keys(silver(spark, base))
 

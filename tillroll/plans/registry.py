@@ -38,6 +38,11 @@ _QUERIES: dict[str, Query] = {
     "q12_exploration_extra": qa.exploration_extra,
     "q12_row_flags": qa.row_flags,
     "q13_t1_duplicate_keys": qa.t1_duplicates,
+    "q13_t1_duplicate_keys_faulty": qa.t1_faulty,
+    "q13_t2_null_counts_faulty": qa.t2_faulty,
+    "q13_t4_id_consistency_faulty": qa.t4_faulty,
+    "q13_t8_url_format_faulty": qa.t8_faulty,
+    "q14_dq_suite_faulty": qa.suite_faulty,
     "q13_t2_null_counts": qa.t2_nulls,
     "q13_t3_price_range": qa.t3_price_range,
     "q13_t4_id_consistency": qa.t4_id_consistency,
@@ -62,6 +67,8 @@ _QUERIES: dict[str, Query] = {
     "q19_product_observations": bronze.product_observations,
     "q20_ingest_bronze": bronze.ingest_bronze,
     "q20_ingest_errors": bronze.ingest_errors,
+    "q20_nested_bronze": bronze.nested_bronze,
+    "q20_nested_errors": bronze.nested_errors,
     "q20_run_metrics": bronze.ingest_metrics,
     "q20_etl_events": bronze.ingest_events,
     "q20_summary_events": bronze.ingest_summary,

@@ -120,6 +120,23 @@ def audit_events(spark: SparkSession, base: str) -> DataFrame:
     )
 
 
+def nested_payloads(spark: SparkSession, base: str) -> DataFrame:
+    """``raw_payloads`` in the shop's shape: the price is a JSON document
+    inside a string, under attribute names with dots.  By event_id % 10, page 3
+    is cut short, page 5 has no contents, page 7's price is no JSON and page 9
+    lacks the price field."""
+    raw, turn = raw_payloads(spark, base), F.col("event_id") % 10
+    number = F.get_json_object("payload", "$.k").cast("long")
+    price = (F.when(turn == 7, "sin precio").when(turn == 9, F.to_json(F.struct(number.alias("precio"))))
+              .otherwise(F.to_json(F.struct(number.alias("precioLista")))))
+    name = F.concat("corte", F.lit(" "), number.cast("string"), F.lit("g"))
+    fields = F.struct(F.array(price).alias("sku.dtoPrice"), F.array(name).alias("product.displayName"))
+    main = F.array(F.struct(F.struct(fields.alias("attributes")).alias("record")))
+    page = F.to_json(F.struct(F.array(F.struct(main.alias("Main"))).alias("contents")))
+    page = F.when(turn == 3, F.left(page, F.lit(40))).when(turn == 5, '{"contents":[]}').otherwise(page)
+    return raw.withColumn("payload", F.when(F.col("payload").isNotNull(), page))
+
+
 def raw_payloads(spark: SparkSession, base: str) -> DataFrame:
     """One fetch per event: product <- event type, store <- user % 3,
     payload <- props (missing for error events: the fetch returned nothing),

@@ -15,6 +15,7 @@ from tillroll.functions.text import col_
 SHOP_ATTRIBUTES = "$.contents[0].Main[0].record.attributes"
 SHOP_PRICE_PATH = SHOP_ATTRIBUTES + "['sku.dtoPrice'][0]"
 SHOP_PRICE_FIELD = "$.precioLista"
+BAD_JSON, NO_FIELD = "JSONDecodeError", "KeyError"
 SHOP_NAME_PATH = SHOP_ATTRIBUTES + "['product.displayName'][0]"
 
 
@@ -26,6 +27,29 @@ def json_field(payload, path: str, inner_path: str | None = None) -> Column:
     return F.get_json_object(value, inner_path) if inner_path else value
 
 
+def payload_fault(payload, path: str, inner_path: str | None = None) -> Column:
+    """A5: why ``json_field`` finds nothing, as struct (error_type,
+    error_message); null when it finds a value or when there was no payload
+    at all (nothing was fetched)."""
+    doc = col_(payload)
+    value = F.get_json_object(doc, path)
+
+    def fault(kind, message):
+        return F.struct(F.lit(kind).alias("error_type"), F.lit(message).alias("error_message"))
+
+    found = F.when(F.coalesce(F.trim(doc), F.lit("")) == "", None)
+    found = found.when(F.get_json_object(doc, "$").isNull(), fault(BAD_JSON, "payload"))
+    found = found.when(value.isNull(), fault(NO_FIELD, path))
+    if inner_path:
+        found = found.when(F.get_json_object(value, "$").isNull(), fault(BAD_JSON, path))
+        found = found.when(F.get_json_object(value, inner_path).isNull(), fault(NO_FIELD, f"{path} {inner_path}"))
+    return found
+
+
+def shop_fault(payload) -> Column:
+    return payload_fault(payload, SHOP_PRICE_PATH, SHOP_PRICE_FIELD)
+
+
 def shop_price(payload) -> Column:
     return json_field(payload, SHOP_PRICE_PATH, SHOP_PRICE_FIELD)
 

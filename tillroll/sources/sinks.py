@@ -3,12 +3,13 @@
 Appends are the reference's per-table transactions; each one is a Spark
 job with task-level commit, so a lost executor re-runs tasks, never rows.
 ``write_ingest_run`` persists a routed batch in the reference order
-(STARTED, Bronze, errors, SUCCESS/FAILED, SUMMARY, run metrics) from one
+(errors, STARTED, Bronze, SUCCESS/FAILED, SUMMARY, run metrics) from one
 checkpointed parse, so every table sees the same rows.
 """
 
 from __future__ import annotations
 
+import traceback
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -38,16 +39,23 @@ def write_ingest_run(spark: SparkSession, routed: DataFrame, root: str,
     """Persist routed fetches (see ``ingest.with_status``) under ``root``:
     bronze/ (partitioned by load_date), audit/etl_logs, audit/scraping_errors,
     audit/run_metrics.  Batches without any parsed row are refused: they get
-    a FAILED event and their errors, but no Bronze rows and no metrics.
+    a FAILED event and their errors, but no Bronze rows and no metrics.  If
+    Bronze cannot be written, FAILED is logged (type, message, stack) and the
+    error goes on to the caller.
     Returns the run metrics."""
     ensure_checkpoint_dir(spark)
     routed = routed.drop("payload").checkpoint(eager=True)  # the raw pages are not needed any more
     metrics = I.run_metrics(routed, pipeline, source).checkpoint(eager=True)
     events = I.run_events(metrics)
     logs, errors = f"{root}/audit/etl_logs", f"{root}/audit/scraping_errors"
+    append(I.error_rows(routed, pipeline, source), errors)  # kept whatever becomes of the load
     append(events.where(F.col("status") == I.STARTED), logs)
-    append(I.bronze_rows(routed), f"{root}/bronze", ("load_date",))
-    append(I.error_rows(routed, pipeline, source), errors)
+    try:
+        append(I.bronze_rows(routed), f"{root}/bronze", ("load_date",))
+    except Exception as error:
+        loading = metrics.where(F.col("rows_success") > 0)
+        append(I.failed_events(loading, error, traceback.format_exc()), logs)
+        raise
     append(events.where(F.col("status") != I.STARTED), logs)
     append(I.summary_events(metrics), logs)
     append(metrics.where(F.col("rows_success") > 0), f"{root}/audit/run_metrics")
