@@ -29,6 +29,8 @@ from __future__ import annotations
 
 import heapq
 import json
+import re
+import unicodedata
 from functools import lru_cache
 
 import numpy as np
@@ -41,10 +43,13 @@ from pyspark.sql import types as T
 
 from tillroll.llm.common import in_workers
 
-#: Distinct words whose ids a task keeps; beyond it the memory starts anew.
+#: Distinct words whose ids a task keeps as recent; beyond it they become the
+#: older ones, and those not met again since are forgotten.
 _KEPT_WORDS = 100_000
 #: Longest word that is kept (longer ones are encoded each time).
 _KEPT_LENGTH = 64
+#: Letters up to which a failing word is merged by scanning (else by a heap).
+_SCANNED_LENGTH = 64
 #: Words of a batch that are encoded together.
 _TOGETHER = 1 << 16
 #: Plain Latin characters: unchanged by NFC, lower-cased one to one, and
@@ -52,6 +57,14 @@ _TOGETHER = 1 << 16
 _PLAIN = regex.compile(r"[\t-\r\x20-\x7e -įı-ſ]*")
 
 
+def plain_splitter(pattern: str):
+    """The word pattern of the tokenizer file for texts of plain Latin
+    characters, with letters and numbers listed by their Unicode category."""
+    of = {kind: "".join(c for c in map(chr, range(0x180)) if unicodedata.category(c)[0] == kind) for kind in "LN"}
+    listed = pattern.replace(r"\p{L}", of["L"]).replace(r"\p{N}", of["N"])
+    return (regex if r"\p" in listed else re).compile(listed).findall
+
+
 def byte_letters() -> list[str]:
     """The printable character that stands for each byte: itself where it is
     printable, else the next free one from U+0100 on."""
@@ -72,31 +85,31 @@ class WordBpe:
         self.end = model.get("end_of_word_suffix") or ""
         self.vocab: dict[str, int] = model["vocab"]
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
-        self.names = [""] * (max([*self.vocab.values(), *self.special.values()]) + 1)
-        for token, i in [*self.vocab.items(), *self.special.items()]:
-            self.names[i] = token
+        self.names = token_names(path)
         self.letters = {b: c for b, c in enumerate(byte_letters())}
         whole = Tokenizer.from_file(path)
         self.normalizer, self.splitter = whole.normalizer, whole.pre_tokenizer
         pattern = next(p["pattern"]["Regex"] for p in spec["pre_tokenizer"]["pretokenizers"] if p["type"] == "Split")
-        self.words_of = regex.compile(pattern).findall
+        self.words_of = plain_splitter(pattern)
         marks = "|".join(regex.escape(s) for s in sorted(self.special, key=len, reverse=True))
         self.special_at = regex.compile(f"({marks})") if marks else None
         self._load_merges([m.split(" ") if isinstance(m, str) else m for m in model["merges"]])
-        self.known: dict[str, bytes] = {}
+        self.known: dict[str | int, bytes] = {}
+        self.older: dict[str | int, bytes] = {}
 
     def _load_merges(self, merges) -> None:
         n = len(self.names)
         self.rank = np.full(n, -1, dtype=np.int64)
         self.left, self.right = np.arange(n), np.arange(n)
-        self.pair: dict[tuple[int, int], tuple[int, int]] = {}
+        #: pair of tokens -> rank of its merge * number of tokens + token made
+        self.pair: dict[tuple[int, int], int] = {}
         keys = np.empty(len(merges), dtype=np.int64)
         for r, (a, b) in enumerate(merges):
             x, y, t = self.vocab[a], self.vocab[b], self.vocab[a + b]
             if self.rank[t] >= 0 or max(self.rank[x], self.rank[y]) >= r:
                 raise ValueError(f"merge {r} makes {a + b!r} again or before its parts")
             self.rank[t], self.left[t], self.right[t] = r, x, y
-            self.pair[x, y] = (r, t)
+            self.pair[x, y] = r * n + t
             keys[r] = x * n + y
         order = np.argsort(keys)
         self.pair_keys, self.pair_ranks = keys[order], order
@@ -106,7 +119,8 @@ class WordBpe:
         for t in made[np.argsort(self.rank[made])]:  # parts come before the token they make
             good[t] &= good[self.left[t]] & good[self.right[t]]
         self.proposed = {s: i for s, i in self.vocab.items() if good[i]}
-        self.longest = max(len(s.removesuffix(self.end) if self.end else s) for s in self.proposed)
+        #: Beginnings of proposed tokens, the tokens themselves included.
+        self.begun = {s[:k] for token in self.proposed for s in [token.removesuffix(self.end)] for k in range(1, len(s) + 1)}
 
     # --- verify ---------------------------------------------------------
 
@@ -134,21 +148,23 @@ class WordBpe:
 
     # --- speculate ------------------------------------------------------
 
-    def propose(self, word: str) -> list[int] | None:
-        """Greedy longest match of a word in byte letters; None if stuck."""
-        ids, at, n, known, end = [], 0, len(word), self.proposed, self.end
+    def propose(self, word: str, ids: list[int]) -> int:
+        """Append the greedy longest match of a word in byte letters to
+        ``ids``; the number of its tokens, 0 (and nothing appended) if stuck."""
+        at, n, before, known, begun, end = 0, len(word), len(ids), self.proposed, self.begun, self.end
         while at < n:
-            stop = min(n, at + self.longest)
-            while stop > at:
-                token = known.get(word[at:stop] + end if stop == n else word[at:stop])
-                if token is not None:
-                    break
-                stop -= 1
-            else:
-                return None
+            stop, token = at + 1, None
+            while stop <= n and (piece := word[at:stop]) in begun:
+                found = known.get(piece if stop < n else piece + end)
+                if found is not None:
+                    token, reached = found, stop
+                stop += 1
+            if token is None:
+                del ids[before:]
+                return 0
             ids.append(token)
-            at = stop
-        return ids
+            at = reached
+        return len(ids) - before
 
     # --- repair ---------------------------------------------------------
 
@@ -157,13 +173,29 @@ class WordBpe:
         equal ones the leftmost."""
         marks = [*word[:-1], word[-1] + self.end] if word else []
         ids = [self.vocab[c] for c in marks if c in self.vocab]
+        return self._merge_scan(ids) if len(ids) <= _SCANNED_LENGTH else self._merge_heap(ids)
+
+    def _merge_scan(self, ids: list[int]) -> list[int]:
+        get, n, never = self.pair.get, len(self.names), 1 << 60
+        merges = [get(p, never) for p in zip(ids, ids[1:])]
+        while merges and (best := min(merges)) < never:
+            i = merges.index(best)
+            ids[i:i + 2] = [best % n]
+            del merges[i]
+            if i:
+                merges[i - 1] = get((ids[i - 1], ids[i]), never)
+            if i < len(merges):
+                merges[i] = get((ids[i], ids[i + 1]), never)
+        return ids
+
+    def _merge_heap(self, ids: list[int]) -> list[int]:
+        n = len(self.names)
         after, before = [*range(1, len(ids)), -1], [*range(-1, len(ids) - 1)]
-        heap = [(*self.pair[p], i, p) for i in range(len(ids) - 1) if (p := (ids[i], ids[i + 1])) in self.pair]
-        heap = [(r, i, t, p) for r, t, i, p in heap]
+        heap = [(self.pair[p], i, p) for i in range(len(ids) - 1) if (p := (ids[i], ids[i + 1])) in self.pair]
         heapq.heapify(heap)
         while heap:
-            _, i, token, p = heapq.heappop(heap)
-            j = after[i]
+            merge, i, p = heapq.heappop(heap)
+            j, token = after[i], merge % n
             if ids[i] is None or j < 0 or (ids[i], ids[j]) != p:
                 continue
             ids[i], ids[j], after[i] = token, None, after[j]
@@ -171,25 +203,26 @@ class WordBpe:
                 before[after[j]] = i
             for k in (before[i], i):
                 if k >= 0 and after[k] >= 0 and (q := (ids[k], ids[after[k]])) in self.pair:
-                    rank, made = self.pair[q]
-                    heapq.heappush(heap, (rank, k, made, q))
+                    heapq.heappush(heap, (self.pair[q], k, q))
         return [i for i in ids if i is not None]
 
     # --- words ----------------------------------------------------------
 
     def encode_words(self, words: list[str]) -> list[bytes]:
         """Ids of each word (in byte letters), little-endian unsigned 32 bits."""
-        tried = [self.propose(w) for w in words]
-        sizes = np.fromiter((len(t) if t else 0 for t in tried), dtype=np.int64, count=len(tried))
-        flat = np.fromiter((i for t in tried if t for i in t), dtype=np.int64, count=int(sizes.sum()))
-        of = np.repeat(np.arange(len(words)), sizes)
+        tokens: list[int] = []
+        sizes = np.array([self.propose(w, tokens) for w in words], dtype=np.int64)
+        flat, of = np.array(tokens, dtype=np.int64), np.repeat(np.arange(len(words)), sizes)
         inner = np.flatnonzero(of[1:] == of[:-1])
         pairs, back = np.unique(flat[inner] * len(self.names) + flat[inner + 1], return_inverse=True)
         apart = self.compatible(pairs // len(self.names), pairs % len(self.names))[back]
-        failed = np.zeros(len(words), dtype=bool)
+        failed = sizes == 0
         failed[of[inner[~apart]]] = True
-        return [np.asarray(self.merge(w) if t is None or bad else t, dtype="<u4").tobytes()
-                for w, t, bad in zip(words, tried, failed.tolist(), strict=True)]
+        raw, stops = flat.astype("<u4").tobytes(), (4 * np.cumsum(sizes)).tolist()
+        encoded = [raw[a:b] for a, b in zip([0, *stops], stops)]
+        for k in np.flatnonzero(failed).tolist():
+            encoded[k] = np.asarray(self.merge(words[k]), dtype="<u4").tobytes()
+        return encoded
 
     def words(self, text: str) -> list[str | int]:
         """The text's words after normalising and splitting (as ordinary
@@ -214,22 +247,20 @@ class WordBpe:
     def encode_batch(self, texts: list[str]) -> list[bytes]:
         split = [self.words(t) for t in texts]
         if len(self.known) > _KEPT_WORDS:
-            self.known = {}
-        known = self.known
-        fresh = list({w for words in split for w in words if w not in known and not isinstance(w, int)})
-        passing: dict[str, bytes] = {}
+            self.known, self.older = {}, self.known
+        known, older = self.known, self.older
+        unmet = set().union(*split).difference(known)
+        known |= {w: older[w] for w in unmet if w in older}
+        known |= {w: np.asarray([w], dtype="<u4").tobytes() for w in unmet if isinstance(w, int)}
+        fresh = [w for w in unmet if w not in known]
         for at in range(0, len(fresh), _TOGETHER):
             part = fresh[at:at + _TOGETHER]
-            for w, ids in zip(part, self.encode_words([self.in_letters(w) for w in part]), strict=True):
-                (known if len(w) <= _KEPT_LENGTH else passing)[w] = ids
-        special = {i: np.asarray([i], dtype="<u4").tobytes() for i in self.special.values()}
-        look = {**special, **passing}
-        return [b"".join([known[w] if w in known else look[w] for w in words]) for words in split]
-
-    def decode(self, ids: bytes) -> str:
-        """Token texts joined by a space (the file names no decoder)."""
-        names = self.names
-        return " ".join([names[i] for i in np.frombuffer(ids, dtype="<u4").tolist()])
+            known |= zip(part, self.encode_words([self.in_letters(w) for w in part]), strict=True)
+        encoded = [b"".join(map(known.__getitem__, words)) for words in split]
+        for w in fresh:
+            if len(w) > _KEPT_LENGTH:
+                del known[w]
+        return encoded
 
 
 @lru_cache(maxsize=2)
@@ -237,6 +268,23 @@ def tokenizer(path: str) -> WordBpe:
     return WordBpe(path)
 
 
+@lru_cache(maxsize=2)
+def token_names(path: str) -> list[str]:
+    """The tokens of a tokenizer file by id."""
+    with open(path, encoding="utf-8") as f:
+        spec = json.load(f)
+    of = spec["model"]["vocab"] | {t["content"]: t["id"] for t in spec["added_tokens"]}
+    names = [""] * (max(of.values()) + 1)
+    for token, i in of.items():
+        names[i] = token
+    return names
+
+
+def decode_ids(ids: bytes, names: list[str]) -> str:
+    """Token texts joined by a space (the file names no decoder)."""
+    return " ".join([names[i] for i in np.frombuffer(ids, dtype="<u4").tolist()])
+
+
 def _pieces(column, most_bytes: int = 1 << 21):
     """Slices of a batch's column of a bounded number of bytes (one row at least)."""
     at, n = 0, len(column)
@@ -278,9 +326,9 @@ def decode(rows: DataFrame, path: str, ids_col: str = "ids", text_col: str = "de
     at = kept.index(ids_col)
 
     def run(batches):
-        coder = tokenizer(path)
+        names = token_names(path)
         for batch in batches:
-            texts = [coder.decode(x.as_py() or b"") for x in batch.column(at)]
+            texts = [decode_ids(x.as_py() or b"", names) for x in batch.column(at)]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], names=out.names)
 
     return in_workers(src).mapInArrow(run, out)
