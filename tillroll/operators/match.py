@@ -106,12 +106,18 @@ def unmatched(needles: DataFrame, items: DataFrame, keys=("receta", "ingrediente
 def match_status(needles: DataFrame, items: DataFrame, since, keys=("receta", "ingrediente"),
                  name_col: str = "nombre", needle_col: str = "ingrediente",
                  date_col: str = "fecha_extraccion") -> DataFrame:
-    """C4 (full form): distinct needles left-joined to items; rows of items
-    older than ``since`` are dropped after the join (so a needle that only
-    matches old rows disappears, as in the source query)."""
-    left = needles.select(*keys).distinct()
-    right = items.select(F.col(name_col).alias("nombre_en_tabla"), F.col(date_col).alias("_d"))
-    j = left.join(right, norm_text(left[needle_col]) == norm_text(right.nombre_en_tabla), "left")
-    j = j.where((F.col("_d") >= F.lit(since)) | F.col("_d").isNull())
-    estado = F.when(F.col("nombre_en_tabla").isNotNull(), F.lit(MATCH)).otherwise(F.lit(NO_MATCH))
-    return j.select(*keys, "nombre_en_tabla", estado.alias("estado"))
+    """C4 (full form): distinct needles with every equal item name not older
+    than ``since`` (or undated), and needles that equal no name at all; a needle
+    that only matches old rows disappears, as in the source query.
+
+    Items stream past the needles (the small side of inner joins, which
+    Catalyst may broadcast); only the needles met are grouped and taken off."""
+    left = needles.select(*keys).distinct().withColumn("_k", norm_text(needle_col))
+    right = items.select(F.col(name_col).alias("nombre_en_tabla"), F.col(date_col).alias("_d"),
+                         norm_text(name_col).alias("_k"))
+    recent = (right.where((F.col("_d") >= F.lit(since)) | F.col("_d").isNull()).join(left, "_k")
+              .select(*keys, "nombre_en_tabla", F.lit(MATCH).alias("estado")))
+    met = right.join(left.select("_k").distinct(), "_k").select("_k").distinct()
+    missed = left.join(met, "_k", "left_anti").select(
+        *keys, F.lit(None).cast("string").alias("nombre_en_tabla"), F.lit(NO_MATCH).alias("estado"))
+    return recent.unionByName(missed)
