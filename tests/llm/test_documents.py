@@ -333,6 +333,32 @@ def test_license_retrieval_loses_no_near_copy():
     assert lost <= 1
 
 
+def test_registered_licenses_hold_full_texts_and_headers(spark):
+    header = """// This program is free software: you can redistribute it and/or modify
+// it under the terms of the GNU General Public License as published by
+// the Free Software Foundation, either version 3 of the License, or
+// (at your option) any later version.
+//
+// This program is distributed in the hope that it will be useful,
+// but WITHOUT ANY WARRANTY; without even the implied warranty of
+// MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the
+// GNU General Public License for more details."""
+    full = dict((n, t) for n, t in license_scan.TEMPLATES if len(t.split()) > 90)
+    names = ["MIT", "BSD-2-Clause", "BSD-3-Clause", "ISC", "Apache-2.0", "GPL-2.0", "GPL-3.0", "LGPL-2.1", "MPL-2.0", "CC-BY-SA-4.0"]
+    docs = [("GPL-3.0", "int a;\n" + header + "\nint b;"), ("MIT", "SPDX-License-Identifier: MIT"),
+            ("LGPL-3.0", "Licensed under the GNU Lesser General Public License version 3.")]
+    docs += [(n, "some code here\n" + "\n".join(" * " + line for line in full[n].splitlines())) for n in names]
+    found = license_scan.scan(spark.createDataFrame(docs, "doc_id string, text string")).collect()
+    assert sorted((r["doc_id"], r["license"]) for r in found) == sorted((n, n) for n, _ in docs)
+    assert all(r["containment"] >= 0.8 for r in found)
+
+
+def test_every_license_template_finds_itself_alone():
+    finder = license_scan.Finder(license_scan.TEMPLATES, 5, 0.6, 2, 0.999, 0.8)
+    for name, text in license_scan.TEMPLATES:
+        assert [h[0] for h in finder.hits(("x y z " * 50 + text).encode())] == [name], text[:80]
+
+
 # --- quality ------------------------------------------------------------
 
 def test_quality_held_out_accuracy(spark, odd, nothing):

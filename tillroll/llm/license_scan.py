@@ -9,23 +9,30 @@ all its words) are banded; ``rows`` is one value per band and ``bands`` is the
 smallest number that finds a pair of similarity ``least_similarity`` with
 probability ``recall`` (1 - (1 - s^rows)^bands >= recall).  Retrieved pairs are
 verified exactly: the share of the template's shingles that occur in the text
-around the window must reach ``containment``.
+around the window must reach ``containment``.  A template of whose shingles
+the whole text holds a smaller share is not looked for in its windows.
 
 Templates are a parameter, a small table whose size is checked before it is
-broadcast.  Windows are made and banded inside the task that reads a text, one
+broadcast.  The registered ones are short notices, standard headers, SPDX
+lines and full texts of common licenses (the package's ``licenses`` folder).  Windows are made and banded inside the task that reads a text, one
 text at a time, so nothing but hits leaves a task, and no shuffle is needed.
 
 Defined cases: a null or empty text has no hits; words are lower-cased runs
-without blanks and marks like commas, points or brackets; templates without words and null ones
-are ignored; hits of one template that overlap count once, the best first; rows
-that repeat get equal results; an empty table gives an empty result; other
+without blanks and marks like commas, points or brackets, and runs without a letter or
+digit (comment marks) are none; templates without words and null ones
+are ignored; hits of one license that overlap count once, the one with most shingles
+first; a hit all of whose words belong to larger hits is a part of these and does
+not count (a BSD-2 text in a BSD-3 one); rows that repeat get equal results; an empty table gives an empty result; other
 columns are ignored.
 """
 
 from __future__ import annotations
 
+import json
 import math
+from bisect import bisect
 from functools import lru_cache
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -36,7 +43,7 @@ from pyspark.sql import types as T
 from tillroll.llm.common import in_workers
 
 #: Notices of common licenses.
-TEMPLATES = [
+SHORT = [
     ("Apache-2.0", "Licensed under the Apache License, Version 2.0."),
     ("MIT", "Released under the MIT License."),
     ("GPL-3.0", "This work is licensed under the GNU General Public License, version 3."),
@@ -44,18 +51,34 @@ TEMPLATES = [
     ("proprietary", "All rights reserved."),
 ]
 
+
+def packaged(folder: Path = Path(__file__).with_name("licenses")) -> list[tuple[str, str]]:
+    """Notices and full texts (``license.txt`` or ``license.variant.txt``) of the package."""
+    notices = [(name, text) for name, text in json.loads((folder / "notices.json").read_text("utf-8"))]
+    return notices + [(p.stem.removesuffix(".regents"), p.read_text("utf-8")) for p in sorted(folder.glob("*.txt"))]
+
+
+TEMPLATES = SHORT + packaged()
+
 #: Bytes that end a word: blanks and punctuation that may stand around words.
 _APART = np.zeros(256, dtype=bool)
 _APART[[0x20, *range(0x09, 0x0E), *b".,;:!?\"'()[]{}<>*#|"]] = True
+#: Bytes of letters and digits, those of any other script included.
+_SOLID = np.zeros(256, dtype=bool)
+_SOLID[[*b"0123456789abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ", *range(0x80, 0x100)]] = True
 _BASE = 0x9E3779B97F4A7C15
 _INVERSE = pow(_BASE, -1, 1 << 64)
 
 
 def words(text: bytes) -> tuple[np.ndarray, np.ndarray]:
     """First and end byte of each word of a lower-cased text."""
-    inside = np.concatenate(([False], ~_APART[np.frombuffer(text, dtype=np.uint8)], [False]))
+    each = np.frombuffer(text, dtype=np.uint8)
+    inside = np.concatenate(([False], ~_APART[each], [False]))
     edges = np.flatnonzero(inside[1:] != inside[:-1])
-    return edges[0::2], edges[1::2]
+    first, end = edges[0::2], edges[1::2]
+    bare = np.flatnonzero(~_SOLID[each[first]])  # the few words that do not begin with a letter or digit
+    none = [i for i in bare.tolist() if not _SOLID[each[first[i]:end[i]]].any()]
+    return (np.delete(first, none), np.delete(end, none)) if none else (first, end)
 
 
 @lru_cache(maxsize=8)
@@ -108,7 +131,7 @@ class Finder:
         self.a = rng.integers(1, 1 << 63, n, dtype=np.uint64) | np.uint64(1)
         self.b = rng.integers(0, 1 << 63, n, dtype=np.uint64)
         self.groups: dict[tuple[int, int], list] = {}
-        self.known: dict[int, np.ndarray] = {}
+        each: dict[int, list] = {}
         for name, text in templates:
             raw = (text or "").encode().lower()
             first, end = words(raw)
@@ -116,10 +139,37 @@ class Finder:
                 continue
             k = min(size, len(first))
             hashes = np.unique(shingle_hashes(word_hashes(raw, first, end), k))
-            self.known[k] = np.union1d(self.known.get(k, hashes), hashes)
+            mine = each.setdefault(k, [])
             self.groups.setdefault((len(first), k), []).append(
-                (name, set(_runs(raw, first, end, k)), self._bands(hashes[None, :])[0]))
-        self.marks = {k: np.bincount(known >> np.uint64(48), minlength=1 << 16) > 0 for k, known in self.known.items()}
+                (len(mine), name, set(_runs(raw, first, end, k)), self._bands(hashes[None, :])[0]))
+            mine.append(hashes)
+        #: per shingle size: known hashes, marks of their first bits, templates' places in the known, and for each
+        #: known hash the templates that hold it (from ``bounds[i]`` to ``bounds[i + 1]`` in ``owners``)
+        self.known = {}
+        for k, sets in each.items():
+            known = np.unique(np.concatenate(sets))
+            places = [np.searchsorted(known, h) for h in sets]
+            flat, owner = np.concatenate(places), np.repeat(np.arange(len(sets)), [len(p) for p in places])
+            shift = np.uint64(64 - max(16, len(known).bit_length() + 4))
+            marks = np.bincount(known >> shift, minlength=1 << (64 - int(shift))) > 0
+            bounds = np.concatenate(([0], np.cumsum(np.bincount(flat, minlength=len(known)))))
+            self.known[k] = known, shift, marks, places, bounds, owner[np.argsort(flat, kind="stable")]
+
+    def _shared(self, every: np.ndarray, k: int):
+        """Positions of known shingles, their places among the known, and the
+        templates of whose shingles the text holds enough."""
+        known, shift, marks, places, bounds, owners = self.known[k]
+        maybe = np.flatnonzero(marks[every >> shift])
+        place = np.minimum(np.searchsorted(known, every[maybe]), len(known) - 1)
+        same = known[place] == every[maybe]
+        common, place = maybe[same], place[same]
+        if not len(common):
+            return common, place, set()
+        held = np.unique(place)
+        many = bounds[held + 1] - bounds[held]
+        at = np.arange(many.sum()) + np.repeat(bounds[held] - np.cumsum(many) + many, many)
+        counts = np.bincount(owners[at], minlength=len(places))
+        return common, place, {i for i in np.flatnonzero(counts).tolist() if counts[i] / len(places[i]) >= self.containment}
 
     def _bands(self, rows: np.ndarray) -> np.ndarray:
         """Band hashes of each row of shingle hashes (rows: sets of one size)."""
@@ -138,36 +188,51 @@ class Finder:
         first, end = words(raw)
         if not len(first):
             return []
-        each, out = word_hashes(raw, first, end), []
+        each, out = word_hashes(raw, first, end), {}
         shared = {}
-        for k, known in self.known.items():
+        for k in self.known:
             every = shingle_hashes(each, k)
-            maybe = np.flatnonzero(self.marks[k][every >> np.uint64(48)])
-            shared[k] = every, maybe[np.isin(every[maybe], known)]
+            shared[k] = every, *self._shared(every, k)
         for (width, k), members in self.groups.items():
-            every, common = shared[k]
-            if not len(common):
+            every, common, place, enough = shared[k]
+            members = [m for m in members if m[0] in enough]
+            if not members:
                 continue
+            own_places = np.concatenate([self.known[k][3][m[0]] for m in members])
+            common = common[np.isin(place, own_places)]
             per = min(width - k + 1, len(every))  # shingles of a window
             step, last = max(1, math.ceil(width / 8)), max(0, len(every) - per)
-            # a window without any template's shingle has similarity zero: it cannot share a minimum
-            near = np.unique((common[:, None] - np.arange(per + step)) // step * step)
-            at = np.unique(np.append(near[(near >= 0) & (near <= last)], last))
-            for s in range(0, len(at), 4096):
-                part = at[s:s + 4096]
+            # a window without any shingle of these templates has similarity zero: it cannot share a minimum
+            n = last // step + 1
+            begin = np.bincount(np.clip((common - per - step + 1) // step, 0, n), minlength=n + 1)
+            stop = np.bincount(np.minimum(common // step + 1, n), minlength=n + 1)
+            at = np.unique(np.append(np.flatnonzero(np.cumsum(begin - stop)[:n]) * step, last))
+            block = max(1, (1 << 17) // per)
+            for s in range(0, len(at), block):
+                part = at[s:s + block]
                 bands = self._bands(every[part[:, None] + np.arange(per)])
-                for name, own, mine in members:
+                for _, name, own, mine in members:
                     for w in part[(bands == mine).any(axis=1)].tolist():
                         low, high = max(0, w - step), min(len(every), w + per + step)
                         runs = _runs(raw, first[low:high + k - 1], end[low:high + k - 1], k)
                         inside = [i for i, run in enumerate(runs) if run in own]
-                        share = len({runs[i] for i in inside}) / len(own)
-                        if share >= self.containment:
-                            out.append((name, share, int(first[low + inside[0]]), int(end[low + inside[-1] + k - 1])))
-        kept: list = []
-        for hit in sorted(set(out), key=lambda h: (-h[1], h[2], h[0])):
-            if not any(hit[0] == o[0] and hit[2] < o[3] and o[2] < hit[3] for o in kept):
-                kept.append(hit)
+                        found = len({runs[i] for i in inside})
+                        if found / len(own) >= self.containment:
+                            out[name, found, found / len(own), low + inside[0], low + inside[-1] + k] = (
+                                low + np.array(inside), k)
+        kept, covered, ranges = [], np.zeros(len(first), dtype=bool), {}
+        for hit in sorted(out, key=lambda h: (-h[1], -h[2], h[3], h[0])):
+            name, _, share, a, b = hit
+            starts, ends = ranges.setdefault(name, ([], []))
+            i = bisect(starts, a)
+            at, k = out[hit]
+            at = (at[:, None] + np.arange(k)).ravel()
+            if (i and ends[i - 1] > a) or (i < len(starts) and starts[i] < b) or covered[at].all():
+                continue
+            starts.insert(i, a)
+            ends.insert(i, b)
+            covered[at] = True
+            kept.append((name, share, int(first[a]), int(end[b - 1])))
         return sorted(kept, key=lambda h: (h[2], h[0]))
 
 
