@@ -296,6 +296,14 @@ def test_bootstrap_discovers_identifiers(spark):
     assert not any(got[i] for i in range(15, 25))
 
 
+def test_bootstrap_contexts_with_digits(spark):
+    texts = [f"clinic4b record 2024 10.0.3.{i} ok" for i in range(12)]
+    new = ["clinic4b record 2024 4471123 ok", "clinic4b record 2024 " + "u" * 200 + "-4471123 ok"]
+    docs = spark.createDataFrame(list(enumerate(texts + new)), "doc_id long, text string")
+    got = {r["doc_id"]: r["spans"] for r in pii.report(pii.scan(docs)).collect()}
+    assert [got[12], got[13]] == ["learned:21:28", f"learned:21:{21 + 208}"]
+
+
 def test_licenses(spark, odd, nothing):
     gpl = "this  work IS licensed under the (GNU) General Public License, version 3"
     extra = [(500, "x " * 300 + gpl + " y" * 50, None), (501, gpl.replace("General", "Specific"), None),

@@ -2,9 +2,11 @@
 identifiers of unknown format (SQL functions only).
 
 Base spans are e-mail and network addresses, payment cards and phone numbers.
-They seed a bootstrap: the two words in front of an entity are a lexical
-pattern; tokens that hold digits are instances, and the graph of patterns and
-instances is scored in rounds.  A pattern's confidence is the share of *all*
+They seed a bootstrap: the two whole words in
+front of the word an entity begins in are a lexical pattern, however long or far
+apart; other instances are words that hold a digit (to be learned, at least
+``least_digits``), and the graph of patterns and instances is scored in rounds.
+Identifiers without digits or with fewer are not discovered.  A pattern's confidence is the share of *all*
 its occurrences in the corpus (whatever follows it) that instances of known
 confidence follow; an unseen instance is as sure as the patterns it follows
 make it together.  Instances that end above ``least_instance`` behind accepted
@@ -16,7 +18,8 @@ distinct instances to be accepted at all.
 
 Defined cases: a null text counts as empty and has no spans (the digest is that
 of the empty string); repeated rows get equal results and count as occurrences,
-not as further instances; an empty table gives an empty result; other columns
+not as further instances; of several entities that begin in one word the first is the
+instance, and a word that only continues an entity is none; an empty table gives an empty result; other columns
 are ignored.
 """
 
@@ -25,7 +28,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tillroll.llm.common import BLANKS, cut
+from tillroll.llm.common import cut
 from tillroll.llm.spans import joined, labelled, let, overlaps, spans
 
 # The contract's patterns, written so that no search starts twice
@@ -36,10 +39,8 @@ CARD = r"[0-9](?:[\x20-]?[0-9]){15,}+"
 PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
 KINDS = ("email", "ip", "card", "phone")
 ADDED = "learned"
-#: A token from its first digit on; what precedes the digit comes from the
-#: text in front, of which ``FRONT`` characters are read.
-TOKEN = rf"[0-9][^{BLANKS}]*+"
-FRONT = 96
+#: A whole word of a text of ``_plain`` blanks that holds a digit.
+TOKEN = r"(?<![^\x20])[^\x200-9]*+[0-9][^\x20]*+"
 #: One in so many texts is searched first, to rule out common patterns.
 _PART = 64
 
@@ -70,34 +71,39 @@ def base_spans(text: Column) -> dict[str, Column]:
             "phone": F.filter(spans(text, PHONE), lambda s: count(s).between(8, 15))}
 
 
-def _whole_token(t: Column) -> Column:
-    """A match of TOKEN with the token's characters in front of the digit, and
-    its pattern: the two words before it, lower-cased (null if fewer)."""
-    def whole(words):
-        head = F.element_at(words, -1)
-        front = F.filter(F.slice(words, 1, F.size(words) - 1), lambda w: w != "")
-        pattern = let(front, lambda f: F.when(F.size(f) >= 2, F.lower(F.concat_ws(
-            " ", F.element_at(f, -2), F.element_at(f, -1)))))
-        return F.struct((t["start"] - F.length(head)).alias("start"), t["end"].alias("end"),
-                        F.concat(head, t["text"]).alias("text"), pattern.alias("pattern"))
+def _plain(text: Column) -> Column:
+    """``text`` with spaces for all blanks (places stay)."""
+    return F.translate(text, "\t\n\x0b\x0c\r", " " * 5)
 
-    return let(F.split(t["before"], f"[{BLANKS}]+", -1), whole)
 
+def _pattern(front: Column) -> Column:
+    """The last two words of the text in front of a word, lower-cased (null if fewer)."""
+    def last(words):
+        return F.substring_index(words, " ", -1)
 
-def _occurrences(tokens: Column, seeds: Column) -> Column:
-    """pattern, instance, start, end, seed of each token that does not merely
-    continue a seed; a seed's instance is its whole text."""
+    def two(words):
+        rest = F.rtrim(F.left(words, F.length(words) - F.length(last(words))))
+        return let(rest, lambda r: F.when(r != "", F.lower(F.concat_ws(" ", last(r), last(words)))))
+
+    return let(F.rtrim(front), two)
+
+
+def _occurrences(text: Column, seeds: Column) -> Column:
+    """pattern, instance, start, end, seed of each word with a pattern in which a
+    seed begins, or that holds a digit and no part of a seed; a seed's instance
+    is its whole text."""
     def one(t, own):
+        first = F.get(F.filter(own, lambda s: s["start"] >= t["start"]), F.lit(0))
         bare = F.regexp_replace(t["text"], r"^[^\p{L}\p{N}+]+|[^\p{L}\p{N}]+$", "")
-        seed = F.size(own) > 0
-        first = F.when(seed, F.element_at(own, 1))
-        return F.struct(t["pattern"].alias("pattern"), F.when(seed, first["text"]).otherwise(bare).alias("instance"),
-                        t["start"].alias("start"), t["end"].alias("end"), seed.alias("seed"),
-                        (seed & (first["start"] < t["start"])).alias("goes_on"))
+        return let(first, lambda f: F.struct(
+            t["before"].alias("pattern"), F.when(f.isNotNull(), f["text"]).otherwise(bare).alias("instance"),
+            t["start"].alias("start"), t["end"].alias("end"), f.isNotNull().alias("seed"),
+            (f.isNull() & ((F.size(own) > 0) | ~t["text"].rlike("[0-9]"))).alias("none")))
 
-    some = let(seeds, lambda known: F.transform(F.transform(tokens, _whole_token), lambda t: let(
+    words = F.filter(spans(_plain(text), TOKEN, before=_pattern), lambda t: t["before"].isNotNull())
+    some = let(seeds, lambda known: F.transform(words, lambda t: let(
         F.filter(known, lambda s: overlaps(t, s)), lambda own: one(t, own))))
-    return F.filter(some, lambda o: o["pattern"].isNotNull() & ~F.coalesce(o["goes_on"], F.lit(False)))
+    return F.filter(some, lambda o: ~o["none"])
 
 
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rounds: int = 3, support: int = 3,
@@ -109,7 +115,7 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rounds
     rows = texts.select("doc_id", "text", *[base[kind].alias(kind) for kind in KINDS])
     slim = lambda kind: F.transform(kind, lambda s: F.struct(s["start"], s["end"]))
     found = cut(rows.select(F.monotonically_increasing_id().alias("row"), "doc_id", *[slim(k).alias(k) for k in KINDS],
-                            _occurrences(spans(text, TOKEN, before=FRONT), F.array_sort(F.concat(*KINDS))).alias("tokens")))
+                            _occurrences(text, F.array_sort(F.concat(*KINDS))).alias("tokens")))
 
     each = found.select("row", F.explode("tokens").alias("t")).select("row", "t.*")
     edges = cut(each.groupBy("pattern", "instance").agg(F.count(F.lit(1)).alias("n"), F.max("seed").alias("seed")))
@@ -147,8 +153,7 @@ def _pattern_counts(texts: DataFrame, patterns: DataFrame, small: int = 100_000)
     """How often each of ``patterns`` (two adjacent words) occurs in the corpus
     in front of anything.  Word pairs travel as 64-bit hashes; a collision
     could only make a pattern look more common, hence less sure."""
-    plain = F.translate(F.lower(F.coalesce(F.col("text"), F.lit(""))), "\t\n\x0b\x0c\r", " " * 5)
-    words = F.array_remove(F.split(plain, " "), "")
+    words = F.array_remove(F.split(_plain(F.lower(F.coalesce(F.col("text"), F.lit("")))), " "), "")
     pairs = (texts.select(words.alias("w")).where(F.size("w") > 1)
              .select(F.zip_with(F.slice("w", 1, F.size("w") - 1), F.slice("w", 2, F.size("w") - 1),
                                 lambda a, b: F.xxhash64(a, b)).alias("pairs")))

@@ -8,6 +8,8 @@ overlap.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -21,19 +23,18 @@ def let(value: Column, body) -> Column:
     return F.element_at(F.transform(F.array(value), body), 1)
 
 
-def spans(text: Column, pattern: str, before: int = 0) -> Column:
-    """Spans of all matches of ``pattern`` in ``text``, each with the last
-    ``before`` characters in front of it, back to the start of the preceding
-    match.  Places add up chunk by chunk, so that a text with very many
-    matches is not quadratic."""
+def spans(text: Column, pattern: str, before: Callable[[Column], Column] | None = None) -> Column:
+    """Spans of all matches of ``pattern`` in ``text``, each with ``before`` of
+    the text in front of it, back to the start of the last match but one.
+    Places add up chunk by chunk, so that a text with very many matches is not
+    quadratic."""
     def size_of(pair):
         return F.length(pair["piece"]) + F.length(pair["match"])
 
     def step(state, pair):
         end = state["at"] + size_of(pair)
-        front = F.right(F.concat(pair["last"], pair["piece"]), F.lit(before)) if before else F.lit("")
         span = F.struct((end - F.length(pair["match"])).alias("start"), end.alias("end"),
-                        pair["match"].alias("text"), front.alias("before"))
+                        pair["match"].alias("text"), pair["before"].alias("before"))
         return F.struct(F.concat(state["done"], F.array(span)).alias("done"), end.alias("at"))
 
     def running(state, chunk):
@@ -48,12 +49,17 @@ def spans(text: Column, pattern: str, before: int = 0) -> Column:
         zero = F.struct(F.array().cast("array<int>").alias("done"), F.lit(0).alias("at"))
         return F.flatten(F.zip_with(chunks, F.aggregate(chunks, zero, running, lambda s: s["done"]), from_offset))
 
+    def fronted(pairs):
+        def front(i, ago, part):
+            return F.coalesce(F.get(pairs, i - ago)[part], F.lit(""))
+
+        return F.transform(pairs, lambda x, i: F.struct(x["piece"].alias("piece"), x["match"].alias("match"), before(F.concat(
+            front(i, 2, "match"), front(i, 1, "piece"), front(i, 1, "match"), x["piece"])).alias("before")))
+
     def placed(found):
-        two = F.zip_with(F.slice(F.split(text, pattern, -1), 1, F.size(found)), found,
-                         lambda p, m: F.struct(p.alias("piece"), m.alias("match")))
-        last = F.slice(F.concat(F.array(F.lit("")), found), 1, F.size(found))
-        three = F.zip_with(two, last, lambda x, m: F.struct(x["piece"].alias("piece"), x["match"].alias("match"), m.alias("last")))
-        chunks = let(three, lambda all_: F.transform(
+        pairs = F.zip_with(F.slice(F.split(text, pattern, -1), 1, F.size(found)), found,
+                           lambda p, m: F.struct(p.alias("piece"), m.alias("match"), F.lit("").alias("before")))
+        chunks = let(let(pairs, fronted) if before else pairs, lambda all_: F.transform(
             F.sequence(F.lit(0), F.size(all_) - 1, F.lit(_CHUNK)), lambda i: F.slice(all_, i + 1, F.lit(_CHUNK))))
         # the second search only where the first found something
         return F.when(F.size(found) > 0, let(chunks, chunked)).otherwise(F.array().cast(_TYPE))
