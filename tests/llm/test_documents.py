@@ -296,6 +296,31 @@ def test_bootstrap_discovers_identifiers(spark):
     assert not any(got[i] for i in range(15, 25))
 
 
+def brute_occurrences(text):
+    """(pattern, start, seed) of every word that begins a base span or is a candidate."""
+    base = [tuple(map(int, s.split(":")[1:])) for s in brute_pii(text)[1].split(",") if s]
+    words = [(m.start(), m.end(), m[0]) for m in re.finditer(r"[^\x20\x09-\x0D]+", text)]
+    for (_, _, a), (_, _, b), (start, end, word) in zip(words, words[1:], words[2:]):
+        seed = any(start <= s < end for s, _ in base)
+        if seed or (re.search("[0-9]", word) and not any(s < end and start < e for s, e in base)):
+            yield f"{a} {b}".lower(), start, seed
+
+
+def test_pii_contexts_are_whole_words(spark):
+    texts = ["record 2024 4471123 and clinic4b patient 4471123", "W2 no QX-998877", "a b jane.doe@example.com c d",
+             "x  y\t\n<jane@example.com>, z a+b@c.de;k@l.mn 5", "see the " + "u" * 300 + "7 " + "v" * 400 + " w 8 9 10 11",
+             "call us +44 20 1234 5678 now 12 or +44 20 1234 5678;j@x.yz q", "é Ü 1 ", "1", "1 2", "1 2 3", " 1  2\r3 ", "@ @ @ @1",
+             "a b 4111 1111 1111 1111 c 5", "", " ", *ODD_PII]
+    rng = random.Random(3)
+    parts = ["a", "Bc", "7", "x9y", "j@k.lm", "j2@k.lm", "@", "1.2.3.4", " ", "  ", "\t", "\n", "+49 30 123456", "(", "ÄÖ"]
+    texts += ["".join(rng.choice(parts) + rng.choice(["", " ", " "]) for _ in range(rng.randint(0, 400))) for _ in range(60)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "i long, text string")
+    base = pii.base_spans(F.col("text"))
+    got = docs.select("i", pii._occurrences(F.col("text"), F.array_sort(F.concat(*base.values()))).alias("o")).collect()
+    for r in got:
+        assert [(o["pattern"], o["start"], o["seed"]) for o in r["o"]] == list(brute_occurrences(texts[r["i"]])), texts[r["i"]][:80]
+
+
 def test_bootstrap_contexts_with_digits(spark):
     texts = [f"clinic4b record 2024 10.0.3.{i} ok" for i in range(12)]
     new = ["clinic4b record 2024 4471123 ok", "clinic4b record 2024 " + "u" * 200 + "-4471123 ok"]
@@ -304,6 +329,14 @@ def test_bootstrap_contexts_with_digits(spark):
     assert [got[12], got[13]] == ["learned:21:28", f"learned:21:{21 + 208}"]
 
 
+def test_bootstrap_seeds_without_digits(spark):
+    names = ["ann", "bob", "cid", "dan", "eve", "fay", "gus", "hal", "ida", "jim", "kim", "leo"]
+    texts = [f"filler text, contact address: {n}.doe@example.com ok" for n in names]
+    docs = spark.createDataFrame(list(enumerate([*texts, "filler text, contact address: QX-4471123 ok"])), "doc_id long, text string")
+    got = {r["doc_id"]: r["spans"] for r in pii.report(pii.scan(docs)).collect()}
+    assert got[12] == "learned:30:40" and not any("learned" in got[i] for i in range(12))
+
+
 def test_licenses(spark, odd, nothing):
     gpl = "this  work IS licensed under the (GNU) General Public License, version 3"
     extra = [(500, "x " * 300 + gpl + " y" * 50, None), (501, gpl.replace("General", "Specific"), None),

@@ -2,7 +2,7 @@
 identifiers of unknown format (SQL functions only).
 
 Base spans are e-mail and network addresses, payment cards and phone numbers.
-They seed a bootstrap: the two whole words in
+All of them, with digits or without, seed a bootstrap: the two whole words in
 front of the word an entity begins in are a lexical pattern, however long or far
 apart; other instances are words that hold a digit (to be learned, at least
 ``least_digits``), and the graph of patterns and instances is scored in rounds.
@@ -39,8 +39,9 @@ CARD = r"[0-9](?:[\x20-]?[0-9]){15,}+"
 PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
 KINDS = ("email", "ip", "card", "phone")
 ADDED = "learned"
-#: A whole word of a text of ``_plain`` blanks that holds a digit.
-TOKEN = r"(?<![^\x20])[^\x200-9]*+[0-9][^\x20]*+"
+#: A whole word of a text of ``_plain`` blanks that holds a digit or an at sign:
+#: every base span begins in one.
+TOKEN = r"(?<![^\x20])[^\x20@0-9]*+[@0-9][^\x20]*+"
 #: One in so many texts is searched first, to rule out common patterns.
 _PART = 64
 
