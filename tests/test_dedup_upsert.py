@@ -109,6 +109,14 @@ def test_null_dates_are_rejected_and_refused(spark, scratch):
         merge_into_path(spark, bad, f"{scratch}/nulls")
 
 
+def test_rejected_rows_hold_null_dates(spark, monkeypatch):
+    from tillroll.plans import qa
+    rows = bronze_rows(dt.date(2026, 4, 10), 2)
+    rows.append((*rows[0][:7], None, *rows[0][8:]))
+    monkeypatch.setattr(qa, "bronze_rows", lambda spark, base: spark.createDataFrame(rows, BRONZE_PRICES))
+    assert [(r.nombre, r.reject_reason) for r in qa.rejected_rows(spark, "").collect()] == [(rows[0][1], "date_null")]
+
+
 def test_touched_dates_prune_the_history_scan(spark, scratch):
     from tillroll.operators.upsert import touched_dates
     path = f"{scratch}/silver"

@@ -108,4 +108,4 @@ def rejection_by_day(spark, base):
 def rejected_rows(spark, base):
     """Q16: every rejected row (the troubleshooting LIMIT is a display
     option of ``rejected``, not applied here)."""
-    return rejected(with_price(bronze_rows(spark, base))).drop("precio_normalizado")
+    return rejected(with_price(bronze_rows(spark, base)), date_col="fecha_extraccion").drop("precio_normalizado")
