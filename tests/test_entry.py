@@ -1,3 +1,8 @@
+import os
+import shutil
+import subprocess
+import sys
+
 import __spark_entry__ as E
 from conftest import SF_SMALL
 
@@ -23,3 +28,17 @@ def test_every_query_has_oracle_and_runs(spark):
         # no nested-loop / cartesian joins, no sort-based aggregation, no Python rows
         for bad in ("NestedLoop", "Cartesian", "SortAggregate", "BatchEvalPython", "ArrowEvalPython"):
             assert bad not in plan, (name, bad)
+
+
+def test_entry_without_the_optional_parts(scratch):
+    """A copy without the training-data subpackage still imports and offers
+    every other query; so does one whose optional packages are not installed."""
+    root = os.path.dirname(os.path.abspath(E.__file__))
+    bare = f"{scratch}/bare"
+    shutil.copytree(root, bare, ignore=shutil.ignore_patterns(".git", "llm", "__pycache__", "*.json", "*.md"))
+    names = "import __spark_entry__ as E, json; print(json.dumps(sorted(E.queries()))); print(json.dumps(sorted(E.oracle_sql())))"
+    want = f"{sorted(registry.queries())}\n{sorted(registry.oracle_sql())}\n".replace("'", '"')
+    for folder, before in ((bare, ""), (root, "import sys; sys.modules['public_tokenizers'] = None; ")):
+        done = subprocess.run([sys.executable, "-c", before + names], cwd=folder, capture_output=True, text=True, timeout=120)
+        assert done.returncode == 0, done.stderr
+        assert done.stdout == want
