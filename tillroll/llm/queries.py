@@ -9,7 +9,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillroll.llm import bpe, chat, exact_dedup, license_scan, mixing, pii, quality, secret_scan, simhash, vafile
+from tillroll.llm import (bpe, chat, exact_dedup, license_scan, mixing, pii, quality, rendezvous, secret_scan, simhash,
+                          vafile)
 from tillroll.llm.common import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -67,6 +68,11 @@ def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op13_rendezvous_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    placed = rendezvous.layout(read(spark, sf_dir, "documents"), weights=[1.0] * 8)
+    return placed.select("doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", "slot", "grown_shard")
+
+
 QUERIES: dict[str, Query] = {
     "op1_license_scan": op1_license_scan,
     "op2_source_mixing": op2_source_mixing,
@@ -78,6 +84,7 @@ QUERIES: dict[str, Query] = {
     "op8_chat_rotation": op8_chat_rotation,
     "op9_pii": op9_pii,
     "op10_simhash_near_dedup": op10_simhash_near_dedup,
+    "op13_rendezvous_sharding": op13_rendezvous_sharding,
 }
 
 #: DuckDB SQL of the operators that SQL can express.
@@ -160,4 +167,28 @@ ORACLE_SQL: dict[str, str] = {
                         FILTER (own), '') AS mask
         FROM placed GROUP BY conv_id, perspective, part
     """,
+    "op13_rendezvous_sharding": """
+        WITH crc_table AS (
+            SELECT list(c ORDER BY i) AS t
+            FROM (SELECT i, list_reduce([i] || range(8), lambda c, b:
+                             CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS c
+                  FROM range(256) bytes(i))),
+        docs AS (
+            SELECT row_number() OVER () AS place, doc_id, octet_length(encode(coalesce(text, '')))::BIGINT + 1 AS size,
+                   xor(4294967295, list_reduce(
+                       [4294967295::BIGINT] || list_transform(regexp_extract_all(hex(encode(coalesce(text, ''))), '..'),
+                                                              lambda x: ('0x' || x)::BIGINT),
+                       lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1]))) AS text_crc32
+            FROM documents, crc_table),
+        claims AS (
+            SELECT place, s, -1 / ln((('0x' || substr(md5('shard:' || s || coalesce(':' || doc_id, '')), 1, 12))::BIGINT + 0.5)
+                                     / 281474976710656::DOUBLE) AS claim
+            FROM docs, range(9) shards(s)),
+        won AS (
+            SELECT place, arg_max(s, (claim, -s)) FILTER (s < 8)::INT AS shard, arg_max(s, (claim, -s))::INT AS grown_shard
+            FROM claims GROUP BY place)
+        SELECT doc_id, size, text_crc32, 'key' AS law, shard, grown_shard,
+               row_number() OVER (PARTITION BY shard ORDER BY doc_id NULLS FIRST, size, text_crc32) - 1 AS slot
+        FROM docs JOIN won USING (place)
+    """,
 }
