@@ -9,8 +9,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillroll.llm import (bpe, chat, exact_dedup, license_scan, mixing, pii, quality, rendezvous, secret_scan, simhash,
-                          vafile)
+from tillroll.llm import (angular, bpe, chat, exact_dedup, license_scan, mixing, pii, quality, rendezvous, secret_scan,
+                          simhash, vafile)
 from tillroll.llm.common import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -68,6 +68,12 @@ def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = read(spark, sf_dir, "embeddings").select("vec_id", "embedding", label.alias("label"))
+    return angular.mine(rows, F.col("vec_id") % 100 == 0)
+
+
 def op13_rendezvous_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = rendezvous.layout(read(spark, sf_dir, "documents"), weights=[1.0] * 8)
     return placed.select("doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", "slot", "grown_shard")
@@ -84,6 +90,7 @@ QUERIES: dict[str, Query] = {
     "op8_chat_rotation": op8_chat_rotation,
     "op9_pii": op9_pii,
     "op10_simhash_near_dedup": op10_simhash_near_dedup,
+    "op12_hard_negatives": op12_hard_negatives,
     "op13_rendezvous_sharding": op13_rendezvous_sharding,
 }
 
@@ -167,6 +174,29 @@ ORACLE_SQL: dict[str, str] = {
                         FILTER (own), '') AS mask
         FROM placed GROUP BY conv_id, perspective, part
     """,
+    "op12_hard_negatives": """
+        WITH vectors AS (
+            SELECT row_number() OVER () AS place, vec_id,
+                   CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                   list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS v
+            FROM embeddings
+            WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+              AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+        scored AS (
+            SELECT a.place, a.vec_id AS anchor_id, b.place AS other, b.vec_id, a.label = b.label AS same,
+                   coalesce(list_sum(list_transform(list_zip(a.v, b.v), lambda p: p[1] * p[2])), 0)::BIGINT AS score
+            FROM vectors a JOIN vectors b ON a.vec_id % 100 = 0 AND a.place <> b.place),
+        near AS (
+            SELECT *, row_number() OVER (PARTITION BY place ORDER BY score DESC, vec_id, other) AS nth
+            FROM scored WHERE same),
+        found AS (
+            SELECT p.anchor_id, p.vec_id AS positive_id, n.vec_id AS negative_id, p.score AS positive_score,
+                   n.score AS negative_score,
+                   row_number() OVER (PARTITION BY p.place, p.nth ORDER BY n.score DESC, n.vec_id)::INT AS rank
+            FROM near p JOIN scored n ON p.place = n.place AND p.nth <= 5 AND NOT n.same
+                 AND 30 * p.score <= 100 * n.score AND 100 * n.score <= 90 * p.score)
+        SELECT * FROM found WHERE rank <= 10
+    """,
     "op13_rendezvous_sharding": """
         WITH crc_table AS (
             SELECT list(c ORDER BY i) AS t
