@@ -20,9 +20,11 @@ in which the best rows of other labels are the hard negatives.
 
 Anchors are the stated query set: they meet all rows in chunks of at most
 ``chunk_bytes``, the only thing that is broadcast, and each chunk takes two
-map-only passes over the blocks.  A task keeps the best few per window, so what
-crosses the cluster does not depend on the number of rows.  The result of a
-chunk is written to the shared checkpoint folder.
+passes over the blocks, for positives and for negatives.  Each first takes one
+block in ``_SEED`` alone: the k-th best score and id found there are a sure floor
+for each window, so of all blocks only about ``_SEED`` times k rows a window are
+left to cross the cluster, however many tasks and copies there are.  The result
+of a chunk is written to the shared checkpoint folder.
 
 Defined cases: rows with a null id, a null label, a null vector, or a component
 that is null or not finite (also after scaling) take no part; a shorter vector
@@ -51,6 +53,8 @@ from tillroll.session import ensure_checkpoint_dir
 
 #: Anchors that are scored together.
 _SLICE = 256
+#: One block of so many sets the floors of a pass.
+_SEED = 32
 #: What float32 angles and their cosines can be off, with room to spare.
 _ANGLE_SLACK, _SCORE_SLACK = 4e-6, 1e-6
 _LEAST, _MOST = np.iinfo(np.int64).min, np.iinfo(np.int64).max
@@ -154,7 +158,7 @@ class Best:
 
     def __init__(self, n: int, keep: int):
         self.n, self.keep = n, keep
-        self.floor = np.full(n, _LEAST)
+        self.floor, self.floor_id = np.full(n, _LEAST), np.full(n, _MOST)
         self.group, self.score, self.id, self.key = (np.zeros(0, dtype=np.int64) for _ in range(4))
 
     def add(self, group, score, id_, key) -> None:
@@ -166,7 +170,8 @@ class Best:
         order, group = order[place < self.keep], group[place < self.keep]
         self.group, self.score, self.id, self.key = group, score[order], id_[order], key[order]
         full = np.flatnonzero(np.bincount(group, minlength=self.n) == self.keep)
-        self.floor[full] = self.score[np.searchsorted(group, full, side="right") - 1]
+        last = np.searchsorted(group, full, side="right") - 1
+        self.floor[full], self.floor_id[full] = self.score[last], self.id[last]
 
 
 class Chunk:
@@ -183,10 +188,11 @@ class Chunk:
         self.angles = np.array([np.frombuffer(r["angles"], dtype="<f4") for r in rows])
         self.vectors = np.concatenate([shape.unpack(r["v"]) for r in rows])
 
-    def search(self, blocks, low: np.ndarray, high: np.ndarray, keep: int, same: bool):
+    def search(self, blocks, low: np.ndarray, low_id: np.ndarray, high: np.ndarray, keep: int, same: bool):
         """Per anchor and window (column of ``low`` and ``high``, both
-        included) the best ``keep`` rows of the same or of other labels:
-        arrays of anchor, window, score, id, row key."""
+        included, but at ``low`` only ids up to ``low_id``) the best ``keep``
+        rows of the same or of other labels: arrays of anchor, window, score,
+        id, row key."""
         windows = low.shape[1]
         slices = [slice(at, at + _SLICE) for at in range(0, len(self.keys), _SLICE)]
         best = [Best(len(self.keys[s]) * windows, keep) for s in slices]
@@ -202,14 +208,15 @@ class Chunk:
                 rows = np.flatnonzero(fits)
                 if not len(rows):
                     continue
-                self._score(s, top, windows, keep, same, low[s], high[s], rows, first + rows, ids[rows], codes[rows],
+                above = top.floor.reshape(-1, windows) > low[s]
+                floor = (np.where(above, top.floor.reshape(-1, windows), low[s]),
+                         np.where(above, top.floor_id.reshape(-1, windows), low_id[s]))
+                self._score(s, top, windows, keep, same, *floor, high[s], rows, first + rows, ids[rows], codes[rows],
                             norms[rows], angles[rows], vectors)
         for s, top in zip(slices, best):
             yield s.start + top.group // windows, top.group % windows, top.score, top.id, top.key
 
-    def _score(self, s, top, windows, keep, same, low, high, rows, keys, ids, codes, norms, angles, vectors) -> None:
-        floor = np.maximum(low, top.floor.reshape(-1, windows))
-
+    def _score(self, s, top, windows, keep, same, floor, floor_id, high, rows, keys, ids, codes, norms, angles, vectors) -> None:
         def overlap(lower, upper, least, most):
             found = np.zeros(lower.shape, dtype=bool)
             for w in range(windows):
@@ -233,7 +240,9 @@ class Chunk:
         wanted, some = wanted[np.ix_(i, j)], some[i]
         score = self.shape.scores(self.vectors[s.start + some], vectors[rows[j]])
         for w in range(windows):
-            hit = wanted & (score >= floor[some, w, None]) & (score <= high[some, w, None])
+            least = floor[some, w, None]
+            hit = wanted & (score >= least) & (score <= high[some, w, None])
+            hit &= (score > least) | (ids[j] <= floor_id[some, w, None])
             if hit.shape[1] > keep:  # no row below the block's own k-th score can be among the best
                 inside = np.where(hit, score, _LEAST)
                 hit &= inside >= np.partition(inside, hit.shape[1] - keep, axis=1)[:, hit.shape[1] - keep, None]
@@ -299,10 +308,17 @@ def _anchors(batches):
 
 def _search(blocks: DataFrame, shared, low: np.ndarray, high: np.ndarray, keep: int, same: bool) -> DataFrame:
     """The best ``keep`` of each anchor and window, of all blocks, with ``place`` from 1."""
+    seeds = blocks.where(F.pmod(F.xxhash64("first"), F.lit(_SEED)) == 0)
+    floor, floor_id = low.copy(), np.full(low.shape, _MOST)
+    for r in _best(seeds, shared, low, floor_id, high, keep, same).where(F.col("place") == keep).collect():
+        floor[r["a"], r["w"]], floor_id[r["a"], r["w"]] = r["score"], r["id"]
+    return _best(blocks, shared, floor, floor_id, high, keep, same)
+
 
+def _best(blocks: DataFrame, shared, low, low_id, high, keep: int, same: bool) -> DataFrame:
     def run(batches):
         stream = (block for b in batches for block in b.to_pylist())
-        for found in shared.value.search(stream, low, high, keep, same):
+        for found in shared.value.search(stream, low, low_id, high, keep, same):
             kinds = (pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int64())
             yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(found, kinds)],
                                              names=["a", "w", "score", "id", "key"])
