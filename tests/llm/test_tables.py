@@ -86,7 +86,7 @@ def test_registered_query(spark, name):
         assert rows
         return
     db = duckdb.connect()
-    for table in ("documents", "embeddings", "conversations"):
+    for table in ("documents", "embeddings", "conversations", "benchmark"):
         db.sql(f"CREATE VIEW {table} AS SELECT * FROM '{SMALL}/{table}.parquet'")
     sql = db.sql(ORACLE_SQL[name])
     want = db.sql(f"SELECT {', '.join(f'{c}' for c in sorted(sql.columns))} FROM ({ORACLE_SQL[name]})").fetchall()

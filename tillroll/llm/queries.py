@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillroll.llm import (angular, bpe, chat, exact_dedup, license_scan, mixing, pii, quality, rendezvous, secret_scan,
+from tillroll.llm import (angular, bpe, chat, dualtree, exact_dedup, license_scan, mixing, pii, quality, rendezvous, secret_scan,
                           simhash, vafile)
 from tillroll.llm.common import read
 
@@ -68,6 +68,10 @@ def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dualtree.rank(read(spark, sf_dir, "benchmark"), read(spark, sf_dir, "documents"))
+
+
 def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
     rows = read(spark, sf_dir, "embeddings").select("vec_id", "embedding", label.alias("label"))
@@ -90,6 +94,7 @@ QUERIES: dict[str, Query] = {
     "op8_chat_rotation": op8_chat_rotation,
     "op9_pii": op9_pii,
     "op10_simhash_near_dedup": op10_simhash_near_dedup,
+    "op11_ranked_search": op11_ranked_search,
     "op12_hard_negatives": op12_hard_negatives,
     "op13_rendezvous_sharding": op13_rendezvous_sharding,
 }
@@ -174,6 +179,39 @@ ORACLE_SQL: dict[str, str] = {
                         FILTER (own), '') AS mask
         FROM placed GROUP BY conv_id, perspective, part
     """,
+    "op11_ranked_search": r"""
+        WITH asked AS (
+            SELECT row_number() OVER () AS place, item_id, text FROM benchmark),
+        wanted AS (
+            SELECT DISTINCT place, item_id, unnest(regexp_extract_all(translate(
+                text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+            FROM asked),
+        docs AS (
+            SELECT row_number() OVER () AS row, doc_id, regexp_extract_all(translate(
+                text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS terms
+            FROM documents WHERE text IS NOT NULL),
+        sized AS (SELECT row, doc_id, terms, len(terms)::BIGINT AS n FROM docs WHERE len(terms) > 0),
+        whole AS (SELECT count(*)::BIGINT AS n_docs, sum(n)::BIGINT AS words FROM sized),
+        postings AS (
+            SELECT row, doc_id, n, term, count(*)::BIGINT AS tf
+            FROM (SELECT row, doc_id, n, unnest(terms) AS term FROM sized)
+            WHERE term IN (SELECT term FROM wanted) GROUP BY ALL),
+        weights AS (
+            SELECT term, floor(1000 * ln((2 * n_docs + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE))::BIGINT AS w
+            FROM postings, whole GROUP BY term, n_docs),
+        scored AS (
+            SELECT place, item_id, row, doc_id,
+                   sum(w * ((1000000000 * tf) // (1000 * tf + 20 * (50 + (50 * n * n_docs) // words))))::BIGINT AS score
+            FROM wanted JOIN postings USING (term) JOIN weights USING (term), whole
+            GROUP BY place, item_id, row, doc_id),
+        ranked AS (
+            SELECT item_id, row_number() OVER (PARTITION BY place ORDER BY score DESC, doc_id NULLS LAST)::INT AS rank,
+                   doc_id, score
+            FROM scored WHERE score > 0)
+        SELECT * FROM ranked WHERE rank <= 50
+    """,
     "op12_hard_negatives": """
         WITH vectors AS (
             SELECT row_number() OVER () AS place, vec_id,
