@@ -43,15 +43,15 @@ from pyspark.sql import types as T
 
 from tillroll.llm.common import in_workers
 
-#: Distinct words whose ids a task keeps as recent; beyond it they become the
-#: older ones, and those not met again since are forgotten.
-_KEPT_WORDS = 100_000
+#: Bytes of words and ids that a task keeps as recent; beyond them they become
+#: the older ones, and those not met again since are forgotten.
+_KEPT_BYTES = 2 << 20
 #: Longest word that is kept (longer ones are encoded each time).
 _KEPT_LENGTH = 64
 #: Letters up to which a failing word is merged by scanning (else by a heap).
 _SCANNED_LENGTH = 64
 #: Words of a batch that are encoded together.
-_TOGETHER = 1 << 16
+_TOGETHER = 1 << 15
 #: Plain Latin characters: unchanged by NFC, lower-cased one to one, and
 #: classed alike by every Unicode version.
 _PLAIN = regex.compile(r"[\t-\r\x20-\x7e -įı-ſ]*")
@@ -83,21 +83,25 @@ class WordBpe:
             spec = json.load(f)
         model = spec["model"]
         self.end = model.get("end_of_word_suffix") or ""
-        self.vocab: dict[str, int] = model["vocab"]
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.names = token_names(path)
         self.letters = {b: c for b, c in enumerate(byte_letters())}
-        whole = Tokenizer.from_file(path)
+        # only the normaliser and the splitter of the library are used: no need to load its tables
+        bare = spec | {"added_tokens": [], "model": model | {"vocab": {}, "merges": []}, "post_processor": None}
+        whole = Tokenizer.from_str(json.dumps(bare))
         self.normalizer, self.splitter = whole.normalizer, whole.pre_tokenizer
         pattern = next(p["pattern"]["Regex"] for p in spec["pre_tokenizer"]["pretokenizers"] if p["type"] == "Split")
         self.words_of = plain_splitter(pattern)
         marks = "|".join(regex.escape(s) for s in sorted(self.special, key=len, reverse=True))
         self.special_at = regex.compile(f"({marks})") if marks else None
-        self._load_merges([m.split(" ") if isinstance(m, str) else m for m in model["merges"]])
+        self._load_merges(model["vocab"], [m.split(" ") if isinstance(m, str) else m for m in model["merges"]])
+        #: ids of the single letters, plain and as the end of a word
+        self.single = {s: i for s, i in model["vocab"].items() if len(s.removesuffix(self.end)) == 1}
         self.known: dict[str | int, bytes] = {}
         self.older: dict[str | int, bytes] = {}
+        self.kept = 0
 
-    def _load_merges(self, merges) -> None:
+    def _load_merges(self, vocab: dict[str, int], merges) -> None:
         n = len(self.names)
         self.rank = np.full(n, -1, dtype=np.int64)
         self.left, self.right = np.arange(n), np.arange(n)
@@ -105,7 +109,7 @@ class WordBpe:
         self.pair: dict[tuple[int, int], int] = {}
         keys = np.empty(len(merges), dtype=np.int64)
         for r, (a, b) in enumerate(merges):
-            x, y, t = self.vocab[a], self.vocab[b], self.vocab[a + b]
+            x, y, t = vocab[a], vocab[b], vocab[a + b]
             if self.rank[t] >= 0 or max(self.rank[x], self.rank[y]) >= r:
                 raise ValueError(f"merge {r} makes {a + b!r} again or before its parts")
             self.rank[t], self.left[t], self.right[t] = r, x, y
@@ -118,7 +122,7 @@ class WordBpe:
         good[made] = self.compatible(self.left[made], self.right[made], self.rank[made])
         for t in made[np.argsort(self.rank[made])]:  # parts come before the token they make
             good[t] &= good[self.left[t]] & good[self.right[t]]
-        self.proposed = {s: i for s, i in self.vocab.items() if good[i]}
+        self.proposed = {s: i for s, i in vocab.items() if good[i]}
         #: Beginnings of proposed tokens, the tokens themselves included.
         self.begun = {s[:k] for token in self.proposed for s in [token.removesuffix(self.end)] for k in range(1, len(s) + 1)}
 
@@ -172,7 +176,7 @@ class WordBpe:
         """Exact merging of a word in byte letters: lowest merge first, of
         equal ones the leftmost."""
         marks = [*word[:-1], word[-1] + self.end] if word else []
-        ids = [self.vocab[c] for c in marks if c in self.vocab]
+        ids = [self.single[c] for c in marks if c in self.single]
         return self._merge_scan(ids) if len(ids) <= _SCANNED_LENGTH else self._merge_heap(ids)
 
     def _merge_scan(self, ids: list[int]) -> list[int]:
@@ -245,14 +249,18 @@ class WordBpe:
         return word if raw.isascii() and raw.isalnum() else raw.decode("latin-1").translate(self.letters)
 
     def encode_batch(self, texts: list[str]) -> list[bytes]:
+        """The ids of each text.  Words are encoded ``_TOGETHER`` at a time, so
+        what is held beside the batch itself is bounded by ``_KEPT_BYTES``
+        (twice: recent and older words) and by the batch's longest texts."""
         split = [self.words(t) for t in texts]
-        if len(self.known) > _KEPT_WORDS:
-            self.known, self.older = {}, self.known
+        if self.kept > _KEPT_BYTES:
+            self.known, self.older, self.kept = {}, self.known, 0
         known, older = self.known, self.older
         unmet = set().union(*split).difference(known)
-        known |= {w: older[w] for w in unmet if w in older}
-        known |= {w: np.asarray([w], dtype="<u4").tobytes() for w in unmet if isinstance(w, int)}
-        fresh = [w for w in unmet if w not in known]
+        again = {w: older[w] for w in unmet if w in older}
+        again |= {w: np.asarray([w], dtype="<u4").tobytes() for w in unmet if isinstance(w, int)}
+        known |= again
+        fresh = [w for w in unmet if w not in again]
         for at in range(0, len(fresh), _TOGETHER):
             part = fresh[at:at + _TOGETHER]
             known |= zip(part, self.encode_words([self.in_letters(w) for w in part]), strict=True)
@@ -260,6 +268,8 @@ class WordBpe:
         for w in fresh:
             if len(w) > _KEPT_LENGTH:
                 del known[w]
+        self.kept += sum(len(w) + len(known[w]) for w in fresh if w in known)
+        self.kept += sum(len(known[w]) + 8 for w in again)
         return encoded
 
 
@@ -285,7 +295,7 @@ def decode_ids(ids: bytes, names: list[str]) -> str:
     return " ".join([names[i] for i in np.frombuffer(ids, dtype="<u4").tolist()])
 
 
-def _pieces(column, most_bytes: int = 1 << 21):
+def _pieces(column, most_bytes: int = 1 << 19):
     """Slices of a batch's column of a bounded number of bytes (one row at least)."""
     at, n = 0, len(column)
     sizes = pc.fill_null(pc.binary_length(column), 0).to_pylist()
@@ -298,12 +308,18 @@ def _pieces(column, most_bytes: int = 1 << 21):
         at = stop
 
 
-def encode(docs: DataFrame, path: str, text_col: str = "text", ids_col: str = "ids", drop_text: bool = True) -> DataFrame:
+def encode(docs: DataFrame, path: str, text_col: str = "text", ids_col: str = "ids", drop_text: bool = True,
+           decoded_col: str | None = None) -> DataFrame:
     """``docs`` with a binary column of token ids (little-endian unsigned 32
-    bits, the usual storage of token files) in place of the text."""
+    bits, the usual storage of token files) in place of the text.  With
+    ``decoded_col`` the ids are decoded again in the same pass (one Python
+    worker a task instead of the two that ``encode`` and ``decode`` take)."""
     kept = [c for c in docs.columns if c != text_col or not drop_text]
-    rows = docs.select(*[F.col(f"`{c}`") for c in kept if c != ids_col], F.col(f"`{text_col}`").alias("__text"))
-    out = T.StructType([*rows.schema.fields[:-1], T.StructField(ids_col, T.BinaryType())])
+    added = [T.StructField(ids_col, T.BinaryType())]
+    added += [T.StructField(decoded_col, T.StringType())] if decoded_col else []
+    rows = docs.select(*[F.col(f"`{c}`") for c in kept if c not in (ids_col, decoded_col)],
+                       F.col(f"`{text_col}`").alias("__text"))
+    out = T.StructType([*rows.schema.fields[:-1], *added])
 
     def run(batches):
         coder = tokenizer(path)
@@ -311,8 +327,11 @@ def encode(docs: DataFrame, path: str, text_col: str = "text", ids_col: str = "i
             texts = batch.column(batch.num_columns - 1)
             for a, b in _pieces(texts):
                 part = [t.as_py() or "" for t in texts.slice(a, b - a)]
-                ids = pa.array(coder.encode_batch(part), pa.binary())
-                yield pa.RecordBatch.from_arrays([*(c.slice(a, b - a) for c in batch.columns[:-1]), ids],
+                ids = coder.encode_batch(part)
+                made = [pa.array(ids, pa.binary())]
+                if decoded_col:
+                    made.append(pa.array([decode_ids(x, coder.names) for x in ids], pa.string()))
+                yield pa.RecordBatch.from_arrays([*(c.slice(a, b - a) for c in batch.columns[:-1]), *made],
                                                  names=out.names)
 
     return in_workers(rows).mapInArrow(run, out)
@@ -337,7 +356,7 @@ def decode(rows: DataFrame, path: str, ids_col: str = "ids", text_col: str = "de
 def coded_digests(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, n_tokens, ids_sha256, decoded_sha256 of every document."""
     rows = docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text_col}`").alias("text"))
-    both = decode(encode(rows, path), path)
+    both = encode(rows, path, decoded_col="decoded")
     return both.select("doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
                        F.sha2("ids", 256).alias("ids_sha256"),
                        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
