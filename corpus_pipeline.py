@@ -43,7 +43,7 @@ def bpe_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of each document, and digests of the ids and of what they
     decode to."""
     rows = docs.select("doc_id", "lang", "source", "text")
-    coded = bpe.decode(bpe.encode(rows, TOKENIZER), TOKENIZER)
+    coded = bpe.encode(rows, TOKENIZER, decoded_col="decoded")
     return coded.select("doc_id", "lang", "source", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), "ids",
                         F.sha2("ids", 256).alias("ids_sha256"),
                         F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
