@@ -40,7 +40,8 @@ def q12_union_of_scans(bronze):
     from tillroll.operators.clean import with_price
     valid = with_price(bronze, out="precio_num").where(F.col("precio_num") > 0)
     stats = Q.group_percentiles(valid, ["categoria"], "precio_num", {"_p99": 0.99, "_p01": 0.01})
-    rows = valid.join(stats, valid.categoria.eqNullSafe(stats.categoria)).drop(stats.categoria)
+    stats = stats.withColumnRenamed("categoria", "_cat")
+    rows = valid.join(stats, valid.categoria.eqNullSafe(stats._cat))
     checks = [F.col("supermercado").isNull(), F.col("nombre").isNull(), F.col("categoria").isNull(),
               F.col("url").isNull() | (F.col("url") == ""), None,
               F.col("precio_num").cast("double") > F.col("_p99"), F.length("nombre") < 3]

@@ -12,12 +12,15 @@ more than any other.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillroll.functions.text import col_
+from tillroll.operators import selection
 from tillroll.operators.clean import with_price
+from tillroll.session import materialise, small_side
 
 # Report labels.
 EXPLORATION_LABELS = (
@@ -56,12 +59,34 @@ def unpivot(row: DataFrame, pairs: Sequence[tuple[str, Column]], label: str,
 
 def group_percentiles(df: DataFrame, group: Sequence[str], value: str,
                       qs: dict[str, float], approx: bool = False,
-                      accuracy: int = 100_000) -> DataFrame:
-    """Exact (``percentile`` = PERCENTILE_CONT) or approximate percentiles of
-    ``value`` (as double) per group."""
+                      accuracy: int = 100_000, stored: bool = False) -> DataFrame:
+    """Exact (interpolated between ranks, by distributed selection) or
+    approximate percentiles of ``value`` (as double) per group.  ``stored``:
+    ``df`` is a table or materialised, and need not be materialised again."""
+    if not approx:
+        return selection.group_percentiles(df, group, value, qs, stored=stored)
     v = F.col(value).cast("double")
-    fn = (lambda q: F.percentile_approx(v, q, accuracy)) if approx else (lambda q: F.percentile(v, q))
-    return df.groupBy(*group).agg(*[fn(q).alias(name) for name, q in qs.items()])
+    return df.groupBy(*group).agg(*[F.percentile_approx(v, q, accuracy).alias(name) for name, q in qs.items()])
+
+
+def _priced(bronze: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Rows with a valid price, computed once: the passes after it read them."""
+    valid = with_price(bronze, out="precio_num").where(F.col("precio_num") > 0)
+    return materialise(valid.select(*columns, "precio_num"))
+
+
+def _with_limits(valid: DataFrame, approx: bool) -> DataFrame:
+    """Each row with the p99 and p01 of its category (null is a category)."""
+    stats = group_percentiles(valid, ["categoria"], "precio_num", {"_p99": 0.99, "_p01": 0.01}, approx, stored=True)
+    stats = stats.withColumnRenamed("categoria", "_cat")
+    stats = stats if approx else small_side(stats)
+    return valid.join(stats, F.col("categoria").eqNullSafe(F.col("_cat"))).drop("_cat")
+
+
+def _outlier_label() -> Column:
+    price = F.col("precio_num").cast("double")
+    return (F.when(price > F.col("_p99"), F.lit(OUTLIER_HIGH)).when(price < F.col("_p01"), F.lit(OUTLIER_LOW))
+            .otherwise(F.lit(PRICE_NORMAL)))
 
 
 def duplicate_rows(df: DataFrame, keys: Sequence[str], out: str = "dup_rows") -> DataFrame:
@@ -77,14 +102,9 @@ def exploration_summary(bronze: DataFrame, extra: bool = False, approx: bool = F
 
     ``extra=True`` adds the two checks the source computes but never
     reports (low outliers, url without http)."""
-    valid = with_price(bronze, out="precio_num")
-    valid = valid.where(F.col("precio_num") > 0)
-    stats = group_percentiles(valid, ["categoria"], "precio_num", {"_p99": 0.99, "_p01": 0.01}, approx)
-    rows = valid.join(stats, valid.categoria.eqNullSafe(stats.categoria)).drop(stats.categoria)
-    price = F.col("precio_num").cast("double")
-    label = (F.when(price > F.col("_p99"), F.lit(OUTLIER_HIGH))
-              .when(price < F.col("_p01"), F.lit(OUTLIER_LOW))
-              .otherwise(F.lit(PRICE_NORMAL)))
+    valid = _priced(bronze, ["supermercado", "nombre", "categoria", "url", "fecha_extraccion"])
+    rows = _with_limits(valid, approx)
+    label = _outlier_label()
     url_label = F.when(~F.col("url").like("http%"), F.lit(URL_INVALID)).otherwise(F.lit(URL_VALID))
     flags = {
         "c0": F.col("supermercado").isNull(),
@@ -111,38 +131,24 @@ def exploration_summary(bronze: DataFrame, extra: bool = False, approx: bool = F
 
 
 def outlier_labels(bronze: DataFrame, approx: bool = False) -> DataFrame:
-    """E6 per row: p99/p01 label by category and url label (row-level form)."""
-    valid = with_price(bronze, out="precio_num")
-    valid = valid.where(F.col("precio_num") > 0)
-    stats = group_percentiles(valid, ["categoria"], "precio_num", {"_p99": 0.99, "_p01": 0.01}, approx)
-    rows = valid.join(stats, valid.categoria.eqNullSafe(stats.categoria)).drop(stats.categoria)
-    price = F.col("precio_num").cast("double")
-    return rows.withColumn(
-        "precio_outlier", F.when(price > F.col("_p99"), F.lit(OUTLIER_HIGH))
-                           .when(price < F.col("_p01"), F.lit(OUTLIER_LOW))
-                           .otherwise(F.lit(PRICE_NORMAL))).drop("_p99", "_p01")
+    """E6 per row: p99/p01 label by category (row-level form)."""
+    rows = _with_limits(_priced(bronze, bronze.columns), approx)
+    return rows.withColumn("precio_outlier", _outlier_label()).drop("_p99", "_p01")
 
 
 def row_flags(bronze: DataFrame, approx: bool = False) -> DataFrame:
     """B14 + E5 + E6 per row (the exploration's validation rows): null
     flags, duplicate multiplicity, p99/p01 label, url label, lengths.
 
-    The multiplicity is a grouped count joined back on the (null-safe) key,
-    not a window over a possibly hot key."""
-    valid = with_price(bronze, out="precio_num")
-    valid = valid.where(F.col("precio_num") > 0)
+    Bronze is read once; percentiles, multiplicities and the rows themselves
+    come from the valid rows materialised then.  The multiplicity is a grouped
+    count (combined map-side) joined back on the (null-safe) key, not a window
+    over a possibly hot key."""
     keys = ("supermercado", "nombre", "fecha_extraccion")
-    counts = valid.groupBy(*keys).agg(F.count(F.lit(1)).alias("duplicados"))
-    counts = counts.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], "duplicados")
-    cond = None
-    for i, k in enumerate(keys):
-        c = valid[k].eqNullSafe(counts[f"_k{i}"])
-        cond = c if cond is None else cond & c
-    rows = valid.join(counts, cond).drop(*[f"_k{i}" for i in range(len(keys))])
-    stats = group_percentiles(valid, ["categoria"], "precio_num", {"_p99": 0.99, "_p01": 0.01}, approx)
-    stats = stats.withColumnRenamed("categoria", "_cat")
-    rows = rows.join(stats, rows.categoria.eqNullSafe(stats._cat))
-    price = F.col("precio_num").cast("double")
+    valid = _priced(bronze, [*keys, "descripcion", "precio", "categoria", "url", "batch_id"])
+    counts = valid.groupBy(*[F.col(k).alias(f"_{k}") for k in keys]).agg(F.count(F.lit(1)).alias("duplicados"))
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys])
+    rows = _with_limits(valid, approx).join(counts, same)
     return rows.select(
         "supermercado", "nombre", "descripcion", F.col("precio").alias("precio_raw"), "precio_num",
         "categoria", "url", "fecha_extraccion", "batch_id",
@@ -150,9 +156,7 @@ def row_flags(bronze: DataFrame, approx: bool = False) -> DataFrame:
         flag(F.col("nombre").isNull()).alias("null_nombre"),
         flag(F.col("categoria").isNull()).alias("null_categoria"),
         flag(F.col("url").isNull() | (F.col("url") == "")).alias("null_url"),
-        "duplicados",
-        F.when(price > F.col("_p99"), F.lit(OUTLIER_HIGH)).when(price < F.col("_p01"), F.lit(OUTLIER_LOW))
-         .otherwise(F.lit(PRICE_NORMAL)).alias("precio_outlier"),
+        "duplicados", _outlier_label().alias("precio_outlier"),
         F.when(~F.col("url").like("http%"), F.lit(URL_INVALID)).otherwise(F.lit(URL_VALID)).alias("url_valida"),
         F.length("nombre").alias("longitud_nombre"), F.length("descripcion").alias("longitud_descripcion"))
 
@@ -209,10 +213,11 @@ def store_distribution(silver: DataFrame) -> DataFrame:
 def iqr_outliers(silver: DataFrame, as_of, k: float = 1.5, approx: bool = False) -> DataFrame:
     """T7 / D7 + C5: IQR outliers of one day by category (stats joined back
     on category; a null category matches nothing, as the source's JOIN)."""
-    day = silver.where(F.col("fecha_extraccion") == F.lit(as_of))
-    stats = group_percentiles(day, ["categoria"], "precio_normalizado", {"p25": 0.25, "p75": 0.75}, approx)
-    stats = stats.withColumn("iqr", F.col("p75") - F.col("p25"))
-    j = day.join(stats, "categoria")
+    day = materialise(silver.where(F.col("fecha_extraccion") == F.lit(as_of))
+                      .select("categoria", "nombre", "supermercado", "precio_normalizado"))
+    stats = group_percentiles(day, ["categoria"], "precio_normalizado", {"p25": 0.25, "p75": 0.75}, approx, stored=True)
+    stats = stats if approx else small_side(stats)
+    j = day.join(stats, "categoria").withColumn("iqr", F.col("p75") - F.col("p25"))
     price = F.col("precio_normalizado").cast("double")
     low = price < F.col("p25") - k * F.col("iqr")
     high = price > F.col("p75") + k * F.col("iqr")

@@ -8,7 +8,8 @@ from __future__ import annotations
 
 import tempfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 _BASE_CONF = {
     "spark.ui.enabled": "false",
@@ -55,3 +56,16 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     local = tempfile.mkdtemp(prefix="tillroll-ckpt-", dir="/tmp")
     spark.sparkContext.setCheckpointDir(local)
     return local
+
+
+def materialise(df: DataFrame) -> DataFrame:
+    """Compute ``df`` once and cut its lineage, in the shared checkpoint folder
+    (never on a machine's own disk, so a lost executor costs no recomputation)."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
+def small_side(table: DataFrame, rows: int = 100_000) -> DataFrame:
+    """A materialised table, marked for broadcast where it is counted to have
+    at most ``rows`` rows; else the join is left to shuffle both sides."""
+    return F.broadcast(table) if table.count() <= rows else table
