@@ -65,10 +65,13 @@ def reject_reason(price: str = "precio_normalizado", required=REQUIRED,
 def rejected(df: DataFrame, price: str = "precio_normalizado", check_positive: bool = False,
              limit: int | None = None, order_by: list | None = None, date_col: str | None = None) -> DataFrame:
     """Rows the quality filter drops, with the reason.  The troubleshooting
-    form does not test price <= 0 (``check_positive=False``)."""
-    out = (df.withColumn("reject_reason", reject_reason(price, check_positive=check_positive,
-                                                         date_col=date_col))
-             .filter(F.col("reject_reason").isNotNull()))
+    form does not test price <= 0 (``check_positive=False``).
+
+    The reason comes out of a generator that gives no row for a good one: a
+    filter on it would be pushed below the parsed price and parse each price
+    once more."""
+    reason = reject_reason(price, check_positive=check_positive, date_col=date_col)
+    out = df.select("*", F.explode(F.when(reason.isNotNull(), F.array(reason))).alias("reject_reason"))
     if limit is not None:
         out = out.orderBy(*(order_by or df.columns)).limit(limit)
     return out
