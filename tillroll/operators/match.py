@@ -2,18 +2,20 @@
 
 Containment ("name contains ingredient", case-insensitive) is a theta join.
 Instead of a nested loop over names x ingredients we index it exactly with
-an equi-join:
-
-* every distinct product name is exploded into its substrings of the
-  lengths the needle keys have (1..GRAM, usually just GRAM) at every
-  position (at most GRAM x name length rows per name);
-* every ingredient is keyed by its first min(len, GRAM) characters;
-* the two are joined on (length, substring) and each candidate is verified
-  by comparing the whole ingredient at the candidate position.
+equi-joins on substrings of ``GRAM`` characters (grams):
+
+* the distinct names are materialised once; the catalogue rows themselves are
+  touched only when the matching names are joined back;
+* a name that contains an ingredient contains each of its grams, so any one
+  serves as the ingredient's anchor.  The grams that ingredients have are
+  counted over the names (combined map-side), and each ingredient takes its
+  rarest: one whose first letters begin half the catalogue is anchored on
+  something else, and one with a gram that no name has is done at once;
+* names meet the anchors by an equi-join on the gram, and each candidate is
+  verified by comparing the whole ingredient.
 
 The result is exactly the set of containing pairs, with no cap, and the work
 grows with (distinct names x name length) + candidates, not names x needles.
-Everything runs on distinct names; rows are joined back on the name.
 """
 
 from __future__ import annotations
@@ -23,38 +25,48 @@ from pyspark.sql import functions as F
 
 from tillroll.functions.text import norm_text
 from tillroll.operators.dedup import latest_per_key
+from tillroll.session import materialise, small_side
 
 GRAM = 3
 # Diagnostic labels.
 MATCH, NO_MATCH = "MATCH", "SIN MATCH"
 
 
+def _grams(table: DataFrame, text: str, gram: int, lengths: DataFrame | None = None) -> DataFrame:
+    """``table`` with a row (_g, _gram) per distinct substring of ``gram``
+    characters, and of each shorter length in ``lengths``.  Without ``lengths``
+    a shorter text is its own gram."""
+    size = F.length(text)
+    if lengths is None:
+        sized = table.withColumn("_g", F.least(size, F.lit(gram)))
+    else:
+        sized = table.withColumn("_g", F.explode(F.sequence(F.lit(1), F.lit(gram)))).join(F.broadcast(lengths), "_g", "left_semi")
+    places = F.when(size >= F.col("_g"), F.sequence(F.lit(1), size - F.col("_g") + 1))
+    return sized.withColumn("_gram", F.explode(F.array_distinct(F.transform(places, lambda p: F.col(text).substr(p, F.col("_g"))))))
+
+
 def contains_pairs(names: DataFrame, name_col: str, needles: DataFrame, needle_col: str,
                    trim: bool = True, gram: int = GRAM) -> DataFrame:
     """Distinct (name, needle) with norm(name) containing norm(needle).
 
     Output columns: ``_name``, ``_needle``, ``_nn`` and ``_nk`` (normalised
-    forms).  Empty or null needles match nothing."""
-    n = (names.select(F.col(name_col).alias("_name")).where(F.col("_name").isNotNull())
-         .distinct().withColumn("_nn", norm_text("_name", trim)))
+    forms).  Empty or null needles match nothing.  The distinct names are
+    computed when this is called."""
+    n = materialise(names.select(F.col(name_col).alias("_name")).where(F.col("_name").isNotNull())
+                    .distinct().withColumn("_nn", norm_text("_name", trim)))
     k = (needles.select(F.col(needle_col).alias("_needle")).distinct()
-         .withColumn("_nk", norm_text("_needle", trim))
-         .where(F.length("_nk") > 0)
-         .withColumn("_klen", F.least(F.length("_nk"), F.lit(gram)))
-         .withColumn("_key", F.col("_nk").substr(F.lit(1), F.col("_klen"))))
-    nlen = F.length("_nn")
-    # only substring lengths some needle key has (at most ``gram`` values)
-    lengths = k.select(F.col("_klen").alias("_g")).distinct()
-    grams = (n.withColumn("_g", F.explode(F.sequence(F.lit(1), F.lit(gram))))
-              .join(lengths, "_g", "left_semi")
-              .withColumn("_pos", F.explode(F.when(nlen >= F.col("_g"),
-                                                   F.sequence(F.lit(1), nlen - F.col("_g") + 1))))
-              .withColumn("_gram", F.col("_nn").substr(F.col("_pos"), F.col("_g"))))
-    cand = grams.join(k, (grams._g == k._klen) & (grams._gram == k._key))
-    hit = cand.where(F.col("_nn").substr(F.col("_pos"), F.length("_nk")) == F.col("_nk"))
-    pairs = hit.select("_name", "_needle").distinct()
-    return (pairs.withColumn("_nn", norm_text("_name", trim))
-                 .withColumn("_nk", norm_text("_needle", trim)))
+         .withColumn("_nk", norm_text("_needle", trim)).where(F.length("_nk") > 0))
+    needle_grams = _grams(k, "_nk", gram)
+    lengths = needle_grams.select("_g").distinct()  # at most ``gram`` rows
+    counts = (_grams(n, "_nn", gram, lengths).select("_gram")
+              .join(needle_grams.select("_gram").distinct(), "_gram")
+              .groupBy("_gram").agg(F.count(F.lit(1)).alias("_names")))
+    weighed = needle_grams.join(counts, "_gram", "left").withColumn("_names", F.coalesce("_names", F.lit(0)))
+    anchors = latest_per_key(weighed, ["_needle"], [F.col("_names"), F.col("_gram")])
+    anchors = materialise(anchors.where("_names > 0").select("_needle", "_nk", "_g", "_gram"))
+    met = _grams(n, "_nn", gram, anchors.select("_g").distinct()).join(
+        small_side(anchors).withColumnRenamed("_g", "_anchor_g"), "_gram")
+    return met.where(F.col("_nn").contains(F.col("_nk"))).select("_name", "_needle", "_nn", "_nk")
 
 
 def score_pairs(pairs: DataFrame) -> DataFrame:
@@ -68,7 +80,9 @@ def score_pairs(pairs: DataFrame) -> DataFrame:
 def containment_join(items: DataFrame, needles: DataFrame, name_col: str = "nombre",
                      needle_col: str = "ingrediente", trim: bool = True) -> DataFrame:
     """Every (item row, needle row) where the name contains the needle,
-    with match_score and nombre_length."""
+    with match_score and nombre_length.  ``items`` is read twice: its names
+    alone, and once more when the matching names are joined back; hand over
+    a table, or a materialised layer."""
     pairs = score_pairs(contains_pairs(items, name_col, needles, needle_col, trim))
     per_needle = needles.join(pairs, needles[needle_col] == pairs._needle)
     out = items.join(per_needle, items[name_col] == per_needle._name)

@@ -13,6 +13,7 @@ from tillroll.operators.costing import (all_matches_cost, catalogue, exact_name_
 from tillroll.operators.match import match_status, unmatched
 from tillroll.plans import params as P
 from tillroll.plans.silver import silver
+from tillroll.session import materialise
 
 
 def evolution(spark: SparkSession, base: str, category: str | None = P.PROMO_CATEGORY) -> DataFrame:
@@ -41,8 +42,8 @@ def unit_catalogue(spark: SparkSession, base: str) -> DataFrame:
 
 
 def recipe_costs(spark: SparkSession, base: str) -> DataFrame:
-    """Q5."""
-    return ingredient_costs(unit_catalogue(spark, base), P.recipes_df(spark))
+    """Q5, over the catalogue as a table: Silver is derived once."""
+    return ingredient_costs(materialise(unit_catalogue(spark, base)), P.recipes_df(spark))
 
 
 def recipe_cost_summary(spark: SparkSession, base: str) -> DataFrame:
@@ -53,7 +54,8 @@ def recipe_cost_summary(spark: SparkSession, base: str) -> DataFrame:
 
 def recipe_cost_all_matches(spark: SparkSession, base: str) -> DataFrame:
     """Q7."""
-    return all_matches_cost(unit_catalogue(spark, base), P.recipes_df(spark), P.AS_OF)
+    today = unit_catalogue(spark, base).where(F.col("fecha_extraccion") == F.lit(P.AS_OF))
+    return all_matches_cost(materialise(today), P.recipes_df(spark), P.AS_OF)
 
 
 def rule_cost_a(spark: SparkSession, base: str) -> DataFrame:
