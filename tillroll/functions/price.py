@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 from tillroll.functions.text import col_
 from tillroll.schemas import PRICE
 
-# Characters kept from a price text, and the decimal comma.
-PRICE_KEEP_PATTERN = "[^0-9,.-]"
+# Runs of characters dropped from a price text, and the decimal comma.
+PRICE_DROP_PATTERN = "[^0-9,.-]+"
 DECIMAL_COMMA = ","
 
 
@@ -20,7 +20,7 @@ def normalize_price(price_text, thousands: str | None = None) -> Column:
     ``thousands='.'`` reads ``21.999,00`` as 21999.00 (dots are thousands
     separators); the default keeps the plain rule, where that text is null.
     """
-    cleaned = F.regexp_replace(F.trim(col_(price_text)), PRICE_KEEP_PATTERN, "")
+    cleaned = F.regexp_replace(F.trim(col_(price_text)), PRICE_DROP_PATTERN, "")
     if thousands is not None:
         cleaned = F.regexp_replace(cleaned, "\\" + thousands, "")
     return F.translate(cleaned, DECIMAL_COMMA, ".").try_cast(PRICE)
