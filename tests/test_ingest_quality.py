@@ -8,7 +8,7 @@ from tillroll.operators import ingest as I
 from tillroll.operators import quality as Q
 from tillroll.operators.change import price_change
 from tillroll.sources.config import config_df, expand_targets, target_counts
-from tillroll.sources.payload import shop_name, shop_price
+from tillroll.sources.payload import parse_shop
 
 
 def shop_payload(price, name):
@@ -24,7 +24,7 @@ def test_nested_payload_and_routing(spark):
          ("Ajo", "StoreA", "http://b", "not json", None, None),
          ("Sal", "StoreA", "http://c", None, "Almacen", "gr")],
         "corte string, supermercado string, url string, payload string, categoria string, unidad string")
-    parsed = raw.withColumn("precio", shop_price("payload")).withColumn("descripcion", shop_name("payload"))
+    parsed = parse_shop(raw)
     routed = I.with_status(I.stamp_batch(parsed, "batch-1", ts))
     bronze = I.bronze_rows(routed).collect()
     assert [(r.nombre, r.precio, r.descripcion, r.fecha_extraccion) for r in bronze] == [

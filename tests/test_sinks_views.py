@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from tillroll.operators import ingest as I
 from tillroll.plans.views import register_views
 from tillroll.schemas import ETL_LOGS, RUN_METRICS, SCRAPING_ERRORS, ensure_table
-from tillroll.sources.payload import shop_fault, shop_name, shop_price
+from tillroll.sources.payload import parse_shop
 from tillroll.sources.recipes import REFERENCE_RECIPES, reference_recipes
 from tillroll.sources.sinks import write_ingest_run
 
@@ -21,7 +21,7 @@ def _payload(price, name):
 def _routed(spark, rows, batch, ts):
     raw = spark.createDataFrame(rows, "corte string, supermercado string, url string, payload string, "
                                       "categoria string, unidad string")
-    parsed = raw.withColumn("precio", shop_price("payload")).withColumn("descripcion", shop_name("payload"))
+    parsed = parse_shop(raw)
     return I.with_status(I.stamp_batch(parsed, batch, ts))
 
 
@@ -39,7 +39,7 @@ def test_write_ingest_run_order_and_guard(spark, scratch):
     errors = spark.read.parquet(f"{scratch}/audit/scraping_errors")
     assert sorted(r.corte for r in errors.collect()) == ["Ajo", "Sal"]
     metrics = spark.read.parquet(f"{scratch}/audit/run_metrics").collect()
-    assert [(m.batch_id, m.success_rate_pct) for m in metrics] == [("b1", 50.0)]
+    assert sorted((m.batch_id, m.success_rate_pct) for m in metrics) == [("b1", 50.0), ("b2", 0.0)]
 
 
 def test_ensure_table_is_idempotent(spark, scratch):
@@ -86,6 +86,10 @@ def test_error_kinds(spark):
     bad_price = _payload(1, "x").replace("precioLista", "precio")
     pages = [None, "", "{", "[1]", '{"contents": []}', bad_price, _payload(5, "x")]
     rows = spark.createDataFrame([(i, p) for i, p in enumerate(pages)], "i int, payload string")
-    routed = I.with_status(rows.withColumn("precio", shop_price("payload")), shop_fault("payload"))
+    routed = I.with_status(parse_shop(rows), F.col("_fault"))
     got = [r.error_type for r in routed.orderBy("i").collect()]
     assert got == ["NoData", "NoData", "JSONDecodeError", "KeyError", "KeyError", "KeyError", None]
+    # the page is parsed in one place, however many columns read it
+    plan = I.error_rows(I.stamp_batch(routed.withColumns({c: F.lit("x") for c in ("corte", "supermercado", "url")}), "b",
+                                      dt.datetime(2026, 4, 10)))._jdf.queryExecution().optimizedPlan().toString()
+    assert len([line for line in plan.splitlines() if "payload#" in line and "arse" in line and "Generate" in line]) == 1, plan

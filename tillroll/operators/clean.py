@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillroll.functions.price import normalize_price, surrogate_key
+from tillroll.schemas import SILVER_STAMPS
 
 # Defaults for a missing category / unit, reject reasons.
 DEFAULT_CATEGORY = "Sin Categoría"
@@ -87,6 +88,8 @@ SILVER_COLUMNS = ("producto_id", "supermercado", "categoria", "nombre", "descrip
                   "precio_normalizado", "unidad", "fecha_extraccion", "fecha_actualizacion")
 
 
-def to_silver(df: DataFrame, updated_at: Column) -> DataFrame:
-    """Drop technical columns, stamp the update time."""
-    return df.withColumn("fecha_actualizacion", updated_at).select(*SILVER_COLUMNS)
+def to_silver(df: DataFrame, updated_at: Column, stamps: bool = False) -> DataFrame:
+    """Drop technical columns, stamp the update time.  ``stamps`` keeps the
+    ingest time and batch of the row (``SILVER_STAMPS``) for conditional upserts."""
+    kept = [F.col(c).alias(s) for c, s in zip(("ingestion_timestamp", "batch_id"), SILVER_STAMPS)] if stamps else []
+    return df.withColumn("fecha_actualizacion", updated_at).select(*SILVER_COLUMNS, *kept)

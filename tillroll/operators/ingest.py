@@ -10,7 +10,11 @@ every run's metrics are a grouped aggregate.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import traceback
+import uuid
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillroll.functions.text import iso_seconds, ntz_lit
@@ -47,7 +51,7 @@ def typed_stamps(df: DataFrame, date_col: str = "fecha_extraccion", ts_col: str
 
 def with_status(parsed: DataFrame, fault: Column | None = None) -> DataFrame:
     """A5: a fetch succeeded when a price was extracted.  ``fault`` (see
-    ``sources.payload.payload_fault``) tells what was wrong with a page that
+    ``sources.payload.parsed_once``) tells what was wrong with a page that
     was fetched; without one, or where it is null, the error is ``NoData``."""
     ok = F.col("precio").isNotNull()
     kind, message = F.lit(NO_DATA), F.lit(NO_DATA_MESSAGE)
@@ -83,13 +87,54 @@ def error_rows(routed: DataFrame, pipeline: str = PIPELINE, source: str = SOURCE
         "error_type", "error_message")
 
 
-def run_metrics(routed: DataFrame, pipeline: str = PIPELINE, source: str = SOURCE) -> DataFrame:
-    """One row per batch; success rate = ok / targets x 100 (2 dec.)."""
+def new_batch_id() -> str:
+    """The id of a new run (a random UUID, drawn once on the driver)."""
+    return str(uuid.uuid4())
+
+
+def one_run(spark: SparkSession, batch_id: str, ingested_at) -> DataFrame:
+    """A started run as a one-row table, for ``run_metrics(runs=...)``."""
+    return stamp_batch(spark.range(1), batch_id, ingested_at).drop("id")
+
+
+def target_metrics(routed: DataFrame, targets: DataFrame, runs: DataFrame, keys: Sequence[str] = ("supermercado", "url"),
+                   product: str = "corte", pipeline: str = PIPELINE, source: str = SOURCE) -> DataFrame:
+    """A12 against the configuration: one row per started run (``runs``:
+    batch_id, ingestion_timestamp), where every configured target (``keys``)
+    counts, fetched or not, and succeeds if any of its fetches does.  Fetches
+    of something not configured do not count; a run without fetches has 0 %.
+
+    The targets are counted once (one row comes to the driver); they are
+    never multiplied by the runs."""
+    distinct = targets.select(*keys, product).distinct()
+    size = distinct.agg(F.countDistinct(product).alias("products"), F.countDistinct(*keys).alias("urls")).first()
+    ids = ("batch_id", "ingestion_timestamp")
+    fetched = routed.where(F.col("_ok")).select(*ids, *keys).distinct().join(distinct.select(*keys).distinct(), list(keys), "left_semi")
+    done = fetched.groupBy(*ids).agg(F.count(F.lit(1)).alias("rows_success"))
+    m = runs.select(*ids).distinct().join(done, list(ids), "left").withColumn("rows_success", F.coalesce("rows_success", F.lit(0).cast("long")))
+    m = (m.withColumn("products_configured", F.lit(size["products"]).cast("long"))
+          .withColumn("urls_target", F.lit(size["urls"]).cast("long"))
+          .withColumn("rows_error", F.col("urls_target") - F.col("rows_success")))
+    return _metrics(m, pipeline, source)
+
+
+def run_metrics(routed: DataFrame, pipeline: str = PIPELINE, source: str = SOURCE, runs: DataFrame | None = None) -> DataFrame:
+    """One row per batch; success rate = ok / targets x 100 (2 dec.).
+    Every fetch counts as a target: complete the fetches with the configured
+    targets first (``sources.config.complete_fetches``), or see
+    ``target_metrics``.  ``runs`` adds started runs without any fetch (0 %)."""
     g = routed.groupBy("batch_id", "ingestion_timestamp").agg(
         F.countDistinct("corte").alias("products_configured"),
         F.count(F.lit(1)).alias("urls_target"),
         F.count_if(F.col("_ok")).alias("rows_success"),
         F.count_if(~F.col("_ok")).alias("rows_error"))
+    if runs is not None:
+        g = runs.select("batch_id", "ingestion_timestamp").join(g, ["batch_id", "ingestion_timestamp"], "full_outer").fillna(
+            0, ["products_configured", "urls_target", "rows_success", "rows_error"])
+    return _metrics(g, pipeline, source)
+
+
+def _metrics(g: DataFrame, pipeline: str, source: str) -> DataFrame:
     rate = F.round(F.try_divide(F.col("rows_success").cast("decimal(20,0)") * 100, F.col("urls_target")), 2)
     return g.select(
         F.col("ingestion_timestamp").alias("event_ts"), F.lit(pipeline).alias("pipeline"),
@@ -107,16 +152,26 @@ def _event(status, rows_read, rows_written, error_type=None, error_message=None)
                     (error_message if error_message is not None else none).alias("error_message"))
 
 
-def run_events(metrics: DataFrame) -> DataFrame:
+def empty_batch_error() -> tuple[ValueError, str]:
+    """The error of a run without any parsed row, with its stack."""
+    try:
+        raise ValueError(EMPTY_BATCH_MESSAGE)
+    except ValueError as error:
+        return error, "".join(traceback.format_exception(error))
+
+
+def run_events(metrics: DataFrame, stacktrace: str | None = None) -> DataFrame:
     """A9 + A11: STARTED then SUCCESS per batch; a batch without any
-    parsed row is refused (FAILED, empty-batch error) instead of loaded."""
+    parsed row is refused (FAILED, empty-batch error, with ``stacktrace``)
+    instead of loaded."""
     ok = F.col("rows_success")
     zero = F.lit(0)
     events = F.when(ok > 0, F.array(_event(STARTED, ok, zero), _event(SUCCESS, ok, ok))).otherwise(
         F.array(_event(FAILED, zero, zero, F.lit(EMPTY_BATCH_ERROR), F.lit(EMPTY_BATCH_MESSAGE))))
     e = metrics.select("event_ts", "pipeline", "source", "batch_id", F.inline(events))
     return e.select("event_ts", "pipeline", "source", "status", "batch_id", "rows_read", "rows_written",
-                    "error_type", "error_message", F.lit(None).cast("string").alias("stacktrace"))
+                    "error_type", "error_message",
+                    F.when(F.col("status") == FAILED, F.lit(stacktrace).cast("string")).alias("stacktrace"))
 
 
 def failed_events(metrics: DataFrame, error: BaseException, stacktrace: str) -> DataFrame:

@@ -15,7 +15,7 @@ from tillroll.plans import params as P
 from tillroll.plans.silver import silver
 from tillroll.sources.config import config_from_parts, expand_targets, target_counts
 from tillroll.sources.feed import audit_events, nested_payloads, price_feed, raw_payloads
-from tillroll.sources.payload import json_field, shop_fault, shop_name, shop_price
+from tillroll.sources.payload import json_field, parse_shop
 
 
 # ------------------------------------------------------------------ Q2
@@ -108,10 +108,9 @@ def ingest_errors(spark, base):
 
 def nested_fetches(spark: SparkSession, base: str) -> DataFrame:
     """Fetches in the shop's nested shape, routed with the kind of error."""
-    raw = nested_payloads(spark, base)
-    parsed = raw.withColumn("precio", shop_price("payload")).withColumn("descripcion", shop_name("payload"))
+    parsed = parse_shop(nested_payloads(spark, base))
     stamped = I.stamp_batch(parsed, ymd_text("fetched_at", sep=""), day_start("fetched_at"))
-    return I.with_status(stamped, shop_fault("payload"))
+    return I.with_status(stamped, F.col("_fault"))
 
 
 def nested_bronze(spark, base):

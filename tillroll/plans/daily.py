@@ -2,7 +2,8 @@
 Silver history (upsert of the days just loaded) -> Gold tables.
 
 Each step reads what the previous step wrote, as the layered tables do;
-only the days present in the new Bronze batch are rewritten in Silver.
+only the days present in the new Bronze batch are rewritten in Silver, and in
+Gold those and the days on which a product's next record is.
 """
 
 from __future__ import annotations
@@ -14,39 +15,53 @@ from pyspark.sql import functions as F
 
 from tillroll.operators import ingest as I
 from tillroll.operators.costing import catalogue, ingredient_costs, recipe_summary
-from tillroll.operators.upsert import merge_into_path, touched_dates
+from tillroll.operators.maintain import refresh_changes, refresh_dates
+from tillroll.operators.upsert import merge_into_path
 from tillroll.plans.silver import silver_from_bronze
-from tillroll.sources.payload import shop_fault, shop_name, shop_price
+from tillroll.schemas import SILVER_STAMPS
+from tillroll.sources.config import complete_fetches
+from tillroll.sources.payload import parse_shop
 from tillroll.sources.recipes import reference_recipes
-from tillroll.sources.sinks import save_table, write_ingest_run
+from tillroll.sources.sinks import write_ingest_run
 
 
 def parse_shop_payloads(raw: DataFrame) -> DataFrame:
     """A4 on the shop payload shape (price inside a JSON string)."""
-    return raw.withColumn("precio", shop_price("payload")).withColumn("descripcion", shop_name("payload"))
+    return parse_shop(raw)
 
 
-def run_daily(spark: SparkSession, raw: DataFrame, root: str, batch_id: str, run_at: dt.datetime,
-              recipes: DataFrame | None = None, since=None, comments=None) -> DataFrame:
+def run_daily(spark: SparkSession, raw: DataFrame, root: str, batch_id: str | None = None, run_at: dt.datetime | None = None,
+              recipes: DataFrame | None = None, since=None, comments=None, targets: DataFrame | None = None) -> DataFrame:
     """``raw``: corte, supermercado, url, payload, categoria, unidad (one row
     per fetched page).  Writes under ``root`` and returns the run metrics.
-    A run without any parsed row is logged as FAILED and raises."""
-    parsed = I.stamp_batch(parse_shop_payloads(raw), batch_id, run_at)
-    routed = I.with_status(parsed, shop_fault("payload"))
-    metrics = write_ingest_run(spark, routed, f"{root}/bronze_run")
+
+    With ``targets`` (``sources.config.expand_targets``) every configured url
+    counts, fetched or not.  A run without any parsed row, or without any
+    fetch, is logged (0 %, FAILED with stack) and raises.  Only the Bronze rows
+    of this batch are read back, and only the touched dates of Silver and Gold
+    are read and replaced."""
+    batch_id = batch_id or I.new_batch_id()
+    run_at = run_at or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None, microsecond=0)
+    fetches = complete_fetches(targets, raw) if targets is not None else raw
+    parsed = I.stamp_batch(parse_shop_payloads(fetches), batch_id, run_at)
+    routed = I.with_status(parsed, F.col("_fault"))
+    metrics = write_ingest_run(spark, routed, f"{root}/bronze_run", runs=I.one_run(spark, batch_id, run_at))
     if metrics.where(F.col("rows_success") > 0).isEmpty():
-        raise ValueError(I.EMPTY_BATCH_MESSAGE)
+        raise I.empty_batch_error()[0]
     bronze = spark.read.parquet(f"{root}/bronze_run/bronze")
     loaded = bronze.where((F.col("load_date") == F.lit(run_at.date())) & (F.col("batch_id") == batch_id))
-    dates = [d for d in touched_dates(loaded, "fecha_extraccion") if d is not None]
-    if dates:
-        # the newest row of a day wins whichever batch brought it; a row is not loaded before its day
-        same_days = bronze.where((F.col("load_date") >= F.lit(min(dates))) & F.col("fecha_extraccion").isin(dates))
-        merge_into_path(spark, silver_from_bronze(same_days, run_at), f"{root}/silver")
-        silver = spark.read.parquet(f"{root}/silver")
-        cat = catalogue(silver)
-        costs = ingredient_costs(cat, recipes if recipes is not None else reference_recipes(spark))
-        save_table(cat, f"{root}/gold/catalogo_productos")
-        save_table(costs, f"{root}/gold/costos_recetas")
-        save_table(recipe_summary(costs, since=since, comments=comments), f"{root}/gold/resumen_costos_recetas")
+    dates = merge_into_path(spark, silver_from_bronze(loaded, run_at, stamps=True), f"{root}/silver", newer_by=SILVER_STAMPS)
+    refresh_gold(spark, root, dates, recipes if recipes is not None else reference_recipes(spark), since, comments)
     return metrics
+
+
+def refresh_gold(spark: SparkSession, root: str, dates, recipes: DataFrame, since=None, comments=None) -> None:
+    """The Gold tables after ``dates`` of Silver were written.  Each step reads
+    the table before it, and of it the touched dates only."""
+    gold = f"{root}/gold"
+    refresh_dates(spark, catalogue, spark.read.parquet(f"{root}/silver"), f"{gold}/catalogo_productos", dates)
+    refresh_dates(spark, lambda cat: ingredient_costs(cat, recipes), spark.read.parquet(f"{gold}/catalogo_productos"),
+                  f"{gold}/costos_recetas", dates)
+    refresh_dates(spark, lambda costs: recipe_summary(costs, since=since, comments=comments),
+                  spark.read.parquet(f"{gold}/costos_recetas"), f"{gold}/resumen_costos_recetas", dates)
+    refresh_changes(spark, f"{root}/silver", f"{gold}/evolucion_precios", f"{gold}/productos_fechas", dates)

@@ -27,14 +27,14 @@ def bronze_order(columns) -> list:
 
 
 def silver_from_bronze(bronze: DataFrame, updated_at: dt.datetime = params.UPDATED_AT,
-                       order=None, thousands: str | None = None) -> DataFrame:
+                       order=None, thousands: str | None = None, stamps: bool = False) -> DataFrame:
     """Q1: parse, filter (a null observation date is rejected as well: it is
     part of the key), key, keep the newest row per (product, day)."""
     clean = quality_filter(with_price(bronze, thousands=thousands), date_col="fecha_extraccion")
     keyed = with_product_id(clean)
     newest = latest_per_key(keyed, ["producto_id", "fecha_extraccion"],
                             order if order is not None else bronze_order(bronze.columns))
-    return to_silver(newest, ntz_lit(updated_at))
+    return to_silver(newest, ntz_lit(updated_at), stamps)
 
 
 def bronze(spark: SparkSession, base: str) -> DataFrame:

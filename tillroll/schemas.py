@@ -54,6 +54,10 @@ SILVER_KEYS = ("producto_id", "fecha_extraccion")
 SILVER_UPDATE_COLS = ("precio_normalizado", "descripcion", "url", "categoria",
                       "fecha_actualizacion")
 
+# What a stored history keeps beside Silver's columns, so that a late row can be
+# told from a newer one without reading Bronze again.
+SILVER_STAMPS = ("ultima_ingesta", "ultimo_lote")
+
 RECIPES = _struct(("receta", S), ("ingrediente", S), ("cantidad_necesaria", QUANTITY),
                   ("unidad_receta", S), ("rendimiento_porciones", I))
 

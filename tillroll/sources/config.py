@@ -48,6 +48,16 @@ def expand_targets(config: DataFrame) -> DataFrame:
     return with_defaults(t)
 
 
+def complete_fetches(targets: DataFrame, raw: DataFrame) -> DataFrame:
+    """The run's fetches by target: one row per configured target, with the
+    payload of its fetch, null where it was not fetched (A12: such a target
+    counts, and fails).  Of several fetches of a target one with a payload
+    stays; fetches of urls that are not configured are left out."""
+    pages = raw.groupBy("supermercado", "url").agg(F.max("payload").alias("payload"))
+    return (targets.select(F.col("nombre").alias("corte"), "supermercado", "url", "categoria", "unidad")
+            .join(pages, ["supermercado", "url"], "left"))
+
+
 def target_counts(config: DataFrame) -> DataFrame:
     """A2: products configured and urls targeted."""
     return config.agg(F.count(F.lit(1)).alias("products_configured"),

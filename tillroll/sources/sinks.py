@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillroll.operators import ingest as I
-from tillroll.session import ensure_checkpoint_dir
+from tillroll.session import materialise
 
 
 def append(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
@@ -34,19 +34,20 @@ def save_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> No
     (w.partitionBy(*partition_by) if partition_by else w).parquet(path)
 
 
-def write_ingest_run(spark: SparkSession, routed: DataFrame, root: str,
-                     pipeline: str = I.PIPELINE, source: str = I.SOURCE) -> DataFrame:
+def write_ingest_run(spark: SparkSession, routed: DataFrame, root: str, pipeline: str = I.PIPELINE,
+                     source: str = I.SOURCE, runs: DataFrame | None = None) -> DataFrame:
     """Persist routed fetches (see ``ingest.with_status``) under ``root``:
     bronze/ (partitioned by load_date), audit/etl_logs, audit/scraping_errors,
     audit/run_metrics.  Batches without any parsed row are refused: they get
-    a FAILED event and their errors, but no Bronze rows and no metrics.  If
+    a FAILED event (with stack) and their errors, but no Bronze rows; their
+    metrics, 0 %, are kept like any other's.  ``runs`` (batch_id,
+    ingestion_timestamp) are the started runs, also those without a fetch.  If
     Bronze cannot be written, FAILED is logged (type, message, stack) and the
     error goes on to the caller.
     Returns the run metrics."""
-    ensure_checkpoint_dir(spark)
-    routed = routed.drop("payload").checkpoint(eager=True)  # the raw pages are not needed any more
-    metrics = I.run_metrics(routed, pipeline, source).checkpoint(eager=True)
-    events = I.run_events(metrics)
+    routed = materialise(routed.drop("payload"))  # the raw pages are not needed any more
+    metrics = materialise(I.run_metrics(routed, pipeline, source, runs))
+    events = I.run_events(metrics, I.empty_batch_error()[1])
     logs, errors = f"{root}/audit/etl_logs", f"{root}/audit/scraping_errors"
     append(I.error_rows(routed, pipeline, source), errors)  # kept whatever becomes of the load
     append(events.where(F.col("status") == I.STARTED), logs)
@@ -58,5 +59,5 @@ def write_ingest_run(spark: SparkSession, routed: DataFrame, root: str,
         raise
     append(events.where(F.col("status") != I.STARTED), logs)
     append(I.summary_events(metrics), logs)
-    append(metrics.where(F.col("rows_success") > 0), f"{root}/audit/run_metrics")
+    append(metrics, f"{root}/audit/run_metrics")
     return metrics

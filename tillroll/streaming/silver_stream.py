@@ -1,13 +1,16 @@
 """Daily loads as a stream: new Bronze files -> Silver upsert per micro-batch.
 
 The reference runs its Silver MERGE as a scheduled batch over all of
-Bronze.  The same result is kept incrementally: the dates of each micro-batch
-of newly arrived Bronze rows are rebuilt from all Bronze rows of those dates
-(so the newest row wins in whatever order batches arrive) and upserted into
-the dated history with ``merge_into_path``, which rewrites those dates only.  The upsert is keyed, so a micro-batch replayed after a
-failure gives the same rows (only ``fecha_actualizacion`` records the
-replay time, unless ``updated_at`` is fixed); progress lives in the
-checkpoint location (a shared folder on a cluster).
+Bronze.  The same result is kept incrementally: each micro-batch of newly
+arrived Bronze rows is upserted into the dated history with
+``merge_into_path``, which rewrites its dates only.  The history keeps the
+ingest time and batch of every row, and a matched row is updated only by one
+that is not older, so the newest row wins in whatever order batches arrive and
+nothing of Bronze is read beyond the micro-batch.  The upsert is keyed, so a
+micro-batch replayed after a failure gives the same rows (only
+``fecha_actualizacion`` records the replay time, unless ``updated_at`` is
+fixed); progress lives in the checkpoint location (a shared folder on a
+cluster).
 """
 
 from __future__ import annotations
@@ -15,12 +18,11 @@ from __future__ import annotations
 import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tillroll.operators.upsert import merge_into_path, touched_dates
+from tillroll.operators.upsert import merge_into_path
 from tillroll.plans.silver import silver_from_bronze
-from tillroll.schemas import BRONZE_PRICES
+from tillroll.schemas import BRONZE_PRICES, SILVER_STAMPS
 
 
 def read_bronze_stream(spark: SparkSession, path: str, max_files: int | None = None) -> DataFrame:
@@ -30,15 +32,11 @@ def read_bronze_stream(spark: SparkSession, path: str, max_files: int | None = N
     return reader.parquet(path)
 
 
-def start_silver_stream(bronze_stream: DataFrame, silver_path: str, checkpoint_location: str, bronze_path: str,
+def start_silver_stream(bronze_stream: DataFrame, silver_path: str, checkpoint_location: str,
                         available_now: bool = True, updated_at: dt.datetime | None = None) -> StreamingQuery:
     def upsert_batch(batch: DataFrame, epoch_id: int) -> None:
         stamp = updated_at or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None, microsecond=0)
-        spark = batch.sparkSession
-        dates = [d for d in touched_dates(batch, "fecha_extraccion") if d is not None]
-        same_days = spark.read.schema(BRONZE_PRICES).parquet(bronze_path).where(F.col("fecha_extraccion").isin(dates))
-        if dates:
-            merge_into_path(spark, silver_from_bronze(same_days, stamp), silver_path)
+        merge_into_path(batch.sparkSession, silver_from_bronze(batch, stamp, stamps=True), silver_path, newer_by=SILVER_STAMPS)
 
     writer = (bronze_stream.writeStream.foreachBatch(upsert_batch)
               .option("checkpointLocation", checkpoint_location))
