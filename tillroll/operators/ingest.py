@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from tillroll.functions.text import iso_seconds, ntz_lit
 from tillroll.operators.clean import with_defaults
+from tillroll.session import materialise, small_side
 
 # Pipeline identity, statuses and messages.
 PIPELINE = "extract_prices"
@@ -104,16 +105,15 @@ def target_metrics(routed: DataFrame, targets: DataFrame, runs: DataFrame, keys:
     counts, fetched or not, and succeeds if any of its fetches does.  Fetches
     of something not configured do not count; a run without fetches has 0 %.
 
-    The targets are counted once (one row comes to the driver); they are
-    never multiplied by the runs."""
-    distinct = targets.select(*keys, product).distinct()
-    size = distinct.agg(F.countDistinct(product).alias("products"), F.countDistinct(*keys).alias("urls")).first()
+    The targets are counted once, and never multiplied by the runs."""
+    distinct = materialise(targets.select(*dict.fromkeys([*keys, product])).distinct())
+    products, urls = (distinct.select(*c).distinct().count() for c in ([product], keys))
     ids = ("batch_id", "ingestion_timestamp")
-    fetched = routed.where(F.col("_ok")).select(*ids, *keys).distinct().join(distinct.select(*keys).distinct(), list(keys), "left_semi")
+    fetched = routed.where(F.col("_ok")).select(*ids, *keys).distinct().join(small_side(distinct), list(keys), "left_semi")
     done = fetched.groupBy(*ids).agg(F.count(F.lit(1)).alias("rows_success"))
     m = runs.select(*ids).distinct().join(done, list(ids), "left").withColumn("rows_success", F.coalesce("rows_success", F.lit(0).cast("long")))
-    m = (m.withColumn("products_configured", F.lit(size["products"]).cast("long"))
-          .withColumn("urls_target", F.lit(size["urls"]).cast("long"))
+    m = (m.withColumn("products_configured", F.lit(products).cast("long"))
+          .withColumn("urls_target", F.lit(urls).cast("long"))
           .withColumn("rows_error", F.col("urls_target") - F.col("rows_success")))
     return _metrics(m, pipeline, source)
 

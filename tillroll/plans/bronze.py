@@ -7,7 +7,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillroll.functions.text import day_start, ntz_lit, ymd_text
+from tillroll.functions.text import day_start, iso_seconds, ntz_lit, ymd_text
 from tillroll.operators import history as H
 from tillroll.operators import ingest as I
 from tillroll.operators.upsert import upsert, upsert_counts
@@ -16,6 +16,7 @@ from tillroll.plans.silver import silver
 from tillroll.sources.config import config_from_parts, expand_targets, target_counts
 from tillroll.sources.feed import audit_events, nested_payloads, price_feed, raw_payloads
 from tillroll.sources.payload import json_field, parse_shop
+from tillroll.sources.tables import read_table
 
 
 # ------------------------------------------------------------------ Q2
@@ -129,6 +130,46 @@ def ingest_events(spark, base):
     return I.run_events(I.run_metrics(fetches(spark, base)))
 
 
+def configured_targets(spark: SparkSession, base: str) -> DataFrame:
+    """What the runs should fetch: every (product, store) met in the fetches,
+    and one product per region that never was."""
+    met = raw_payloads(spark, base).select("corte", "supermercado").distinct()
+    never = read_table(spark, base, "region").select(F.concat(F.lit("Region "), "r_name").alias("corte"), F.lit("Store_0").alias("supermercado"))
+    return met.unionByName(never)
+
+
+def started_runs(spark: SparkSession, base: str) -> DataFrame:
+    """One run a day, also on days without fetches: up to three after the last."""
+    day = F.to_date("fetched_at")
+    span = raw_payloads(spark, base).agg(F.min(day).alias("first"), F.max(day).alias("last"))
+    days = span.select(F.explode(F.sequence("first", F.date_add("last", 3))).alias("day"))
+    return I.stamp_batch(days, ymd_text("day", sep=""), day_start("day")).drop("day")
+
+
+def target_metrics(spark, base):
+    """Runs measured against the configuration, fetched or not."""
+    return I.target_metrics(fetches(spark, base), configured_targets(spark, base), started_runs(spark, base),
+                            keys=("corte", "supermercado"))
+
+
+def target_events(spark, base):
+    """A9 / A11 over the same runs: FAILED, with stack, where none succeeded."""
+    return I.run_events(target_metrics(spark, base), f"{I.EMPTY_BATCH_ERROR}: {I.EMPTY_BATCH_MESSAGE}")
+
+
+def text_stamps(spark, base):
+    """One new batch id for all rows; run date (dd-MM-yyyy) and ingest
+    time (ISO) read from text, of which some is missing or no date."""
+    ev, i = read_table(spark, base, "events"), F.col("event_id")
+    day = F.concat(F.lpad(F.dayofmonth("ts").cast("string"), 2, "0"), F.lit("-"), F.lpad(F.month("ts").cast("string"), 2, "0"),
+                   F.lit("-"), F.lpad(F.year("ts").cast("string"), 4, "0"))
+    rows = ev.select("event_id", F.when(i % 7 == 0, "ayer").when(i % 7 == 1, None).when(i % 7 == 2, "31-02-2024").otherwise(day)
+                     .alias("fecha_extraccion"), F.when(i % 5 == 0, "sin hora").otherwise(iso_seconds("ts")).alias("ts_text"))
+    stamped = I.typed_stamps(I.stamp_batch(rows, I.new_batch_id(), F.col("ts_text")))
+    return stamped.select("event_id", "fecha_extraccion", "ingestion_timestamp",
+                          F.col("batch_id").rlike("^[0-9a-f]{8}(-[0-9a-f]{4}){3}-[0-9a-f]{12}$").alias("lote_valido"))
+
+
 def ingest_summary(spark, base):
     return I.summary_events(I.run_metrics(fetches(spark, base)))
 

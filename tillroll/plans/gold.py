@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tillroll.operators.analysis import category_index, price_trend, store_comparison
 from tillroll.operators.change import change_alerts as alerts
 from tillroll.operators.change import price_change
 from tillroll.operators.costing import (all_matches_cost, catalogue, exact_name_costs,
@@ -91,6 +92,30 @@ def exact_name_summary(spark: SparkSession, base: str) -> DataFrame:
         "receta", "fecha_extraccion")
 
 
+def exact_name_detail(spark: SparkSession, base: str) -> DataFrame:
+    """Q10 detail: cost per ingredient and product row, with measure class and sale unit."""
+    return exact_name_costs(_sale_catalogue(spark, base), P.recipes_df(spark, P.EXACT_RECIPES))
+
+
+def named_sale_catalogue(spark: SparkSession, base: str) -> DataFrame:
+    """B11 / B12 over product names that carry the package (`500g`, `X 30u`,
+    `Litro`): the description, a word for the litre packs added."""
+    litre = F.when(F.col("unidad") == "medio_ltr", F.lit(" Litro")).when(F.col("unidad") == "kg", F.lit(" Grm")).otherwise(F.lit(""))
+    return sale_catalogue(silver(spark, base).withColumn("nombre", F.concat("descripcion", litre)))
+
+
+def stores_compared(spark: SparkSession, base: str) -> DataFrame:
+    return store_comparison(materialise(silver(spark, base).select("supermercado", "nombre", "fecha_extraccion", "precio_normalizado")))
+
+
+def category_indices(spark: SparkSession, base: str) -> DataFrame:
+    return category_index(silver(spark, base))
+
+
+def price_trends(spark: SparkSession, base: str) -> DataFrame:
+    return price_trend(silver(spark, base), P.TREND_RECORDS)
+
+
 def exact_name_unmatched(spark: SparkSession, base: str) -> DataFrame:
     """Q10 live query: ingredients with no equal product name."""
     return unmatched(P.recipes_df(spark, P.EXACT_RECIPES), _sale_catalogue(spark, base)).orderBy(

@@ -24,6 +24,7 @@ PREVIEW_DAY = dt.date(2001, 10, 1)                  # day copied by the merge pr
 PREVIEW_NEXT = dt.date(2001, 10, 2)
 PREVIEW_FACTOR = "1.05"
 PREVIEW_ROWS = 20
+TREND_RECORDS = 6                                   # records of a product that a trend looks back on
 
 # Recipes over the fixture's part names: (recipe, ingredient, qty, unit, portions).
 FIXTURE_RECIPES = [

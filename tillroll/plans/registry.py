@@ -32,6 +32,8 @@ _QUERIES: dict[str, Query] = {
     "q09_rule_pivot": gold.rule_pivot,
     "q10_exact_name_summary": gold.exact_name_summary,
     "q10_exact_name_unmatched": gold.exact_name_unmatched,
+    "q10_exact_name_detail": gold.exact_name_detail,
+    "q10_named_sale_catalogue": gold.named_sale_catalogue,
     "q11_match_diagnostics": gold.match_diagnostics,
     "q11_unmatched_ingredients": gold.unmatched_ingredients,
     "q12_exploration_summary": qa.exploration,
@@ -72,6 +74,12 @@ _QUERIES: dict[str, Query] = {
     "q20_run_metrics": bronze.ingest_metrics,
     "q20_etl_events": bronze.ingest_events,
     "q20_summary_events": bronze.ingest_summary,
+    "q20_target_metrics": bronze.target_metrics,
+    "q20_target_events": bronze.target_events,
+    "q20_text_stamps": bronze.text_stamps,
+    "q22_store_comparison": gold.stores_compared,
+    "q22_category_index": gold.category_indices,
+    "q22_price_trend": gold.price_trends,
     "q20_low_success_runs": bronze.low_success_runs,
     "q20_ingest_bronze_numeric": bronze.ingest_bronze_numeric,
     "q21_product_listing": bronze.product_listing,
