@@ -14,8 +14,6 @@ from tillroll.session import materialise
 TAG_CURRENT = "REGISTRO ACTUAL"
 TAG_SIMULATED = "NUEVO MAÑANA (simulado)"
 PREVIEW_PRICE = "decimal(22,4)"
-#: Days from 0001-01-01, the first date there is, to 1970-01-01.
-_FIRST_DAY = 719_162
 
 
 def simulate_day(silver: DataFrame, day, new_day, factor: str = "1.05") -> DataFrame:
@@ -52,20 +50,18 @@ def row_count(df: DataFrame, out: str = "total_registros") -> DataFrame:
 def history_profile(silver: DataFrame) -> DataFrame:
     """Distinct products and dates, rows, first and last date.
 
-    No row is expanded per distinct count: products are counted by grouping
-    (which also adds up rows and finds the first and last date), dates, as day
-    numbers, by bitmaps that each task fills by itself.  Both read the two
-    narrow columns, materialised once."""
+    No row is expanded per distinct count: products and dates are each counted
+    in two levels, and a task ships at most one row per product (which also
+    adds up rows and finds the first and last date) or date.  Both read the
+    two narrow columns, materialised once."""
     rows = materialise(silver.select("producto_id", "fecha_extraccion"))
     products = rows.groupBy("producto_id").agg(
         F.count(F.lit(1)).alias("n"), F.min("fecha_extraccion").alias("first"), F.max("fecha_extraccion").alias("last"))
     nothing, no_date = F.lit(None).cast("long"), F.lit(None).cast("date")
     totals = products.agg(F.count("producto_id").alias("productos_unicos"), F.coalesce(F.sum("n"), F.lit(0)).alias("total_filas"),
                           F.min("first").alias("primer_registro"), F.max("last").alias("ultimo_registro"))
-    day = F.unix_date("fecha_extraccion") + _FIRST_DAY
-    days = rows.where(F.col("fecha_extraccion").isNotNull()).groupBy(F.bitmap_bucket_number(day)).agg(
-        F.bitmap_construct_agg(F.bitmap_bit_position(day)).alias("bits"))
-    dates = days.agg(F.coalesce(F.sum(F.bitmap_count("bits")), F.lit(0)).alias("fechas_distintas"))
+    days = rows.groupBy("fecha_extraccion").agg(F.count(F.lit(1)).alias("n"))
+    dates = days.agg(F.count("fecha_extraccion").alias("fechas_distintas"))
     both = totals.withColumn("fechas_distintas", nothing).unionByName(dates.select(
         nothing.alias("productos_unicos"), nothing.alias("total_filas"), no_date.alias("primer_registro"),
         no_date.alias("ultimo_registro"), "fechas_distintas"))
