@@ -16,10 +16,10 @@ SMALL = "/root/testdata/sf0.001"
 
 
 def brute_top(rows, k):
-    good = {(i, tuple(math.floor(64 * x) for x in v)) for i, v in rows
-            if i is not None and v is not None and all(x is not None and math.isfinite(x) for x in v)}
+    good = [(i, tuple(math.floor(64 * x) for x in v)) for i, v in rows
+            if i is not None and v is not None and all(x is not None and math.isfinite(x) for x in v)]
     out = []
-    for i, q in sorted(good):
+    for i, q in sorted(set(good)):
         if i % 20 == 0:
             scored = sorted((-sum(a * b for a, b in zip(q, v, strict=False)), j) for j, v in good if j != i)
             out += [(i, r + 1, j, -s) for r, (s, j) in enumerate(scored[:k])]
@@ -32,6 +32,7 @@ def test_vector_search(spark, cells, k):
     same = [0.5, -0.25, 0.125]
     rows = [(i, [float(x) for x in rng.normal(0, 1, 3)]) for i in range(150)]
     rows += [(i, same) for i in range(150, 260)] + [(260, same), (260, same)]  # a common vector, repeated rows
+    rows += [(7, [2.0, 2.0, 2.0])] * 3 + [(5, same)] * 50
     rows += [(300, None), (320, [1.0, None, 2.0]), (340, [float("nan"), 1.0, 1.0]), (341, [float("inf"), 1.0, 1.0]),
              (360, []), (361, [2.0]), (380, [0.0, 0.0, 0.0]), (None, same), (400, [9.0, 9.0, 9.0, 9.0]), (7, same)]
     df = spark.createDataFrame([(i, v, "x", 1) for i, v in rows],
@@ -50,6 +51,14 @@ def test_vector_search_of_large_values(spark):
     assert sorted(tuple(r) for r in got.collect()) == brute_top(rows, 4)
 
 
+def test_vector_search_counts_every_row_and_finite_component(spark):
+    for rows in ([(20, [1.0, 0.0]), (1, [2.0, 0.0]), (1, [2.0, 0.0]), (3, [0.5, 0.5])],
+                 [(20, [1 / 64, 0.0]), (2, [1e17, 0.0]), (3, [-1e17, 4.0]), (4, [0.0, 1e17])]):
+        df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+        got = vafile.top_k(df, df["vec_id"] % 20 == 0, k=5)
+        assert sorted(tuple(r) for r in got.collect()) == brute_top(rows, 5)
+
+
 def render(turns, me):
     text, mask = "", []
     for _, name, body in turns:
@@ -63,16 +72,18 @@ def render(turns, me):
 def test_chat_rotation(spark):
     rows = [(1, 0, "system", "be nice"), (1, 1, "Ann", "hi é😀"), (1, 2, "Bob", None), (1, 3, None, "<|end|> x"), (1, 3, None, "<|end|> x"),
             (1, None, "Ann", "first"), (2, 5, "", "alone"), (3, 0, "system", "only"), (None, 0, "user", "lost"),
-            (4, 0, "user", "a"), (4, 3, "assistant", "b"), (4, 4, "user", "c"), (4, 9, "user", "d")]
+            (4, 0, "user", "a"), (4, 3, "assistant", "b"), (4, 4, "user", "c"), (4, 9, "user", "d"),
+            (5, None, "a", "yes"), (5, None, "b", "no"), (5, None, "a", "yes")]  # turns without numbers, one of them twice
+    rows += [(6, 1 if k % 2 else None, "pq"[k % 2], f"hot {k % 3}") for k in range(41)]  # equal and null numbers beyond a part
     df = spark.createDataFrame([(*r, "m", 3) for r in rows], "conv_id long, turn long, role string, text string, mask string, part int")
     got = {(r["conv_id"], r["perspective"], r["part"]): (r["text"], [(m["start"], m["end"]) for m in r["mask"]], r["n_turns"])
            for r in chat.rotate(df, part_turns=4).collect()}
     want = {}
-    for conv in (1, 2, 4):
-        turns = sorted({(-1 if t is None else t, n or "unknown", (x or "").replace("<|", "< |")) for c, t, n, x in rows if c == conv})
+    for conv in (1, 2, 4, 5, 6):
+        turns = sorted((-1 if t is None else t, n or "unknown", (x or "").replace("<|", "< |")) for c, t, n, x in rows if c == conv)
         for me in {n for _, n, _ in turns} - {"system"}:
-            for part in {max(t, 0) // 4 for t, _, _ in turns}:
-                own = [t for t in turns if max(t[0], 0) // 4 == part]
+            for part in range(-(-len(turns) // 4)):
+                own = turns[4 * part:4 * part + 4]
                 want[conv, me, part] = (*render(own, me), len(own))
     assert got == want
     assert chat.rotate(df.where("false")).count() == 0

@@ -5,14 +5,16 @@ rendered once per participant with that speaker's turns as the assistant's,
 all others as named users and system turns as they are.  The mask holds the
 spans to learn from: the assistant's words with their end mark.
 
-A conversation of ``part_turns`` turns or more is rendered in parts (by turn
-number), so no task gathers an unbounded dialogue; the parts of a perspective,
-put one after another, are the whole dialogue.
+A conversation of more than ``part_turns`` turns is rendered in parts, by each
+turn's place in it, so no task gathers an unbounded dialogue, whatever its turn
+numbers (the places come from range-partitioned rows, so a hot conversation is
+spread over tasks as well); the parts of a perspective, put one after another,
+are the whole dialogue.
 
 Defined cases: a null text is an empty turn; a null or empty role is the
-participant ``unknown``; a null turn number comes first, in part 0; turns with
-the same number are ordered by role, then text, and rows that repeat a turn
-wholly are rendered once; rows without a conversation id are left out, as are
+participant ``unknown``; a null turn number comes first; turns with the same
+number are ordered by role, then text, and rows that repeat a turn wholly are
+each rendered; very long texts are rendered whole; rows without a conversation id are left out, as are
 conversations of system turns alone; ``<|`` inside a text or name becomes
 ``< |`` so that it cannot pass for a mark; an empty table gives an empty
 result; other columns are ignored.
@@ -23,6 +25,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tillroll.llm.rendezvous import with_slots
+
 END = "<|end|>\n"
 _MASK = "array<struct<start:int,end:int>>"
 
@@ -54,9 +58,9 @@ def rotate(turns: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn",
     name = F.coalesce(F.nullif(F.col(f"`{role_col}`"), F.lit("")), F.lit("unknown"))
     rows = turns.select(F.col(f"`{conv_col}`").alias("conv_id"), F.col(f"`{turn_col}`").alias("turn"), name.alias("name"),
                         _safe(F.coalesce(F.col(f"`{text_col}`"), F.lit(""))).alias("text")).where("conv_id is not null")
-    rows = rows.withColumn("part", F.coalesce(F.floor(F.col("turn") / part_turns), F.lit(0)).cast("long"))
-    parts = (rows.groupBy("conv_id", "part", "turn", "name", "text").agg(F.lit(1).alias("once"))
-             .groupBy("conv_id", "part").agg(F.sort_array(F.collect_list(F.struct("turn", "name", "text"))).alias("turns")))
+    placed = with_slots(rows, "conv_id", ["turn", "name", "text"])
+    placed = placed.withColumn("part", F.expr(f"slot div {part_turns}"))
+    parts = placed.groupBy("conv_id", "part").agg(F.sort_array(F.collect_list(F.struct("slot", "name", "text"))).alias("turns"))
     people = rows.where("name <> 'system'").select("conv_id", F.col("name").alias("perspective")).distinct()
     both = parts.join(people, "conv_id")
     me = F.col("perspective")

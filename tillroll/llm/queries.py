@@ -157,10 +157,12 @@ ORACLE_SQL: dict[str, str] = {
         SELECT * FROM ranked WHERE rank <= 20
     """,
     "op8_chat_rotation": """
-        WITH turns AS (
-            SELECT DISTINCT conv_id, turn, coalesce(nullif(role, ''), 'unknown') AS name,
-                   replace(coalesce(text, ''), '<|', '< |') AS body, coalesce(floor(turn / 4096), 0)::BIGINT AS part
+        WITH said AS (
+            SELECT conv_id, turn, coalesce(nullif(role, ''), 'unknown') AS name, replace(coalesce(text, ''), '<|', '< |') AS body
             FROM conversations WHERE conv_id IS NOT NULL),
+        turns AS (
+            SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, name, body) - 1 AS place, place // 4096 AS part
+            FROM said),
         people AS (SELECT DISTINCT conv_id, name AS perspective FROM turns WHERE name <> 'system'),
         lines AS (
             SELECT t.*, perspective, name = perspective AS own,
@@ -170,7 +172,7 @@ ORACLE_SQL: dict[str, str] = {
             FROM turns t JOIN people USING (conv_id)),
         placed AS (
             SELECT *, sum(length(head) + length(tail)) OVER (
-                       PARTITION BY conv_id, perspective, part ORDER BY turn NULLS FIRST, name, body
+                       PARTITION BY conv_id, perspective, part ORDER BY place
                        ROWS UNBOUNDED PRECEDING) AS stop
             FROM lines)
         SELECT conv_id, perspective, part, count(*) AS n_turns,

@@ -15,11 +15,12 @@ can need, so a vector that a third of the rows share is searched once.
   best-bounded classes of each query; its k-th exact score then says which of
   the remaining candidates can still matter, and exactly those are read.
 
-Defined cases: a vector that is null, or holds a null or non-finite component,
-(or one beyond 1e16) takes no part, nor does a row with a null id; a shorter vector counts as padded
-with zeros; equal rows (id and vector) count once, rows that share only the id
-are separate candidates (and queries) but never answer a query of that id; ties go to the
-smaller id; an empty table gives an empty result; scores are 64-bit integers, a
+Defined cases: a vector that is null, or holds a null or non-finite component
+(or one whose integer is beyond 64 bits) takes no part, nor does a row with a
+null id; a shorter vector counts as padded with zeros; every row is a candidate,
+also one that repeats another wholly (of such rows an answer needs k at most, so
+no more are carried), but rows never answer a query of their own id; queries
+that repeat id and vector are answered once; ties go to the smaller id; an empty table gives an empty result; scores are 64-bit integers, a
 product beyond that is left out; other columns are ignored.
 """
 
@@ -39,23 +40,23 @@ def integers(vector: Column, scale: float = 64.0) -> Column:
     return F.transform(vector, lambda x: F.floor(F.lit(scale) * x.cast("double")))
 
 
-def usable(vector: Column) -> Column:
-    """Neither null nor holding a component that is null, non-finite or beyond 1e16."""
-    wrong = F.exists(vector, lambda x: x.isNull() | F.isnan(x) | (F.abs(x.cast("double")) > 1e16))
+def usable(vector: Column, scale: float) -> Column:
+    """Neither null nor holding a component that is null, non-finite or, scaled, beyond 64 bits."""
+    wrong = F.exists(vector, lambda x: x.isNull() | F.isnan(x) | (F.abs(F.lit(scale) * x.cast("double")) >= 2.0 ** 63))
     return vector.isNotNull() & ~F.coalesce(wrong, F.lit(True))
 
 
 def members(vectors: DataFrame, id_col: str, vector_col: str, scale: float) -> DataFrame:
     """id and v (integers) of the rows that take part."""
     return (vectors.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{vector_col}`").alias("x"))
-            .where(F.col("id").isNotNull() & usable(F.col("x")))
+            .where(F.col("id").isNotNull() & usable(F.col("x"), scale))
             .select("id", integers(F.col("x"), scale).alias("v")))
 
 
 def classes(rows: DataFrame, need: int) -> DataFrame:
     """class_id, v, ids (the ``need`` smallest) and a hash of v as join key."""
     first = Window.partitionBy("v").orderBy("id")
-    kept = rows.distinct().withColumn("place", F.row_number().over(first)).where(F.col("place") <= need)
+    kept = rows.withColumn("place", F.row_number().over(first)).where(F.col("place") <= need)
     return (kept.groupBy("v").agg(F.sort_array(F.collect_list("id")).alias("ids"))
             .select(F.monotonically_increasing_id().alias("class_id"), "v", "ids", F.xxhash64("v").alias("key")))
 
@@ -102,9 +103,11 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 20, id_col: str = "vec_
     """query_id, rank, <id_col>, score of every row for which ``is_query``
     (a condition on the id column) holds."""
     spark = vectors.sparkSession
-    rows = members(vectors, id_col, vector_col, scale)
+    alike = Window.partitionBy("id", "v").orderBy("id")
+    rows = (members(vectors, id_col, vector_col, scale).withColumn("copy", F.row_number().over(alike))
+            .where(F.col("copy") <= k).drop("copy"))
     # an answer skips the rows of the query's own id: one, unless ids repeat with other vectors
-    repeats = rows.distinct().groupBy("id").count().agg(F.max("count")).first()[0] or 1
+    repeats = rows.groupBy("id").count().agg(F.max("count")).first()[0] or 1
     need = k + repeats
     every = cut(classes(rows, need))
     asked = members(vectors.where(is_query), id_col, vector_col, scale).distinct()
