@@ -211,6 +211,52 @@ def test_mixing(odd, nothing):
     assert mixing.allocate(nothing).count() == 0 and mixing.mix(nothing).count() == 0
 
 
+def unit(key):
+    return (int(hashlib.md5(f"mix:{key}".encode()).hexdigest()[:12], 16) + 0.5) / 2.0 ** 48
+
+
+def test_mixing_draws_by_pareto_ranks(spark):
+    """Whole copies first, then the lowest random odds over inclusion odds."""
+    rng = random.Random(8)
+    items = [(i, "w " * rng.choice([1, 2, 9, 40, 300]), "abc"[i % 3]) for i in range(900)]
+    docs = spark.createDataFrame([(i, t, s, rng.choice([0.5, 3.0, None, -1.0, float("inf")])) for i, t, s in items],
+                                 "doc_id long, text string, source string, odds double").cache()
+    for column in (None, "odds"):
+        got = mixing.allocate(docs, odds_col=column).select("row.*", "size", "source_size", "target", "copies").collect()
+        assert len(got) == len(items)
+        for source in "abc":
+            own = [r for r in got if r["source"] == source]
+            whole = int(own[0]["target"] // own[0]["source_size"])
+            rest, run, want = own[0]["target"] - whole * own[0]["source_size"], 0, {}
+            odds = {r["doc_id"]: r["odds"] if column else r["size"] for r in own}
+            able = [r for r in own if odds[r["doc_id"]] is not None and 0 < odds[r["doc_id"]] < float("inf")]
+            rank = {r["doc_id"]: unit(r["doc_id"]) / (1 - unit(r["doc_id"])) / odds[r["doc_id"]] for r in able}
+            for r in sorted(able, key=lambda r: rank[r["doc_id"]]):
+                want[r["doc_id"]] = run + r["size"] / 2 <= rest and rest > 0
+                run += r["size"]
+            assert {r["doc_id"]: r["copies"] for r in own} == {r["doc_id"]: whole + want.get(r["doc_id"], False) for r in own}
+    long = [r["copies"] for r in mixing.allocate(docs).where("size = 300 and target < source_size").collect()]
+    short = [r["copies"] for r in mixing.allocate(docs).where("size = 1 and target < source_size").collect()]
+    assert not long or sum(long) / len(long) > sum(short) / len(short)  # probabilities differ by size
+
+
+@pytest.mark.parametrize("key", [7, None])
+def test_mixing_meets_targets_with_repeated_rows(spark, key):
+    items = [(key, " ".join(f"v{i % 5}" for _ in range(10)), "a", i % 2) for i in range(600)]
+    items += [(1000 + i, "x " * 30, "b", 0) for i in range(40)] + [(1, "", "c", 0), (1, "", "c", 0)]
+    docs = spark.createDataFrame(items, "doc_id long, text string, source string, slot int")
+    seen = []
+    for parts in (1, 7):
+        got = mixing.allocate(docs.repartition(parts)).select("row.*", "size", "target", "copies").collect()
+        assert len(got) == len(items)
+        for source in "abc":
+            own = [r for r in got if r["source"] == source]
+            largest = max(r["size"] for r in own)
+            assert abs(sum(r["size"] * r["copies"] for r in own) - own[0]["target"]) <= largest / 2 + 1e-6
+        seen.append(sorted((r["doc_id"] or -1, r["text"], r["slot"], r["copies"]) for r in got))
+    assert seen[0] == seen[1]
+
+
 # --- scans --------------------------------------------------------------
 
 ODD_SECRETS = ['token=apikey:abcdefgh12', 'PASSWORD : "hunter2hunter2" é😀 token==abc12345', "AKIAAKIA12 AKIA" + "Z" * 20,

@@ -104,7 +104,8 @@ ORACLE_SQL: dict[str, str] = {
     "op2_source_mixing": r"""
         WITH docs AS (
             SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size,
-                   ('0x' || substr(md5('mix:' || coalesce(doc_id::VARCHAR, '')), 1, 12))::BIGINT AS ticket
+                   (('0x' || substr(md5('mix:' || coalesce(doc_id::VARCHAR, '')), 1, 12))::BIGINT + 0.5)::DOUBLE
+                   / 281474976710656::DOUBLE AS u
             FROM documents),
         placed AS (
             SELECT source, sum(size)::BIGINT AS source_size, row_number() OVER (ORDER BY source NULLS LAST) AS place
@@ -131,7 +132,8 @@ ORACLE_SQL: dict[str, str] = {
             FROM aims),
         ordered AS (
             SELECT d.doc_id, d.size, p.source_size, p.target, p.whole, target - whole * source_size AS rest,
-                   coalesce(sum(d.size) OVER (PARTITION BY d.source ORDER BY ticket, doc_id::VARCHAR, size
+                   coalesce(sum(d.size) OVER (PARTITION BY d.source ORDER BY u / (1 - u) / size NULLS LAST,
+                                              coalesce(doc_id::VARCHAR, ''), size
                                               ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS run
             FROM docs d JOIN plans p ON d.source IS NOT DISTINCT FROM p.source)
         SELECT doc_id, size, source_size, target,
