@@ -462,6 +462,26 @@ def test_quality_held_out_accuracy(spark, odd, nothing):
     assert quality.score(nothing, model).count() == 0
 
 
+def test_word_vectors_of_all_documents(odd, nothing, monkeypatch):
+    """Every text's contexts, labelled or not, against sums token by token."""
+    monkeypatch.setattr(quality, "_GATHERED", 500)
+    index, want = quality.index_vectors().astype(np.int64), {}
+    for _, text in pairs(odd):
+        t = quality.buckets(text)
+        for i, own in enumerate(t.tolist()):
+            row = want.setdefault(own, np.zeros(quality.DIMS, dtype=np.int64))
+            for o in range(1, quality.WINDOW + 1):
+                if i + o < len(t):
+                    row += np.roll(index[t[i + o]], o)
+                if i >= o:
+                    row += np.roll(index[t[i - o]], -o)
+    got = quality.word_vectors(odd, fit_tasks=3)
+    for bucket, row in want.items():
+        assert np.allclose(got[bucket], row / max(np.linalg.norm(row), 1e-6), atol=1e-6)
+    assert set(np.flatnonzero(got.any(axis=1))) <= set(want)
+    assert not quality.word_vectors(nothing).any()
+
+
 def test_quality_without_enough_labels(spark, odd):
     empty = spark.createDataFrame([], "doc_id long, quality int, score double")
     assert quality.fit(odd, empty).constant == 0.5

@@ -2,9 +2,12 @@
 two-layer numpy network, probabilities calibrated by a temperature.
 
 * Tokens are runs of letters, digits or other marks, and a capitals mark for
-  each capitalised word.  A token's bucket (hash) has a sparse ternary *index
-  vector*; its *word vector* is the sum of the index vectors that stand within
-  two tokens of it in the fitting texts, shifted by side and distance.
+  each capitalised word.  A token's bucket (a hash, one of 65,536: words that
+  share one share its vectors) has a sparse ternary *index vector*; its *word
+  vector* is the sum of the index vectors that stand within two tokens of it in
+  all documents, shifted by side and distance.  Contexts need no labels, so no
+  document is left out: each task sums its texts into one matrix of fixed size,
+  and these sums are added by ranges of buckets.
 * A document is the mean of its tokens' word vectors and index vectors, and
   how often a token recurs one to four tokens later (the mean product of index
   vectors bound across that distance).  Short texts shrink towards zero.
@@ -12,15 +15,18 @@ two-layer numpy network, probabilities calibrated by a temperature.
   documents at most (a bounded sample, in hash order of the ids); every fifth
   of them is kept from training to stop it early and to fit the temperature.
 
-What is learned has a fixed size (buckets x dimensions); partial sums come
-from ``fit_tasks`` tasks.  Scoring is one pass over the texts, no shuffle.
+What is learned has a fixed size (buckets x dimensions): a task sends that
+much at most, without empty ranges and deflated.  Fitting is one pass over the
+texts, scoring another, neither moves a text.  Only the network's fit is on a sample.
 
 Defined cases: a null or empty text gets the network's score of the zero
 vector; a null id counts as held out and is never learned from; an id with
 contradicting labels is not learned from, and of rows that repeat an id one is;
 labels that are null count as missing; with no labels, or a single class, every
 score is the smoothed share of that class; an empty table gives an empty
-result; other columns are kept or ignored, whatever their names.
+result; very long texts are read whole, in bounded parts; of equal scores none
+comes first, as nothing is ranked; other columns are kept or ignored, whatever
+their names.
 """
 
 from __future__ import annotations
@@ -38,23 +44,36 @@ from pyspark.sql import types as T
 
 from tillroll.llm.common import cut, in_workers
 
-BUCKETS, DIMS, NONZEROS, WINDOW, LAGS = 1 << 13, 64, 4, 2, 4
+BUCKETS, DIMS, NONZEROS, WINDOW, LAGS = 1 << 16, 64, 4, 2, 4
 FEATURES = 2 * DIMS + LAGS + 3
 _TOKENS = regex.compile(r"\p{L}+|\p{N}+|[^\s\p{L}\p{N}]+").findall
 _SHRINK = 8.0
 _KEPT_TOKENS = 50_000
 _AT_ONCE = 1 << 13
+#: Tokens whose contexts are added at once, buckets of a range, and tokens after which a sum is sent on (so it fits 32 bits).
+_GATHERED, _RANGE, _FLUSH = 1 << 15, 1 << 10, 1 << 27
 #: Rows of a batch that are scored together.
 _ROWS = 256
 
 
 @lru_cache(maxsize=1)
-def index_vectors() -> np.ndarray:
-    """Sparse ternary vectors of the buckets (seeded, the same everywhere)."""
+def _marks() -> tuple[np.ndarray, np.ndarray]:
+    """Places and signs of the index vectors' nonzeros (seeded, the same
+    everywhere); the last row is a mark between texts, all of its signs zero."""
     rng = np.random.default_rng(7)
-    index = np.zeros((BUCKETS, DIMS), dtype=np.int32)
-    for _ in range(NONZEROS):
-        np.add.at(index, (np.arange(BUCKETS), rng.integers(0, DIMS, BUCKETS)), rng.choice([-1, 1], BUCKETS))
+    places = rng.integers(0, DIMS, (BUCKETS + 1, NONZEROS))
+    signs = rng.choice(np.array([-1, 1], dtype=np.int32), (BUCKETS + 1, NONZEROS))
+    signs[BUCKETS] = 0
+    return places, signs
+
+
+@lru_cache(maxsize=1)
+def index_vectors() -> np.ndarray:
+    """Sparse ternary vectors of the buckets."""
+    places, signs = _marks()
+    index = np.zeros((BUCKETS, DIMS), dtype=np.int8)
+    for i in range(NONZEROS):
+        np.add.at(index, (np.arange(BUCKETS), places[:BUCKETS, i]), signs[:BUCKETS, i].astype(np.int8))
     return index
 
 
@@ -81,18 +100,68 @@ def buckets(text: str | None) -> np.ndarray:
     return np.array(found, dtype=np.int64)
 
 
-def add_contexts(total: np.ndarray, t: np.ndarray) -> None:
-    """Add to each bucket's row the index vectors around its occurrences."""
-    index = index_vectors()
-    for a in range(0, len(t), _AT_ONCE):
-        part = t[max(0, a - WINDOW):a + _AT_ONCE + WINDOW]
-        around = np.zeros((len(part), DIMS), dtype=np.int32)
+def add_contexts(total: np.ndarray, texts: list[np.ndarray]) -> None:
+    """Add to each bucket's row of ``total`` (one more row than buckets) the
+    index vectors around its occurrences, text by text."""
+    places, signs = _marks()
+    between = np.full(WINDOW, BUCKETS, dtype=np.int64)
+    t = np.concatenate([part for text in texts for part in (text, between)])
+    flat = total.reshape(-1)
+    for a in range(0, len(t), _GATHERED):
         for o in range(1, WINDOW + 1):
-            if len(part) > o:
-                around[:-o] += np.roll(index, o, axis=1)[part[o:]]
-                around[o:] += np.roll(index, -o, axis=1)[part[:-o]]
-        own = slice(a - max(0, a - WINDOW), a - max(0, a - WINDOW) + len(t[a:a + _AT_ONCE]))
-        np.add.at(total, part[own], around[own])
+            right = t[a + o:a + o + _GATHERED]
+            left = t[a:a + len(right)]
+            for own, other, shift in ((left, right, o), (right, left, -o)):
+                at = own[:, None] * DIMS + (places[other] + shift) % DIMS
+                np.add.at(flat, at.ravel(), signs[other].ravel())
+
+
+def word_vectors(docs: DataFrame, text_col: str = "text", fit_tasks: int = 16) -> np.ndarray:
+    """The buckets' word vectors, of length one (or zero), from all texts."""
+    texts = docs.select(F.col(f"`{text_col}`").alias("text")).where("text != ''")
+
+    def contexts(batches):
+        total, waiting, held, seen = np.zeros((BUCKETS + 1, DIMS), dtype=np.int32), [], 0, 0
+
+        def sums():
+            for a in range(0, BUCKETS, _RANGE):
+                if total[a:a + _RANGE].any():
+                    data = zlib.compress(total[a:a + _RANGE].tobytes(), 1)
+                    yield pa.RecordBatch.from_arrays([pa.array([a], pa.int32()), pa.array([data], pa.binary())],
+                                                     names=["first", "total"])
+            total[:] = 0
+
+        for b in batches:
+            for text in b.column("text"):
+                waiting.append(buckets(text.as_py()))
+                held += len(waiting[-1])
+                if held >= _GATHERED:
+                    add_contexts(total, waiting)
+                    waiting, held, seen = [], 0, seen + held
+                    if seen >= _FLUSH:
+                        yield from sums()
+                        seen = 0
+        if waiting:
+            add_contexts(total, waiting)
+        yield from sums()
+
+    def merged(batches):
+        sums: dict[int, np.ndarray] = {}
+        for b in batches:
+            for first, data in zip(b.column("first").to_pylist(), b.column("total"), strict=True):
+                part = np.frombuffer(zlib.decompress(data.as_py()), dtype=np.int32).reshape(-1, DIMS)
+                sums[first] = sums[first] + part if first in sums else part.astype(np.int64)
+        for first, total in sums.items():
+            unit = total / np.maximum(np.linalg.norm(total, axis=1, keepdims=True), 1e-6)
+            yield pa.RecordBatch.from_arrays([pa.array([first], pa.int32()), pa.array([unit.astype("<f4").tobytes()], pa.binary())],
+                                             names=["first", "total"])
+
+    kind = "first int, total binary"
+    vectors = np.zeros((BUCKETS, DIMS), dtype=np.float32)
+    parts = in_workers(texts).mapInArrow(contexts, kind).repartition(fit_tasks, "first").mapInArrow(merged, kind)
+    for row in parts.collect():  # one matrix of fixed size, in ranges
+        vectors[row["first"]:row["first"] + _RANGE] = np.frombuffer(row["total"], dtype="<f4").reshape(-1, DIMS)
+    return vectors
 
 
 @dataclass
@@ -186,7 +255,8 @@ def learnable(id_col: Column) -> Column:
 
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         label_col: str = "quality", fit_rows: int = 20_000, fit_tasks: int = 16) -> Model:
-    """Fit on ``fit_rows`` labelled documents at most."""
+    """Word vectors from all documents, the network from ``fit_rows`` labelled
+    ones at most."""
     spark = docs.sparkSession
     marks = (labels.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{label_col}`").cast("int").alias("label"))
              .where(learnable(F.col("doc_id")) & F.col("label").isNotNull())
@@ -205,19 +275,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     sample = cut(in_workers(texts).mapInArrow(tokens, T.StructType(fields))
                  .repartition(fit_tasks, "doc_id").groupBy("doc_id").agg(F.min("label").alias("label"), F.min("t").alias("t")))
 
-    def contexts(batches):
-        total = np.zeros((BUCKETS, DIMS), dtype=np.int32)
-        for b in batches:
-            for t in b.column("t"):
-                add_contexts(total, np.frombuffer(t.as_py(), dtype="<u2").astype(np.int64))
-        yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], names=["total"])
-
-    total = np.zeros((BUCKETS, DIMS), dtype=np.int64)
-    parts = sample.select("t").coalesce(fit_tasks).mapInArrow(contexts, "total binary")
-    for row in parts.toLocalIterator():  # fit_tasks matrices of fixed size
-        total += np.frombuffer(row["total"], dtype=np.int32).reshape(BUCKETS, DIMS)
-    size = np.maximum(np.linalg.norm(total, axis=1, keepdims=True), 1e-6)
-    model = Model(vectors=(total / size).astype(np.float32))
+    model = Model(vectors=word_vectors(docs, text_col, fit_tasks))
 
     def pooled(batches):
         for b in batches:
