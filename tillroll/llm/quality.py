@@ -1,7 +1,7 @@
 """Quality classifier: random-indexing word vectors pooled per document, a
 two-layer numpy network, probabilities calibrated by a temperature.
 
-* Tokens are runs of letters, digits or other marks, and a capitals mark for
+* Tokens are runs of letters (with numerals other than digits), digits or other marks, and a capitals mark for
   each capitalised word.  A token's bucket (a hash, one of 65,536: words that
   share one share its vectors) has a sparse ternary *index vector*; its *word
   vector* is the sum of the index vectors that stand within two tokens of it in
@@ -31,13 +31,14 @@ their names.
 
 from __future__ import annotations
 
+import re
 import zlib
 from dataclasses import dataclass, field
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
-import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -46,12 +47,12 @@ from tillroll.llm.common import cut, in_workers
 
 BUCKETS, DIMS, NONZEROS, WINDOW, LAGS = 1 << 16, 64, 4, 2, 4
 FEATURES = 2 * DIMS + LAGS + 3
-_TOKENS = regex.compile(r"\p{L}+|\p{N}+|[^\s\p{L}\p{N}]+").findall
+_TOKENS = re.compile(r"[^\W\d_]+|\d+|(?:[^\s\w]|_)+").findall
 _SHRINK = 8.0
 _KEPT_TOKENS = 50_000
 _AT_ONCE = 1 << 13
 #: Tokens whose contexts are added at once, buckets of a range, and tokens after which a sum is sent on (so it fits 32 bits).
-_GATHERED, _RANGE, _FLUSH = 1 << 15, 1 << 10, 1 << 27
+_GATHERED, _RANGE, _FLUSH = 1 << 18, 1 << 10, 1 << 27
 #: Rows of a batch that are scored together.
 _ROWS = 256
 
@@ -67,6 +68,12 @@ def _marks() -> tuple[np.ndarray, np.ndarray]:
     return places, signs
 
 
+@lru_cache(maxsize=1)
+def _moved() -> dict[int, np.ndarray]:
+    """Places of the nonzeros, shifted by side and distance."""
+    return {o: ((_marks()[0] + o) % DIMS).astype(np.int32) for o in range(-WINDOW, WINDOW + 1) if o}
+
+
 @lru_cache(maxsize=1)
 def index_vectors() -> np.ndarray:
     """Sparse ternary vectors of the buckets."""
@@ -77,43 +84,47 @@ def index_vectors() -> np.ndarray:
     return index
 
 
+class _Memory(dict):
+    """Buckets of tokens met before."""
+
+    def __missing__(self, t: str) -> tuple[int, ...]:
+        own = (zlib.crc32(t.lower().encode("utf-8", "replace")) % BUCKETS,)
+        if t[0].isupper():
+            own += (zlib.crc32(b"\x01all" if t.isupper() and len(t) > 1 else b"\x01first") % BUCKETS,)
+        if len(t) <= 64 and len(self) < _KEPT_TOKENS:
+            self[t] = own
+        return own
+
+
 @lru_cache(maxsize=1)
-def _memory() -> dict[str, tuple[int, ...]]:
-    return {}
+def _memory() -> _Memory:
+    return _Memory()
 
 
 def buckets(text: str | None) -> np.ndarray:
     """Buckets of a text's tokens, in order."""
     known = _memory()
-    if len(known) > _KEPT_TOKENS:
+    if len(known) >= _KEPT_TOKENS:
         known.clear()
-    found: list[int] = []
-    for t in _TOKENS(text or ""):
-        own = known.get(t)
-        if own is None:
-            own = (zlib.crc32(t.lower().encode("utf-8", "replace")) % BUCKETS,)
-            if t[0].isupper():
-                own += (zlib.crc32(b"\x01all" if t.isupper() and len(t) > 1 else b"\x01first") % BUCKETS,)
-            if len(t) <= 64:
-                known[t] = own
-        found += own
-    return np.array(found, dtype=np.int64)
+    return np.fromiter(chain.from_iterable(map(known.__getitem__, _TOKENS(text or ""))), dtype=np.int64)
 
 
 def add_contexts(total: np.ndarray, texts: list[np.ndarray]) -> None:
     """Add to each bucket's row of ``total`` (one more row than buckets) the
     index vectors around its occurrences, text by text."""
-    places, signs = _marks()
+    signs, moved = _marks()[1], _moved()
     between = np.full(WINDOW, BUCKETS, dtype=np.int64)
     t = np.concatenate([part for text in texts for part in (text, between)])
     flat = total.reshape(-1)
     for a in range(0, len(t), _GATHERED):
         for o in range(1, WINDOW + 1):
             right = t[a + o:a + o + _GATHERED]
-            left = t[a:a + len(right)]
+            pairs, times = np.unique(t[a:a + len(right)] * (BUCKETS + 1) + right, return_counts=True)
+            left, right = pairs // (BUCKETS + 1), pairs % (BUCKETS + 1)
+            times = times.astype(np.int32)[:, None]
             for own, other, shift in ((left, right, o), (right, left, -o)):
-                at = own[:, None] * DIMS + (places[other] + shift) % DIMS
-                np.add.at(flat, at.ravel(), signs[other].ravel())
+                at = (own * DIMS).astype(np.int32)[:, None] + moved[shift][other]
+                np.add.at(flat, at.ravel(), (signs[other] * times).ravel())
 
 
 def word_vectors(docs: DataFrame, text_col: str = "text", fit_tasks: int = 16) -> np.ndarray:
