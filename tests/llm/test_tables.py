@@ -51,6 +51,36 @@ def test_vector_search_of_large_values(spark):
     assert sorted(tuple(r) for r in got.collect()) == brute_top(rows, 4)
 
 
+def test_cells_hold_their_values_and_stay_narrow_beside_far_ones():
+    rng = np.random.default_rng(4)
+    v = rng.integers(-60, 60, (5000, 3))
+    v[7] = [10 ** 15, -10 ** 15, 0]
+    v[:, 2] = 5
+    borders = np.sort(np.quantile(v, np.linspace(0, 1, 257), axis=0, method="lower").T, axis=1)
+    grid = vafile.Cells(borders.astype(float))
+    middle, half = grid.around(grid.code(v))
+    assert (np.abs(v - middle) <= half).all() and (half[:, 2] == 0).all()
+    assert np.mean(half[:, :2] <= 2) > 0.95
+
+
+@pytest.mark.parametrize("far", [0.0, 1e9])
+def test_vector_search_beside_a_far_vector(spark, far):
+    """Same rows as brute force where one vector lies far off the others and
+    blocks are much smaller than the table."""
+    rng = np.random.default_rng(int(far) % 97)
+    rows = [(i, [float(x) for x in rng.normal(0, 1, 6)]) for i in range(300)]
+    rows[11] = (11, [far, -far, far, 0.0, 1.0, -1.0])
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = vafile.top_k(df, df["vec_id"] % 20 == 0, k=6, rows_per_block=32, queries_per_block=4)
+    ints = np.floor(64 * np.array([v for _, v in rows])).astype(np.int64)
+    want = []
+    for q in range(0, 300, 20):
+        scores = ints @ ints[q]
+        near = sorted((-int(s), i) for i, s in enumerate(scores) if i != q)[:6]
+        want += [(q, rank, i, -s) for rank, (s, i) in enumerate(near, 1)]
+    assert sorted(map(tuple, got.collect())) == want
+
+
 def test_vector_search_counts_every_row_and_finite_component(spark):
     for rows in ([(20, [1.0, 0.0]), (1, [2.0, 0.0]), (1, [2.0, 0.0]), (3, [0.5, 0.5])],
                  [(20, [1 / 64, 0.0]), (2, [1e17, 0.0]), (3, [-1e17, 4.0]), (4, [0.0, 1e17])]):

@@ -4,11 +4,12 @@ Vectors are integers (floor of ``scale`` times each component).  Equal vectors
 form one class that keeps the smallest ids of its members, as many as an answer
 can need, so a vector that a third of the rows share is searched once.
 
-* *Approximation*: each component is a cell number; a dimension's range is cut
-  into ``cells`` equal cells, so a class is a few bytes.
-* *Scan*: blocks of queries meet blocks of approximations (bounded blocks, dealt
-  by an equi-join on block numbers).  A cell's middle and half width bound every
-  product from both sides.  A first scan takes each query's k-th best lower
+* *Approximation*: each component is a cell number, one byte; a dimension's
+  cells hold about equally many values (borders at approximate quantiles, the
+  outermost at its extremes), so a few far values do not widen the others' cells.
+* *Scan*: blocks of queries meet blocks of approximations (bounded blocks, each
+  packed into one row, dealt by an equi-join on block numbers).  The middles and
+  half widths of a class's own cells bound every product from both sides.  A first scan takes each query's k-th best lower
   bound over all blocks; a second keeps the classes whose upper bound reaches
   it - all others are certain to be outside the top k.
 * *Read*: exact vectors are joined in the order of their bounds: first the 2k
@@ -62,23 +63,23 @@ def classes(rows: DataFrame, need: int) -> DataFrame:
 
 
 class Cells:
-    """Equal cells per dimension over the range of the data."""
+    """Cells between ascending borders (one row of them per dimension)."""
 
-    def __init__(self, low: np.ndarray, high: np.ndarray, cells: int):
-        self.low, self.cells = low.astype(np.float64), cells
-        self.width = np.maximum((high - low) / cells, 1e-300)
-        self.flat = high <= low
+    def __init__(self, borders: np.ndarray):
+        self.borders = borders
+        self.middles, self.halves = (borders[:, 1:] + borders[:, :-1]) / 2, (borders[:, 1:] - borders[:, :-1]) / 2
+        self.far = np.abs(borders).max(axis=1)
 
     def code(self, v: np.ndarray) -> np.ndarray:
-        at = np.floor((v - self.low) / self.width)
-        return np.where(self.flat, 0, np.clip(at, 0, self.cells - 1)).astype(np.uint8)
+        out = np.empty(v.shape, dtype=np.uint8)
+        for d, own in enumerate(self.borders):
+            out[:, d] = np.clip(np.searchsorted(own, v[:, d].astype(np.float64), side="right") - 1, 0, len(own) - 2)
+        return out
 
-    def middle(self, codes: np.ndarray) -> np.ndarray:
-        return np.where(self.flat, self.low, self.low + (codes + 0.5) * self.width)
-
-    @property
-    def half(self) -> np.ndarray:
-        return np.where(self.flat, 0.0, self.width / 2)
+    def around(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Middle and half width of each coded component's cell."""
+        d = np.arange(codes.shape[1])
+        return self.middles[d, codes], self.halves[d, codes]
 
 
 def _matrix(column, dims: int) -> np.ndarray:
@@ -94,14 +95,18 @@ def _matrix(column, dims: int) -> np.ndarray:
     return out
 
 
-def _fixed(column, dims: int, kind) -> np.ndarray:
-    return np.frombuffer(b"".join(column.to_pylist()), dtype=kind).reshape(len(column), dims)
+def _ids(packed) -> np.ndarray:
+    return np.frombuffer(b"".join(packed["ids"].to_pylist()), dtype="<i8")
+
+
+def _fixed(packed, dims: int, kind) -> np.ndarray:
+    return np.frombuffer(b"".join(packed["codes"].to_pylist()), dtype=kind).reshape(-1, dims)
 
 
 def top_k(vectors: DataFrame, is_query: Column, k: int = 20, id_col: str = "vec_id", vector_col: str = "embedding",
-          scale: float = 64.0, cells: int = 32, rows_per_block: int = 4096, queries_per_block: int = 1024) -> DataFrame:
+          scale: float = 64.0, cells: int = 256, rows_per_block: int = 16384, queries_per_block: int = 4096) -> DataFrame:
     """query_id, rank, <id_col>, score of every row for which ``is_query``
-    (a condition on the id column) holds."""
+    (a condition on the id column) holds; ``cells`` is 256 at most."""
     spark = vectors.sparkSession
     alike = Window.partitionBy("id", "v").orderBy("id")
     rows = (members(vectors, id_col, vector_col, scale).withColumn("copy", F.row_number().over(alike))
@@ -117,77 +122,91 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 20, id_col: str = "vec_
     queries = cut(every.join(wanted, ["key", "v"], "left_semi").select(F.col("class_id").alias("q"), "v"))
 
     stats = (every.select(F.posexplode("v").alias("d", "x")).groupBy("d")
-             .agg(F.min("x").alias("low"), F.max("x").alias("high"), F.count(F.lit(1)).alias("n")).collect())
+             .agg(F.min("x").alias("low"), F.max("x").alias("high"), F.count(F.lit(1)).alias("n"),
+                  F.percentile_approx("x", [i / cells for i in range(1, cells)], 4 * cells).alias("inner")).collect())
     n_rows, n_queries = every.count(), queries.count()
     answer = f"query_id {vectors.schema[id_col].dataType.simpleString()}, rank int, " \
              f"`{id_col}` {vectors.schema[id_col].dataType.simpleString()}, score long"
     if not n_queries or not n_rows:
         return spark.createDataFrame([], answer)
     dims = max([1, *(r["d"] + 1 for r in stats)])
-    low, high = np.zeros(dims), np.zeros(dims)
-    for r in stats:  # one row per dimension
-        short = r["n"] < n_rows
-        low[r["d"]], high[r["d"]] = (min(r["low"], 0), max(r["high"], 0)) if short else (r["low"], r["high"])
-    grid = Cells(low, high, cells)
-
-    def approximate(batches):
-        for b in batches:
-            codes = grid.code(_matrix(b.column("v"), dims))
-            yield pa.RecordBatch.from_arrays([b.column("id"), pa.array([c.tobytes() for c in codes], pa.binary())],
-                                             names=["id", "codes"])
-
-    def packed(batches):
-        for b in batches:
-            rows = _matrix(b.column("v"), dims).astype("<i8")
-            yield pa.RecordBatch.from_arrays([b.column("id"), pa.array([c.tobytes() for c in rows], pa.binary())],
-                                             names=["id", "codes"])
-
-    n_rb, n_qb = math.ceil(n_rows / rows_per_block), math.ceil(n_queries / queries_per_block)
+    borders = np.zeros((dims, cells + 1))
+    for r in stats:  # one row per dimension; shorter vectors count as zero there
+        own = [r["low"], *(r["inner"] or []), r["high"]]
+        if r["n"] < n_rows:
+            own[0], own[-1] = min(own[0], 0), max(own[-1], 0)
+        borders[r["d"]] = np.maximum.accumulate(np.array(own, dtype=np.float64))
+    grid = Cells(borders)
+
+    def packer(coded):
+        """Arrow function: all rows of a block number as packed rows."""
+        def run(part: pa.Table) -> pa.Table:
+            ids = part.column("id").to_numpy().astype("<i8").tobytes()
+            rows = coded(_matrix(part.column("v"), dims)).tobytes()
+            return pa.table({"b": part.column("b")[:1], "ids": pa.array([ids], pa.binary()),
+                             "codes": pa.array([rows], pa.binary())})
+        return run
+
+    # a block holds a megabyte of cells, or two of queries, however many dimensions there are
+    n_rb = math.ceil(n_rows / max(1, min(rows_per_block, (1 << 20) // dims)))
+    n_qb = math.ceil(n_queries / max(1, min(queries_per_block, (1 << 18) // dims)))
     kind = every.schema["class_id"].dataType.simpleString()
-    block = lambda n: F.pmod(F.xxhash64("id"), F.lit(n))
     every_of = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n - 1).cast("long")))
-    codes = cut(in_workers(every.select(F.col("class_id").alias("id"), "v")).mapInArrow(approximate, f"id {kind}, codes binary"))
-    asks = cut(in_workers(queries.select(F.col("q").alias("id"), "v")).mapInArrow(packed, f"id {kind}, codes binary"))
-    row_side = codes.withColumn("rb", block(n_rb)).withColumn("qb", every_of(n_qb))
-    ask_side = asks.withColumn("qb", block(n_qb)).withColumn("rb", every_of(n_rb))
+
+    def blocks(table, id_col, n, coded):
+        rows = table.select(F.pmod(F.xxhash64(id_col), F.lit(n)).alias("b"), F.col(id_col).alias("id"), "v")
+        return cut(in_workers(rows).groupBy("b").applyInArrow(packer(coded), "b long, ids binary, codes binary"))
+
+    row_side = (blocks(every, "class_id", n_rb, grid.code).withColumnRenamed("b", "rb").withColumn("qb", every_of(n_qb)))
+    asks = blocks(queries, "q", n_qb, lambda v: v.astype("<i8")).withColumnRenamed("b", "qb")
+    ask_side = asks.withColumn("rb", every_of(n_rb))
 
     def bounds(left, right):
-        """Products with the cells' middles, and how far the truth can be off."""
-        mid = grid.middle(_fixed(left["codes"], dims, np.uint8))
-        q = _fixed(right["codes"], dims, "<i8").astype(np.float64)
-        centre = q @ mid.T
-        off = np.abs(q) @ grid.half
-        return centre, off + 1e-9 * (np.abs(q) @ (np.abs(grid.low) + grid.cells * grid.width) + 1)
+        """Of some queries at a time: their places, products with the cells'
+        middles, and how far the truth can be off."""
+        middle, half = grid.around(_fixed(left, dims, np.uint8))
+        q = _fixed(right, dims, "<i8").astype(np.float64)
+        some = max(1, (1 << 21) // len(middle))
+        for a in range(0, len(q), some):
+            part = q[a:a + some]
+            size = np.abs(part)
+            yield a, part @ middle.T, size @ half.T + (1e-9 * (size @ grid.far + 1))[:, None]
 
     def lower(left: pa.Table, right: pa.Table) -> pa.Table:
-        if not len(left) or not len(right):
-            return pa.table({"q": pa.array([], right["id"].type), "best": pa.array([], pa.list_(pa.float64()))})
-        centre, off = bounds(left, right)
-        keep = min(need, centre.shape[1])
-        best = -np.partition(-centre, keep - 1, axis=1)[:, :keep] - off[:, None]
-        return pa.table({"q": right["id"], "best": pa.array(best.tolist(), pa.list_(pa.float64()))})
-
-    sent = ask_side.groupBy("rb", "qb")
-    lows = row_side.groupBy("rb", "qb").cogroup(sent).applyInArrow(lower, f"q {kind}, best array<double>")
+        found = [np.empty((0, 1))]
+        if len(left) and len(right):
+            keep = min(need, len(_ids(left)))
+            found = [-np.partition(off - centre, keep - 1, axis=1)[:, :keep] for _, centre, off in bounds(left, right)]
+        best = np.concatenate(found)
+        ids = _ids(right) if len(best) else np.empty(0, dtype=np.int64)
+        return pa.table({"q": pa.array(ids, pa.int64()), "best": pa.array(best.tolist(), pa.list_(pa.float64()))})
+
+    lows = (row_side.groupBy("rb", "qb").cogroup(ask_side.groupBy("rb", "qb"))
+            .applyInArrow(lower, f"q {kind}, best array<double>"))
     # k other rows are at least as good as the need-th best class, the query's own among them
     at = Window.partitionBy("q").orderBy(F.col("low").desc())
     levels = (lows.select("q", F.explode("best").alias("low")).withColumn("place", F.row_number().over(at))
               .where(F.col("place") <= need).groupBy("q")
               .agg(F.when(F.count(F.lit(1)) >= need, F.min("low")).otherwise(F.lit(float("-inf"))).alias("level")))
     levels = cut(levels)
-    ask_levels = asks.join(levels, asks["id"] == levels["q"]).select("id", "codes", "level")
-    ask_levels = (ask_levels.withColumn("qb", block(n_qb))
-                  .withColumn("rb", every_of(n_rb)))
+    # levels go to their queries' block: a row of two numbers each
+    level_side = (levels.groupBy(F.pmod(F.xxhash64("q"), F.lit(n_qb)).alias("qb"))
+                  .agg(F.collect_list(F.struct("q", "level")).alias("levels")))  # of one block, bounded by its size
+    ask_levels = asks.join(level_side, "qb").withColumn("rb", every_of(n_rb))
 
     def reach(left: pa.Table, right: pa.Table) -> pa.Table:
-        if not len(left) or not len(right):
-            return pa.table({"q": pa.array([], right["id"].type), "c": pa.array([], left["id"].type),
-                             "upper": pa.array([], pa.float64())})
-        centre, off = bounds(left, right)
-        upper = centre + off[:, None]
-        i, j = np.nonzero(upper >= right["level"].to_numpy()[:, None])
-        return pa.table({"q": right["id"].take(pa.array(i)), "c": left["id"].take(pa.array(j)),
-                         "upper": pa.array(upper[i, j])})
+        asked, others, uppers = [np.empty(0, dtype=np.int64)], [np.empty(0, dtype=np.int64)], [np.empty(0)]
+        if len(left) and len(right):
+            own, ids = _ids(right), _ids(left)
+            known = {x["q"]: x["level"] for x in right["levels"].to_pylist()[0]}
+            level = np.array([known[q] for q in own.tolist()])
+            for a, centre, off in bounds(left, right):
+                upper = centre + off
+                i, j = np.nonzero(upper >= level[a:a + len(upper), None])
+                asked.append(own[a + i])
+                others.append(ids[j])
+                uppers.append(upper[i, j])
+        return pa.table({"q": np.concatenate(asked), "c": np.concatenate(others), "upper": np.concatenate(uppers)})
 
     found = (row_side.groupBy("rb", "qb").cogroup(ask_levels.groupBy("rb", "qb"))
              .applyInArrow(reach, f"q {kind}, c {kind}, upper double"))
