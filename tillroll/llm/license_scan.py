@@ -9,8 +9,9 @@ all its words) are banded; ``rows`` is one value per band and ``bands`` is the
 smallest number that finds a pair of similarity ``least_similarity`` with
 probability ``recall`` (1 - (1 - s^rows)^bands >= recall).  Retrieved pairs are
 verified exactly: the share of the template's shingles that occur in the text
-around the window must reach ``containment``.  A template of whose shingles
-the whole text holds a smaller share is not looked for in its windows.
+around the window must reach ``containment``.  A band is shared only where the
+window holds the template's shingles of least hash, so windows without any such
+shingle of the templates of their width are not banded: that loses no pair.
 
 Templates are a parameter, a small table whose size is checked before it is
 broadcast.  The registered ones are short notices, standard headers, SPDX
@@ -21,8 +22,10 @@ Defined cases: a null or empty text has no hits; words are lower-cased runs
 without blanks and marks like commas, points or brackets, and runs without a letter or
 digit (comment marks) are none; templates without words and null ones
 are ignored; hits of one license that overlap count once, the one with most shingles
-first; a hit all of whose words belong to larger hits is a part of these and does
-not count (a BSD-2 text in a BSD-3 one); rows that repeat get equal results; an empty table gives an empty result; other
+first, of hits alike in that the one with the larger share, then the earlier, then
+the one whose license's name comes first; a hit all of whose words belong to larger hits is a part of these and does
+not count (a BSD-2 text in a BSD-3 one); a very long text is read whole, its windows
+in bounded parts; rows that repeat get equal results; an empty table gives an empty result; other
 columns are ignored.
 """
 
@@ -130,8 +133,9 @@ class Finder:
         n = self.bands * rows
         self.a = rng.integers(1, 1 << 63, n, dtype=np.uint64) | np.uint64(1)
         self.b = rng.integers(0, 1 << 63, n, dtype=np.uint64)
+        #: per width in words and shingle size: name, shingles, their hashes and the band hashes of each template
         self.groups: dict[tuple[int, int], list] = {}
-        each: dict[int, list] = {}
+        least: dict[tuple[int, int], list] = {}
         for name, text in templates:
             raw = (text or "").encode().lower()
             first, end = words(raw)
@@ -139,37 +143,29 @@ class Finder:
                 continue
             k = min(size, len(first))
             hashes = np.unique(shingle_hashes(word_hashes(raw, first, end), k))
-            mine = each.setdefault(k, [])
             self.groups.setdefault((len(first), k), []).append(
-                (len(mine), name, set(_runs(raw, first, end, k)), self._bands(hashes[None, :])[0]))
-            mine.append(hashes)
-        #: per shingle size: known hashes, marks of their first bits, templates' places in the known, and for each
-        #: known hash the templates that hold it (from ``bounds[i]`` to ``bounds[i + 1]`` in ``owners``)
+                (name, set(_runs(raw, first, end, k)), hashes, self._bands(hashes[None, :])[0]))
+            least.setdefault((len(first), k), []).append(self._least(hashes))
+        #: per shingle size: the templates' shingles of least hash, and marks of their first bits
         self.known = {}
-        for k, sets in each.items():
-            known = np.unique(np.concatenate(sets))
-            places = [np.searchsorted(known, h) for h in sets]
-            flat, owner = np.concatenate(places), np.repeat(np.arange(len(sets)), [len(p) for p in places])
+        for k in {k for _, k in least}:
+            known = np.unique(np.concatenate([h for key, sets in least.items() if key[1] == k for h in sets]))
             shift = np.uint64(64 - max(16, len(known).bit_length() + 4))
-            marks = np.bincount(known >> shift, minlength=1 << (64 - int(shift))) > 0
-            bounds = np.concatenate(([0], np.cumsum(np.bincount(flat, minlength=len(known)))))
-            self.known[k] = known, shift, marks, places, bounds, owner[np.argsort(flat, kind="stable")]
-
-    def _shared(self, every: np.ndarray, k: int):
-        """Positions of known shingles, their places among the known, and the
-        templates of whose shingles the text holds enough."""
-        known, shift, marks, places, bounds, owners = self.known[k]
+            self.known[k] = known, shift, np.bincount(known >> shift, minlength=1 << (64 - int(shift))) > 0
+        #: per group: which of the known are its own
+        self.own = {key: np.isin(self.known[key[1]][0], np.concatenate(sets)) for key, sets in least.items()}
+
+    def _held(self, every: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+        """Positions of known shingles and their places among the known."""
+        known, shift, marks = self.known[k]
         maybe = np.flatnonzero(marks[every >> shift])
         place = np.minimum(np.searchsorted(known, every[maybe]), len(known) - 1)
         same = known[place] == every[maybe]
-        common, place = maybe[same], place[same]
-        if not len(common):
-            return common, place, set()
-        held = np.unique(place)
-        many = bounds[held + 1] - bounds[held]
-        at = np.arange(many.sum()) + np.repeat(bounds[held] - np.cumsum(many) + many, many)
-        counts = np.bincount(owners[at], minlength=len(places))
-        return common, place, {i for i in np.flatnonzero(counts).tolist() if counts[i] / len(places[i]) >= self.containment}
+        return maybe[same], place[same]
+
+    def _least(self, hashes: np.ndarray) -> np.ndarray:
+        """The shingles whose hashes are the least, one per hash function."""
+        return np.unique([hashes[_stir(hashes * a + b).argmin()] for a, b in zip(self.a, self.b, strict=True)])
 
     def _bands(self, rows: np.ndarray) -> np.ndarray:
         """Band hashes of each row of shingle hashes (rows: sets of one size)."""
@@ -189,20 +185,18 @@ class Finder:
         if not len(first):
             return []
         each, out = word_hashes(raw, first, end), {}
-        shared = {}
+        held = {}
         for k in self.known:
             every = shingle_hashes(each, k)
-            shared[k] = every, *self._shared(every, k)
+            held[k] = every, *self._held(every, k)
         for (width, k), members in self.groups.items():
-            every, common, place, enough = shared[k]
-            members = [m for m in members if m[0] in enough]
-            if not members:
+            every, common, place = held[k]
+            common = common[self.own[width, k][place]]
+            if not len(common):
                 continue
-            own_places = np.concatenate([self.known[k][3][m[0]] for m in members])
-            common = common[np.isin(place, own_places)]
             per = min(width - k + 1, len(every))  # shingles of a window
             step, last = max(1, math.ceil(width / 8)), max(0, len(every) - per)
-            # a window without any shingle of these templates has similarity zero: it cannot share a minimum
+            # a window without any of these templates' least shingles shares no minimum with one
             n = last // step + 1
             begin = np.bincount(np.clip((common - per - step + 1) // step, 0, n), minlength=n + 1)
             stop = np.bincount(np.minimum(common // step + 1, n), minlength=n + 1)
@@ -211,9 +205,12 @@ class Finder:
             for s in range(0, len(at), block):
                 part = at[s:s + block]
                 bands = self._bands(every[part[:, None] + np.arange(per)])
-                for _, name, own, mine in members:
+                for name, own, hashes, mine in members:
                     for w in part[(bands == mine).any(axis=1)].tolist():
                         low, high = max(0, w - step), min(len(every), w + per + step)
+                        # equal shingles have equal hashes: too few of these rule a pair out before shingles are compared
+                        if len(hashes) == len(own) and np.isin(hashes, every[low:high]).sum() < self.containment * len(own):
+                            continue
                         runs = _runs(raw, first[low:high + k - 1], end[low:high + k - 1], k)
                         inside = [i for i, run in enumerate(runs) if run in own]
                         found = len({runs[i] for i in inside})
