@@ -10,6 +10,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from tillroll.llm import bpe, exact_dedup, license_scan, mixing, pii, quality, secret_scan, simhash
 from tillroll.llm.queries import TOKENIZER
 
@@ -524,3 +525,55 @@ def test_quality_without_enough_labels(spark, odd):
     assert quality.fit(odd, empty).constant == 0.5
     ones = spark.createDataFrame([(i, 1) for i in range(40)] + [(None, 0), (1, None)], "doc_id long, quality int")
     assert quality.fit(odd, ones).constant > 0.9
+
+
+# --- pipeline -----------------------------------------------------------
+
+@pytest.fixture(scope="module")
+def odd_folder(odd, nothing, tmp_path_factory):
+    """documents and labels with nulls, empty and very long texts, repeated
+    rows and columns named like those that operators make; and empty ones."""
+    folder = tmp_path_factory.mktemp("odd")
+    for name, docs in (("full", odd), ("empty", nothing)):
+        clashing = docs.withColumn("lang", F.lit("en"))
+        for c in ("score", "size", "rank", "fp", "digest", "row", "copies", "u", "target", "ids", "decoded", "keep_id"):
+            clashing = clashing.withColumn(c, F.lit(None).cast("string"))
+        clashing.write.parquet(f"{folder}/{name}/documents.parquet")
+        labels = docs.select("doc_id", F.lit(1).alias("quality"))
+        labels.unionByName(docs.select("doc_id", F.lit(None).cast("int").alias("quality"))).write.parquet(
+            f"{folder}/{name}/labels.parquet")
+    return folder
+
+
+def test_pipeline_of_odd_rows(spark, odd_folder):
+    """Labels of one class reject no document, so each stage's rows are known."""
+    from tokenizers import Tokenizer
+
+    where = f"{odd_folder}/full"
+    docs = spark.read.parquet(f"{where}/documents.parquet")
+    kept = corpus_pipeline.quality_stage(spark, docs, where)
+    assert kept.columns == docs.columns and sorted(pairs(kept), key=str) == sorted(pairs(docs), key=str)
+    exact = corpus_pipeline.exact_stage(spark, kept, where)
+    best = {}
+    for i, t in pairs(docs):
+        best[t or ""] = max(best.get(t or "", -1), -1 if i is None else i)
+    assert exact.columns == docs.columns
+    assert sorted((-1 if i is None else i, t or "") for i, t in pairs(exact)) == sorted((i, t) for t, i in best.items())
+    near = corpus_pipeline.simhash_stage(spark, exact, where)
+    prints = {t: brute_fingerprint(t) for t in best}
+    root = brute_components(set(prints.values()), 2)
+    left = pairs(near)
+    assert near.columns == docs.columns and len(left) == len({root[f] for f in prints.values()})
+    assert len({root[prints[t or ""]] for _, t in left}) == len(left)
+    mixed = corpus_pipeline.mixing_stage(spark, near, where)
+    assert mixed.columns == docs.columns and set(pairs(mixed)) <= set(left)
+    whole = corpus_pipeline.run(spark, where).collect()
+    assert sorted(str(r["doc_id"]) for r in whole) == sorted(str(i) for i, _ in pairs(mixed))
+    lib = Tokenizer.from_file(TOKENIZER)
+    coded = [(i, lib.encode(t or "", add_special_tokens=False).ids) for i, t in pairs(mixed)]  # two texts share an id
+    want = [(str(i), ids, hashlib.sha256(lib.decode(ids, skip_special_tokens=False).encode()).hexdigest()) for i, ids in coded]
+    assert sorted((str(r["doc_id"]), np.frombuffer(r["ids"], dtype="<u4").tolist(), r["decoded_sha256"]) for r in whole) == sorted(want)
+
+
+def test_pipeline_of_empty_tables(spark, odd_folder):
+    assert corpus_pipeline.run(spark, f"{odd_folder}/empty").count() == 0

@@ -20,7 +20,8 @@ Defined cases: a null text counts as empty; an empty table gives an empty
 result; rows that repeat id and text are each reported (``drop_duplicates``
 keeps one of them); a null id is smaller than any other id, and when all ids
 of a group are null ``keep_id`` is null and those rows count as kept in the
-report; other columns are ignored, whatever their names.
+report; rows that tie for a group's largest id all count as kept there; very long
+texts are compared whole; other columns are ignored, whatever their names.
 """
 
 from __future__ import annotations

@@ -16,8 +16,10 @@ Texts are read once.  What crosses the cluster is a histogram of chances (a few
 hundred rows per length class) and one row of corpus statistics.
 
 Defined cases: a null text counts as empty and has no spans (the digest is that
-of the empty string); repeated rows get equal results; an empty table gives an
-empty result; other columns are ignored.
+of the empty string); a very long text is searched whole; candidates of one
+length class whose chances tie (fall into one bin) are all reported or all not;
+repeated rows get equal results; an empty table gives an empty result; other
+columns are ignored.
 """
 
 from __future__ import annotations

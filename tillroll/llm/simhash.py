@@ -16,7 +16,8 @@
 
 Defined cases: a null or empty text, or one of blanks, has fingerprint zero
 and is linked like any other; fewer words than the shingle length give one
-shingle; repeated rows get the same answer; a null id gets its component but
+shingle; a very long text is read whole, its shingles in bounded parts; a bit
+that exactly half of the shingles set is zero; repeated rows get the same answer; a null id gets its component but
 never names one (a component of null ids only has a null id); an empty table
 gives an empty result; other columns are ignored, whatever their names.
 """
