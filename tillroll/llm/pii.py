@@ -19,8 +19,9 @@ distinct instances to be accepted at all.
 Defined cases: a null text counts as empty and has no spans (the digest is that
 of the empty string); repeated rows get equal results and count as occurrences,
 not as further instances; of several entities that begin in one word the first is the
-instance, and a word that only continues an entity is none; an empty table gives an empty result; other columns
-are ignored.
+instance, and a word that only continues an entity is none; patterns or instances that tie are all accepted
+or all not, as only limits decide; a very long text is searched whole; an empty table gives an empty result; other
+columns are ignored.
 """
 
 from __future__ import annotations
@@ -160,9 +161,12 @@ def _pattern_counts(texts: DataFrame, patterns: DataFrame, small: int = 100_000)
                                 lambda a, b: F.xxhash64(a, b)).alias("pairs")))
     both = F.split("pattern", " ")
     keyed = patterns.select("pattern", F.xxhash64(both[0], both[1]).alias("pair"))
-    few = F.broadcast(keyed) if patterns.count() <= small else keyed
-    return (pairs.select(F.explode("pairs").alias("pair")).join(few, "pair")
-            .groupBy("pattern").agg(F.count(F.lit(1)).alias("occurrences")))
+    # what meets the corpus is 64-bit numbers, so a broadcast has a size whatever the words' lengths
+    wanted = keyed.select("pair").distinct()
+    few = F.broadcast(wanted) if patterns.count() <= small else wanted
+    counts = (pairs.select(F.explode("pairs").alias("pair")).join(few, "pair")
+              .groupBy("pair").agg(F.count(F.lit(1)).alias("occurrences")))
+    return keyed.join(counts, "pair").select("pattern", "occurrences")
 
 
 def report(found: DataFrame) -> DataFrame:
