@@ -2,7 +2,16 @@
 
 quality classifier -> exact dedup -> SimHash near-dedup -> source mixing ->
 BPE.  Each stage works on all rows its predecessor kept; all but the last
-return the columns of ``documents``.
+return the columns of ``documents``, whatever further columns these are.
+
+Defined cases: a null or empty text is scored like any other, is one of the
+group of empty texts and, of size 0, never drawn into the mix; of equal texts the
+row with the largest id goes on (one, if ids or rows repeat; a null id gives
+way), of near-equal ones the one with the smallest (rows without an id, and all
+that share the smallest with different texts, stay); very long texts
+are read whole in every stage; an empty table, or one of which a stage keeps
+nothing, gives an empty result; without labels, or with those of one class, all
+documents have one score and go on or go together.
 """
 
 from __future__ import annotations
