@@ -520,6 +520,38 @@ def test_word_vectors_of_all_documents(odd, nothing, monkeypatch):
     assert not quality.word_vectors(nothing).any()
 
 
+def token_buckets(text):
+    """Buckets of the tokens of a text, one by one."""
+    out = []
+    for t in re.findall(r"[^\W\d_]+|\d+|(?:[^\s\w]|_)+", text or ""):
+        out.append(t.lower().encode("utf-8", "replace"))
+        if t[0].isupper():
+            out.append(b"\x01all" if t.isupper() and len(t) > 1 else b"\x01first")
+    return [zlib.crc32(t) % quality.BUCKETS for t in out]
+
+
+def test_buckets_of_many_texts_equal_those_of_single_tokens(odd, monkeypatch):
+    """All characters and lower cases that need care, whatever texts are taken together."""
+    texts = [t for _, t in pairs(odd)] + [
+        None, "", " ", "\u1c90\u13a0 \u13a0", "\u03a3\u03a3 \u039f\u0394\u039f\u03a3 \u03a3'\u0391", "\u0130stanbul I\u0130", "\u01c5 \u01c4 A\u01c5",
+        "\u2160\u24b6 a1_b\u0663x", "ABC Abc aBC A \U0001f600\U00010400", "x" * 64 + " " + "y" * 65 + " " + "\u00c9" * 32 + " " + "\u00c9" * 33, "= " * 400 + "Z" * 900,
+        "lone \ud800\udfff"]
+    texts += ["A".join(map(chr, range(a, a + 400))) for a in [*range(0, 0x3000, 400), 0xA640, 0xAB00, 0xD700, 0x10400, 0x1E900, 0x10FE00]]
+    want = [token_buckets(t) for t in texts]
+    for chars, most in ((quality._CHARS, np.inf), (1000, 1000), (7, 1000)):
+        monkeypatch.setattr(quality, "_CHARS", chars)
+        some = [i for i, t in enumerate(texts) if len(t or "") <= most]
+        assert [t.tolist() for t in quality.buckets_of([texts[i] for i in some])] == [want[i] for i in some]
+    assert list(quality.buckets_of([])) == []
+
+
+def test_new_words_are_not_hashed_one_by_one(monkeypatch):
+    text, calls, crc32 = " ".join(f"{'ABCDEFGH'[i % 8]}{chr(97 + i // 26 % 26)}{chr(97 + i % 26)}x{i}" for i in range(20_000)), [], zlib.crc32
+    want = token_buckets(text)
+    monkeypatch.setattr(quality.zlib, "crc32", lambda *a: calls.append(1) or crc32(*a))
+    assert quality.buckets(text).tolist() == want and len(calls) < 100
+
+
 def test_quality_without_enough_labels(spark, odd):
     empty = spark.createDataFrame([], "doc_id long, quality int, score double")
     assert quality.fit(odd, empty).constant == 0.5

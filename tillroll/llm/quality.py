@@ -32,10 +32,11 @@ their names.
 from __future__ import annotations
 
 import re
+import sys
 import zlib
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
 from functools import lru_cache
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -47,9 +48,16 @@ from tillroll.llm.common import cut, in_workers
 
 BUCKETS, DIMS, NONZEROS, WINDOW, LAGS = 1 << 16, 64, 4, 2, 4
 FEATURES = 2 * DIMS + LAGS + 3
-_TOKENS = re.compile(r"[^\W\d_]+|\d+|(?:[^\s\w]|_)+").findall
+#: Tokens: runs of letters, of digits and of other characters that are no white space.
+_KINDS = (r"[^\W\d_]+", r"\d+", r"(?:[^\s\w]|_)+")
+_RUN = re.compile("|".join((*_KINDS, r"\s+"))).match
+#: Marks of a character: its kind, upper case, lower (or title) case, and those whose lower case is longer or hangs on the word (capital sigma).
+_KIND, _UPPER, _LOWER, _IN_PYTHON, _SIGMA = 3, 4, 8, 16, 0x3A3
+#: Buckets of the marks for capitalised words and words in capitals.
+_FIRST, _ALL = (zlib.crc32(mark) % BUCKETS for mark in (b"\x01first", b"\x01all"))
+#: Characters whose tokens are found at once, and bytes up to which tokens are hashed together.
+_CHARS, _LONG = 1 << 18, 64
 _SHRINK = 8.0
-_KEPT_TOKENS = 50_000
 _AT_ONCE = 1 << 13
 #: Tokens whose contexts are added at once, buckets of a range, and tokens after which a sum is sent on (so it fits 32 bits).
 _GATHERED, _RANGE, _FLUSH = 1 << 18, 1 << 10, 1 << 27
@@ -84,29 +92,124 @@ def index_vectors() -> np.ndarray:
     return index
 
 
-class _Memory(dict):
-    """Buckets of tokens met before."""
-
-    def __missing__(self, t: str) -> tuple[int, ...]:
-        own = (zlib.crc32(t.lower().encode("utf-8", "replace")) % BUCKETS,)
-        if t[0].isupper():
-            own += (zlib.crc32(b"\x01all" if t.isupper() and len(t) > 1 else b"\x01first") % BUCKETS,)
-        if len(t) <= 64 and len(self) < _KEPT_TOKENS:
-            self[t] = own
-        return own
+@lru_cache(maxsize=8)
+def _characters(bits: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of the code points below 2 ** ``bits``: marks (the kind of token in the
+    low bits), lower case, and its length in UTF-8."""
+    every = "".join(map(chr, range(min(1 << bits, sys.maxunicode + 1))))
+    marks = np.zeros(len(every), dtype=np.uint8)
+    for kind, run in enumerate(_KINDS, 1):
+        for found in re.finditer(run, every):
+            marks[found.start():found.end()] = kind
+    upper, lower, title = (np.fromiter(map(f, every), dtype=bool, count=len(every)) for f in (str.isupper, str.islower, str.istitle))
+    marks[upper] |= _UPPER
+    marks[(lower | title) & ~upper] |= _LOWER
+    lowered = list(map(str.lower, every))
+    marks[np.fromiter(map(len, lowered), dtype=np.int64, count=len(every)) > 1] |= _IN_PYTHON
+    marks[_SIGMA] |= _IN_PYTHON
+    lower = np.frombuffer("".join([c[0] for c in lowered]).encode("utf-32-le", "surrogatepass"), dtype="<u4")
+    width = np.searchsorted((0x80, 0x800, 0x10000), lower, "right").astype(np.uint8) + np.uint8(1)
+    width[0xD800:0xE000] = 1  # replaced
+    return marks, lower, width
 
 
 @lru_cache(maxsize=1)
-def _memory() -> _Memory:
-    return _Memory()
+def _crc_table() -> np.ndarray:
+    """What each byte does to a CRC-32."""
+    crc = np.arange(256, dtype=np.uint32)
+    for _ in range(8):
+        crc = np.where(crc & 1, crc >> 1 ^ np.uint32(0xEDB88320), crc >> 1)
+    return crc
+
+
+def _crc32(data: np.ndarray, first: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """zlib.crc32 of each ``size`` bytes of ``data`` from ``first``, byte by
+    byte over all that are long enough."""
+    short = np.minimum(size, _LONG + 1).astype(np.uint8)
+    order = np.argsort(short, kind="stable")[::-1]
+    at = first[order]
+    reach = len(order) - np.searchsorted(short[order[::-1]], np.arange(1, _LONG + 2))  # of at least 1, 2, ... bytes
+    crc, table, long = np.full(len(order), 0xFFFFFFFF, dtype=np.uint32), _crc_table(), reach[_LONG]
+    for k in range(_LONG):
+        if reach[k] == long:
+            break
+        now = crc[long:reach[k]]
+        now[:] = table[(now ^ data[at[long:reach[k]] + k]) & 0xFF] ^ now >> np.uint32(8)
+    crc ^= np.uint32(0xFFFFFFFF)
+    for i, j in enumerate(order[:long].tolist()):
+        crc[i] = zlib.crc32(data[first[j]:first[j] + size[j]])
+    out = np.empty_like(crc)
+    out[order] = crc
+    return out
+
+
+def _tokens_at_once(texts: list[str]) -> list[np.ndarray]:
+    """``buckets`` of texts that are short together."""
+    joined = "\n".join(texts)
+    points = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), dtype="<u4")
+    if not len(points):
+        return [np.zeros(0, dtype=np.int64) for _ in texts]
+    marks_of, lower_of, width_of = _characters(max(14, int(points.max()).bit_length()))
+    marks, lower = marks_of[points], lower_of[points]
+    kind = marks & _KIND
+    edges = np.concatenate(([0], np.flatnonzero(kind[1:] != kind[:-1]) + 1, [len(points)]))
+    tokens = np.flatnonzero(kind[edges[:-1]])
+    first, last = edges[tokens], edges[tokens + 1]
+
+    data = np.frombuffer(lower.tobytes().decode("utf-32-le", "surrogatepass").encode("utf-8", "replace"), dtype=np.uint8)
+    at, end = first, last
+    if len(data) > len(points):
+        place = np.concatenate(([0], np.cumsum(width_of[points], dtype=np.int64)))
+        at, end = place[first], place[last]
+    own = (_crc32(data, at, end - at) % BUCKETS).astype(np.int64)
+    for i in np.unique(np.searchsorted(first, np.flatnonzero(marks & _IN_PYTHON), "right") - 1).tolist():
+        own[i] = zlib.crc32(joined[first[i]:last[i]].lower().encode("utf-8", "replace")) % BUCKETS
+
+    capital = np.flatnonzero(marks[first] & _UPPER)
+    small = np.concatenate(([0], np.cumsum(marks & _LOWER > 0, dtype=np.int64)))
+    whole = (small[first[capital]] == small[last[capital]]) & (last[capital] - first[capital] > 1)
+    found = np.insert(own, capital + 1, np.where(whole, _ALL, _FIRST))
+    upto = np.searchsorted(first, np.cumsum([len(t) + 1 for t in texts]))
+    return np.split(found, (upto + np.searchsorted(capital, upto))[:-1])
+
+
+def buckets_of(texts: Iterable[str | None]) -> Iterator[np.ndarray]:
+    """Buckets of each text's tokens, in order.  Some ``_CHARS`` characters are
+    taken at once: short texts together, long ones cut between tokens."""
+    def pieces():
+        for text in texts:
+            text, a = text or "", 0
+            while len(text) - a > _CHARS:
+                b = _RUN(text, a + _CHARS - 1).end()
+                yield text[a:b], False
+                a = b
+            yield text[a:], True
+
+    def found(waiting):
+        return zip(_tokens_at_once([piece for piece, _ in waiting]), [ends for _, ends in waiting], strict=True)
+
+    def parts():
+        waiting, held = [], 0
+        for piece in pieces():
+            waiting.append(piece)
+            held += len(piece[0]) + 1
+            if held > _CHARS:
+                yield from found(waiting)
+                waiting, held = [], 0
+        if waiting:
+            yield from found(waiting)
+
+    text = []
+    for part, ends in parts():
+        text.append(part)
+        if ends:
+            yield text[0] if len(text) == 1 else np.concatenate(text)
+            text = []
 
 
 def buckets(text: str | None) -> np.ndarray:
-    """Buckets of a text's tokens, in order."""
-    known = _memory()
-    if len(known) >= _KEPT_TOKENS:
-        known.clear()
-    return np.fromiter(chain.from_iterable(map(known.__getitem__, _TOKENS(text or ""))), dtype=np.int64)
+    """Buckets of one text's tokens, in order."""
+    return next(buckets_of([text]))
 
 
 def add_contexts(total: np.ndarray, texts: list[np.ndarray]) -> None:
@@ -143,9 +246,9 @@ def word_vectors(docs: DataFrame, text_col: str = "text", fit_tasks: int = 16) -
             total[:] = 0
 
         for b in batches:
-            for text in b.column("text"):
-                waiting.append(buckets(text.as_py()))
-                held += len(waiting[-1])
+            for found in buckets_of(text.as_py() for text in b.column("text")):
+                waiting.append(found)
+                held += len(found)
                 if held >= _GATHERED:
                     add_contexts(total, waiting)
                     waiting, held, seen = [], 0, seen + held
@@ -193,11 +296,11 @@ class Model:
         words, plain, recur = np.zeros(DIMS), np.zeros(DIMS), np.zeros(LAGS)
         for a in range(0, n, _AT_ONCE):
             part = t[a:a + _AT_ONCE + LAGS]
-            rows = index[part].astype(np.float32)
+            rows = index.take(part, 0).astype(np.float32)
             plain += rows[:_AT_ONCE].sum(0)
-            words += self.vectors[part[:_AT_ONCE]].sum(0)
-            for lag in range(1, LAGS + 1):
-                recur[lag - 1] += np.einsum("ij,ij->", rows[:-lag][:_AT_ONCE], rows[lag:][:_AT_ONCE]) if len(part) > lag else 0
+            words += self.vectors.take(part[:_AT_ONCE], 0).sum(0)
+            for lag in range(1, LAGS + 1):  # whole numbers below 2 ** 24, so exact in any order
+                recur[lag - 1] += np.dot(rows[:-lag][:_AT_ONCE].ravel(), rows[lag:][:_AT_ONCE].ravel()) if len(part) > lag else 0
         weight = 1.0 / (n + _SHRINK)
         length = float(np.linalg.norm(plain))
         return np.concatenate([words * weight, plain * weight, recur * weight / NONZEROS,
@@ -212,7 +315,7 @@ class Model:
             return np.full(len(texts), self.constant)
         if not texts:
             return np.zeros(0)
-        x = np.stack([self.pool(buckets(t)) for t in texts]).astype(np.float64)
+        x = np.stack([self.pool(t) for t in buckets_of(texts)]).astype(np.float64)
         return 1.0 / (1.0 + np.exp(-np.clip(self.logits(x) / self.temperature, -40, 40)))
 
 
@@ -279,7 +382,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
 
     def tokens(batches):
         for b in batches:
-            ids = pa.array([buckets(t.as_py()).astype("<u2").tobytes() for t in b.column("text")], pa.binary())
+            ids = pa.array([t.astype("<u2").tobytes() for t in buckets_of(t.as_py() for t in b.column("text"))], pa.binary())
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("label"), ids], names=["doc_id", "label", "t"])
 
     fields = [texts.schema["doc_id"], T.StructField("label", T.IntegerType()), T.StructField("t", T.BinaryType())]
